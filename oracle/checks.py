@@ -1 +1,43 @@
-SQL = {}
+"""DuckDB oracle for the data-check queries."""
+
+from __future__ import annotations
+
+import oracle
+from martforge.plans.rules import ORDER_STATUSES, model_suite
+
+
+def _lit_list(values) -> str:
+    return ", ".join("'" + str(v) + "'" for v in values)
+
+
+def _check_sql(c) -> str:
+    head = (f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, "
+            f"'{c.name}' AS check_name, CAST(count(*) AS BIGINT) AS failures")
+    if c.test == "not_null":
+        return f"{head} FROM {c.model} WHERE {c.column} IS NULL"
+    if c.test == "unique":
+        return (f"{head} FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL "
+                f"GROUP BY {c.column} HAVING count(*) > 1)")
+    if c.test == "accepted_values":
+        return (f"{head} FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL AND "
+                f"CAST({c.column} AS VARCHAR) NOT IN ({_lit_list(c.values)}) GROUP BY {c.column})")
+    return (f"{head} FROM {c.model} ch LEFT JOIN {c.to_model} pa ON ch.{c.column} = pa.{c.to_field} "
+            f"WHERE ch.{c.column} IS NOT NULL AND pa.{c.to_field} IS NULL")
+
+
+SUITE = " UNION ALL ".join(f"({_check_sql(c)})" for c in model_suite().checks)
+
+SQL = {
+    "check_not_null": oracle.with_models("SELECT * FROM stg_orders WHERE purchased_at IS NULL"),
+    "check_unique": oracle.with_models(
+        "SELECT review_id AS value, count(*) AS n_records FROM stg_order_reviews WHERE review_id IS NOT NULL "
+        "GROUP BY review_id HAVING count(*) > 1"),
+    "check_accepted_values": oracle.with_models(
+        "SELECT order_status AS value, count(*) AS n_records FROM raw_orders WHERE order_status IS NOT NULL "
+        f"AND order_status NOT IN ({_lit_list(ORDER_STATUSES)}) GROUP BY order_status"),
+    "check_relationships": oracle.with_models(
+        "SELECT o.customer_id AS value, count(*) AS n_records FROM stg_orders o "
+        "LEFT JOIN stg_customers c ON o.customer_id = c.customer_id "
+        "WHERE o.customer_id IS NOT NULL AND c.customer_id IS NULL GROUP BY o.customer_id"),
+    "check_suite": oracle.with_models(f"SELECT *, failures = 0 AS passed FROM ({SUITE})"),
+}
