@@ -129,7 +129,9 @@ def load_raw(spark: SparkSession, base_dir: str, out_dir: str,
         out.write.mode("overwrite").partitionBy(STATUS).parquet(target)
         m = obs.get
         reports.append(LoadReport(table, int(m["ok"]), int(m["bad"])))
-        stored = spark.read.parquet(target)
+        stored_schema = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS[table]]
+                                   + [StructField(BAD, StringType(), True), StructField(STATUS, StringType(), True)])
+        stored = spark.read.schema(stored_schema).parquet(target)  # an empty table wrote no file
         tables[table] = stored.filter(F.col(STATUS) == "ok").select(*RAW_COLUMNS[table])
     report = spark.createDataFrame(
         [(r.table, r.rows_loaded, r.rows_rejected) for r in reports],
