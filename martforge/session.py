@@ -38,7 +38,7 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "martforge",
-                  event_log_dir: str | None = None) -> SparkSession:
+                  event_log_dir: str | None = None, checkpoint: str | None = None) -> SparkSession:
     """A local session for tests, the bench and the smoke check."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -50,6 +50,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "martf
     )
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
@@ -60,17 +62,19 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "martf
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged intermediates.
 
-    Read from ``spark.checkpoint.dir``.  Only a local-mode session (tests,
-    bench) may fall back to a fresh temporary folder; on a cluster the setting
-    must point at shared storage, so its absence is an error.
+    Taken from ``spark.checkpoint.dir`` (a static setting, applied by Spark at
+    start-up).  Only a local-mode session (tests, bench) may fall back to a
+    fresh temporary folder; on a cluster the setting must point at shared
+    storage, so its absence is an error.
     """
     sc = spark.sparkContext
-    value = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    value = sc.getConf().get("spark.checkpoint.dir", None)
     if not value:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
         value = tempfile.mkdtemp(prefix="martforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", value)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(value)
-    return value
+    sc.setCheckpointDir(value)
+    return sc.getCheckpointDir()
