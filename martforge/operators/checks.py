@@ -93,43 +93,72 @@ def relationship_violations(child: DataFrame, column: str, parent: DataFrame, fi
     return keys.join(parents, "value", "left_anti")
 
 
-def _summary(check: Check, failures: Column) -> list[Column]:
-    return [
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.name).alias("check_name"),
-        failures.cast("long").alias("failures"),
-    ]
+SUMMARY_SCHEMA = "model string, column_name string, test string, check_name string"
+
+
+def _keyed(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(check_name, value)`` rows, one per (row, check) pair, non-NULL values
+    only, values as text so keys of different checks share one column."""
+    if len(pairs) == 1:
+        name, column = pairs[0]
+        out = df.select(F.lit(name).alias("check_name"), F.col(column).cast("string").alias("value"))
+    else:
+        kv = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(c).cast("string").alias("value"))
+                                 for n, c in pairs]))
+        out = df.select(kv.alias("kv")).select("kv.check_name", "kv.value")
+    return out.filter(F.col("value").isNotNull())
 
 
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """DQ5: one row per check — ``model, column_name, test, check_name,
-    failures, passed`` — as a single DataFrame."""
-    parts: list[DataFrame] = []
+    failures, passed`` — as a single DataFrame.
+
+    * not-null and accepted-values checks of a model: one aggregation pass;
+    * all unique checks of all models: one shuffle on ``(check_name, value)``
+      (each model read once for all its unique columns);
+    * all relationships: child keys pre-aggregated and parent keys made
+      distinct on ``(check_name, value)``, then one co-partitioned anti join.
+    Checks without failures get 0 from the (bounded) list of checks."""
+    spark = next(iter(tables.values())).sparkSession
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
+
+    failures: list[DataFrame] = []
     for model, cs in by_model.items():
-        df = tables[model]
         row_checks = [c for c in cs if c.test in ("not_null", "accepted_values")]
-        if row_checks:
-            aggs = []
-            for i, c in enumerate(row_checks):
-                col = F.col(c.column)
-                if c.test == "not_null":
-                    aggs.append(F.count_if(col.isNull()).alias(f"f{i}"))
-                else:
-                    aggs.append(F.count_distinct(F.when(_not_accepted(col, c.values), col.cast("string")))
-                                .alias(f"f{i}"))
-            wide = df.agg(*aggs)
-            parts.extend(wide.select(*_summary(c, F.col(f"f{i}"))) for i, c in enumerate(row_checks))
-        for c in cs:
-            if c.test == "unique":
-                v = unique_violations(df, c.column)
-                parts.append(v.agg(*_summary(c, F.count(F.lit(1)))))
-            elif c.test == "relationships":
-                v = relationship_violations(df, c.column, tables[c.to_model], c.to_field)
-                parts.append(v.agg(*_summary(c, F.coalesce(F.sum("n_records"), F.lit(0)))))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("passed", F.col("failures") == 0)
+        if not row_checks:
+            continue
+        aggs = []
+        for i, c in enumerate(row_checks):
+            col = F.col(c.column)
+            if c.test == "not_null":
+                aggs.append(F.count_if(col.isNull()).alias(f"f{i}"))
+            else:
+                aggs.append(F.count_distinct(F.when(_not_accepted(col, c.values), col.cast("string"))).alias(f"f{i}"))
+        wide = tables[model].agg(*aggs)
+        stack = F.explode(F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.col(f"f{i}").alias("failures"))
+                                    for i, c in enumerate(row_checks)]))
+        failures.append(wide.select(stack.alias("r")).select("r.check_name", F.col("r.failures").cast("long").alias("failures")))
+
+    uniq = [_keyed(tables[m], [(c.name, c.column) for c in cs if c.test == "unique"])
+            for m, cs in by_model.items() if any(c.test == "unique" for c in cs)]
+    if uniq:
+        dup = (reduce(DataFrame.unionByName, uniq).groupBy("check_name", "value").agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > 1))
+        failures.append(dup.groupBy("check_name").agg(F.count(F.lit(1)).alias("failures")))
+
+    rels = [c for c in checks if c.test == "relationships"]
+    if rels:
+        child = reduce(DataFrame.unionByName, [_keyed(tables[c.model], [(c.name, c.column)]) for c in rels])
+        parent = reduce(DataFrame.unionByName, [_keyed(tables[c.to_model], [(c.name, c.to_field)]) for c in rels])
+        orphans = (child.groupBy("check_name", "value").agg(F.count(F.lit(1)).alias("n"))
+                   .join(parent.distinct(), ["check_name", "value"], "left_anti"))
+        failures.append(orphans.groupBy("check_name").agg(F.sum("n").cast("long").alias("failures")))
+
+    listed = spark.createDataFrame([(c.model, c.column, c.test, c.name) for c in checks], SUMMARY_SCHEMA)
+    found = reduce(DataFrame.unionByName, failures)
+    return (listed.join(found, "check_name", "left")
+            .select("model", "column_name", "test", "check_name",
+                    F.coalesce(F.col("failures"), F.lit(0).cast("long")).alias("failures"))
+            .withColumn("passed", F.col("failures") == 0))
