@@ -44,7 +44,7 @@ def _raw_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from martforge import operator_queries, check_queries
+    from martforge import check_queries, io_queries, operator_queries
 
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for key, table in RAW_QUERY_NAMES.items():
@@ -53,15 +53,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[name] = _model_query(name)
     out.update(operator_queries.QUERIES)
     out.update(check_queries.QUERIES)
+    out.update(io_queries.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     import oracle
-    from oracle import operators as op_oracle, checks as check_oracle
+    from oracle import checks as check_oracle, io as io_oracle, operators as op_oracle
 
     out = {key: oracle.with_models(f"SELECT * FROM {key}") for key in RAW_QUERY_NAMES}
     out.update({name: oracle.model_sql(name) for name in MODEL_NAMES})
     out.update(op_oracle.SQL)
     out.update(check_oracle.SQL)
+    out.update(io_oracle.SQL)
     return out

@@ -1,0 +1,24 @@
+"""DuckDB oracle for the ingest/sink queries."""
+
+from __future__ import annotations
+
+import oracle
+
+_TABLES = {
+    "customers": "raw_customers", "geolocation": "raw_geolocation", "order_items": "raw_order_items",
+    "order_payments": "raw_order_payments", "order_reviews": "raw_order_reviews", "orders": "raw_orders",
+    "products": "raw_products", "sellers": "raw_sellers", "product_category_name_translation": "raw_translation",
+}
+
+_REPORT = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM {v}"
+    for t, v in _TABLES.items())
+
+SQL = {
+    "csv_ingest_orders": oracle.with_models("SELECT * FROM raw_orders"),
+    "csv_ingest_reviews": oracle.with_models(
+        "SELECT review_id, order_id, review_score, review_comment_title, review_comment_message, "
+        "nullif(review_creation_date, '') AS review_creation_date, review_answer_timestamp FROM raw_order_reviews"),
+    "load_report": oracle.with_models(_REPORT),
+    "build_revenue_daily": oracle.model_sql("fct_revenue_daily"),
+}
