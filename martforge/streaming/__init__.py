@@ -1,0 +1,7 @@
+"""Nothing to stream.
+
+The reference processes batch files only: no stream source, watermark,
+window over event time or stateful operator appears in it, so this package
+deliberately holds no code.  The batch build is incremental-safe in the sense
+that every table is fully replaced per run.
+"""
