@@ -26,24 +26,53 @@ def arg_max(value, order: Sequence, numeric_order: bool = False) -> Column:
     return F.max_by(_c(value), key)
 
 
-def mode_per_key(df: DataFrame, key: str, value, alias: str) -> DataFrame:
-    """AG9 ``mode(value)`` per key: the most common non-NULL value, the
-    smallest on a tie.  Two aggregations: counts per (key, value), combined
-    map-side, then an arg-min per key over (-count, value).  A hot key is
-    spread over its values in the first shuffle and reaches the second one as a
-    handful of partial rows; nothing holds a group in memory.
-    Keys whose values are all NULL are absent (join back with ``how='left'``).
+def modes_per_key(df: DataFrame, key: str, modes: Mapping[str, Column],
+                  measures: Mapping[str, Column] | None = None) -> DataFrame:
+    """AG9 ``mode(x)`` for several columns per key, plus exact sums and counts
+    of numeric measures (for averages), in one scan and two shuffles, no join.
+
+    Every input row is unpivoted into one entry per mode column (its value)
+    and one base entry carrying the measures.  Level 1 counts entries per
+    ``(key, kind, value)`` with map-side combining — a hot key is spread over
+    its distinct values.  Level 2 takes, per key and mode, the value with the
+    highest count (the smallest on a tie) and adds up the measures.  NULL
+    values are ignored; a key whose values are all NULL gets a NULL mode; a
+    NULL key is a group of its own, as in GROUP BY.
+
+    Output: ``key``, one column per mode (its input type), and
+    ``<measure>_sum`` / ``<measure>_count`` per measure.
     """
-    v = _c(value)
-    counted = (
-        df.select(F.col(key), v.alias("__v"))
-        .filter(F.col("__v").isNotNull())
-        .groupBy(key, "__v")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    return counted.groupBy(key).agg(
-        F.min_by(F.col("__v"), F.struct(-F.col("__n"), F.col("__v"))).alias(alias)
+    measures = dict(measures or {})
+    types = {name: df.select(col).schema.fields[0].dataType for name, col in modes.items()}
+    mtypes = {name: df.select(col).schema.fields[0].dataType for name, col in measures.items()}
+
+    def entry(kind: str, value: Column, with_measures: bool) -> Column:
+        fields = [F.lit(kind).alias("__kind"), value.cast("string").alias("__v")]
+        for m, col in measures.items():
+            fields.append((col if with_measures else F.lit(None).cast(mtypes[m])).alias(f"__m_{m}"))
+        return F.struct(*fields)
+
+    entries = [entry("", F.lit(None), True)] + [entry(name, col, False) for name, col in modes.items()]
+    rows = df.select(F.col(key), F.explode(F.array(*entries)).alias("__e")).select(key, "__e.*")
+    rows = rows.filter((F.col("__kind") == "") | F.col("__v").isNotNull())
+    level1 = rows.groupBy(key, "__kind", "__v").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.sum(f"__m_{m}").alias(f"__s_{m}") for m in measures],
+        *[F.count(f"__m_{m}").alias(f"__c_{m}") for m in measures],
     )
+    out = []
+    for name in modes:
+        pick = F.when(F.col("__kind") == name, F.struct(-F.col("__n"), F.col("__v")))
+        out.append(F.min_by(F.col("__v"), pick).cast(types[name]).alias(name))
+    for m in measures:
+        out += [F.sum(f"__s_{m}").alias(f"{m}_sum"), F.sum(f"__c_{m}").cast("long").alias(f"{m}_count")]
+    return level1.groupBy(key).agg(*out)
+
+
+def mode_per_key(df: DataFrame, key: str, value, alias: str) -> DataFrame:
+    """AG9 ``mode(value)`` per key: the most common non-NULL value, the
+    smallest on a tie (NULL when a key has no value)."""
+    return modes_per_key(df, key, {alias: _c(value)})
 
 
 def conditional_counts(conditions: Mapping[str, Column]) -> list[Column]:

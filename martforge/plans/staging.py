@@ -10,8 +10,7 @@ from martforge.functions import (
     blank_to_null, clean_lower, clean_upper, day_diff, hour_diff, round_half_up,
     surrogate_key, to_double, to_int, to_timestamp, volumetric_weight,
 )
-from martforge.functions.numeric import avg_money
-from martforge.operators.aggregates import mode_per_key
+from martforge.operators.aggregates import modes_per_key
 
 COORD = "decimal(24,10)"
 
@@ -128,9 +127,8 @@ def stg_sellers(raw: DataFrame) -> DataFrame:
 
 def stg_geolocation(raw: DataFrame) -> DataFrame:
     """M8: one row per zip prefix — centroid (average, 6 decimals) and the
-    most common city and state.  Three aggregations on the zip key: the centroid
-    and two two-step modes; all outputs are hash-partitioned on the zip, so the
-    joins that put them together add no exchange."""
+    most common city and state, from one scan in one two-level aggregation
+    (``modes_per_key``); no join, so a NULL zip stays a group of its own."""
     g = raw.select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
         to_double("geolocation_lat").alias("lat"),
@@ -138,18 +136,14 @@ def stg_geolocation(raw: DataFrame) -> DataFrame:
         clean_lower("geolocation_city").alias("city"),
         clean_upper("geolocation_state").alias("state"),
     )
-    centroid = g.groupBy("zip_code_prefix").agg(
-        round_half_up(avg_money("lat", COORD), 6).alias("latitude"),
-        round_half_up(avg_money("lng", COORD), 6).alias("longitude"),
-    )
-    city = mode_per_key(g, "zip_code_prefix", "city", "city").withColumnRenamed("zip_code_prefix", "__zc")
-    state = mode_per_key(g, "zip_code_prefix", "state", "state").withColumnRenamed("zip_code_prefix", "__zs")
-    # Null-safe keys: a NULL zip is a group of its own, as in a GROUP BY.
-    return (
-        centroid.join(city, centroid["zip_code_prefix"].eqNullSafe(city["__zc"]), "left")
-        .join(state, centroid["zip_code_prefix"].eqNullSafe(state["__zs"]), "left")
-        .select("zip_code_prefix", "latitude", "longitude", "city", "state")
-    )
+    m = modes_per_key(g, "zip_code_prefix", {"city": F.col("city"), "state": F.col("state")},
+                      {"lat": F.col("lat").cast(COORD), "lng": F.col("lng").cast(COORD)})
+
+    def centroid(axis: str):
+        return round_half_up(F.col(f"{axis}_sum").cast("double") / F.nullif(F.col(f"{axis}_count"), F.lit(0)), 6)
+
+    return m.select("zip_code_prefix", centroid("lat").alias("latitude"), centroid("lng").alias("longitude"),
+                    "city", "state")
 
 
 def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -79,10 +79,13 @@ SELECT user_id,
   arg_max_null(event_type, {'s': CAST(CAST(event_id AS VARCHAR) AS DECIMAL(38,10)), 't': event_type}) AS by_number
 FROM events GROUP BY user_id""",
     "mode_per_key": """
-SELECT user_id, event_type AS mode_type FROM (
-  SELECT user_id, event_type,
-    row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type ASC) AS rn
-  FROM events WHERE event_type IS NOT NULL GROUP BY user_id, event_type) WHERE rn = 1""",
+SELECT k.user_id, m.event_type AS mode_type
+FROM (SELECT DISTINCT user_id FROM events) k
+LEFT JOIN (SELECT user_id, event_type FROM (
+    SELECT user_id, event_type,
+      row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type ASC) AS rn
+    FROM events WHERE event_type IS NOT NULL GROUP BY user_id, event_type) WHERE rn = 1) m
+  ON k.user_id IS NOT DISTINCT FROM m.user_id""",
     "conditional_counts": """
 SELECT CAST(ts AS DATE) AS day, count(*) AS events,
   count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) FILTER (WHERE event_type = 'view') AS views,

@@ -5,8 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from martforge.operators import (
-    arg_max, conditional_counts, latest_per_key, mode_per_key, period_to_date_sum, rolling_rows_avg,
-    running_total,
+    arg_max, conditional_counts, latest_per_key, mode_per_key, modes_per_key, period_to_date_sum,
+    rolling_rows_avg, running_total,
 )
 
 
@@ -39,7 +39,15 @@ def test_mode_ties_and_nulls(spark):
     rows = [("z", v) for v in ["b", "a", "a", "b", None, None, None]] + [("y", None)]
     df = spark.createDataFrame(rows, "k string, v string")
     got = {r.k: r.m for r in mode_per_key(df, "k", "v", "m").collect()}
-    assert got == {"z": "a"}  # all-NULL key absent
+    assert got == {"z": "a", "y": None}  # a key with only NULL values has a NULL mode
+
+
+def test_modes_and_measures_in_one_pass(spark):
+    rows = [("z", "b", "X", 1.0), ("z", "a", "Y", 2.0), ("z", "a", "Y", None), (None, "q", None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, c string, s string, x double")
+    out = modes_per_key(df, "k", {"c": F.col("c"), "s": F.col("s")}, {"x": F.col("x").cast("decimal(10,2)")})
+    got = {r.k: (r.c, r.s, float(r.x_sum) if r.x_sum is not None else None, r.x_count) for r in out.collect()}
+    assert got == {"z": ("a", "Y", 3.0, 2), None: ("q", None, 4.0, 1)}
 
 
 def test_conditional_counts_skip_null_predicates(spark):
