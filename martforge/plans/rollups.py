@@ -103,11 +103,11 @@ def customer_rollup(enriched: DataFrame, customers: DataFrame) -> DataFrame:
         customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state", "zip_code_prefix"),
         "customer_id", "inner",
     )
-    latest = ["purchased_at", "order_id"]
+    # One arg-max carries all three location fields: they come from the same
+    # (latest) order, so a single aggregation buffer serves them.
+    location = F.struct("customer_city", "customer_state", "zip_code_prefix")
     m = oc.groupBy("customer_unique_id").agg(
-        arg_max("customer_city", latest).alias("customer_city"),
-        arg_max("customer_state", latest).alias("customer_state"),
-        arg_max("zip_code_prefix", latest).alias("zip_code_prefix"),
+        arg_max(location, ["purchased_at", "order_id"]).alias("__loc"),
         F.count("order_id").alias("total_orders"),
         F.count_if(F.col("is_delivered")).alias("delivered_orders"),
         sum_money("order_gross_revenue").alias("lifetime_revenue"),
@@ -121,7 +121,7 @@ def customer_rollup(enriched: DataFrame, customers: DataFrame) -> DataFrame:
     )
     n = F.col("total_orders")
     return m.select(
-        "customer_unique_id", "customer_city", "customer_state", "zip_code_prefix", "total_orders",
+        "customer_unique_id", "__loc.customer_city", "__loc.customer_state", "__loc.zip_code_prefix", "total_orders",
         "delivered_orders", "lifetime_revenue", "avg_order_value", "min_order_value", "max_order_value",
         "first_order_at", "most_recent_order_at",
         day_diff("first_order_at", "most_recent_order_at").alias("customer_tenure_days"),
