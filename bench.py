@@ -1,9 +1,13 @@
-"""Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Bench: headline work at $BENCH_SF_DIR on local[$BENCH_CPUS].
+
+Follows the production flow: the nine raw tables (derived from the test data)
+land in storage once — as ``load_raw`` does for CSV — and every model, the
+check suite and the full build read them.  Also timed: one query end to end
+from the test-data tables.  Each query is forced to completion with the
+``noop`` sink (full computation, nothing collected); the full build writes
+real parquet to a fresh scratch folder.  An untimed warm-up runs first.
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
-Each query is forced to completion with the ``noop`` sink (full computation,
-no driver collect); the full build writes real parquet to a fresh scratch
-folder.  One untimed warm-up run loads the JVM code paths first.
 """
 
 from __future__ import annotations
@@ -18,12 +22,16 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martforge import registry  # noqa: E402
-from martforge.plans.build import build  # noqa: E402
+from martforge.operators.checks import run_suite  # noqa: E402
+from martforge.plans import rollups, staging  # noqa: E402
+from martforge.plans.build import build, stage_intermediate  # noqa: E402
+from martforge.plans.graph import models  # noqa: E402
+from martforge.plans.rules import model_suite  # noqa: E402
 from martforge.session import checkpoint_dir, local_session  # noqa: E402
 from martforge.sources.testdata import raw_tables  # noqa: E402
 
-HEADLINE = ["orders_enriched", "customer_rollup", "seller_rollup", "fct_orders", "fct_revenue_daily",
-            "dim_customers", "dim_sellers", "check_suite"]
+MODELS = ["orders_enriched", "customer_rollup", "seller_rollup", "fct_orders", "fct_revenue_daily",
+          "dim_customers", "dim_sellers"]
 
 
 def run_noop(df) -> None:
@@ -37,28 +45,46 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus), app="martforge-bench",
                           checkpoint=f"{scratch}/checkpoints")
     checkpoint_dir(spark)
-    qs = registry.queries()
-
-    run_noop(qs["fct_revenue_daily"](spark, sf_dir))  # warm-up, untimed
-
     times: dict[str, float] = {}
-    for name in HEADLINE:
+
+    def timed(name, fn):
         t0 = time.perf_counter()
-        run_noop(qs[name](spark, sf_dir))
+        fn()
         times[name] = round(time.perf_counter() - t0, 3)
 
-    t0 = time.perf_counter()
-    res = build(spark, raw_tables(spark, sf_dir), f"{scratch}/out", as_of=registry.AS_OF)
-    res.checks.collect()  # 81 summary rows
-    times["full_build_with_checks"] = round(time.perf_counter() - t0, 3)
+    run_noop(registry.queries()["fct_revenue_daily"](spark, sf_dir))  # warm-up, untimed
+
+    timed("e2e_fct_revenue_daily", lambda: run_noop(registry.queries()["fct_revenue_daily"](spark, sf_dir)))
+
+    def ingest():
+        for name, df in raw_tables(spark, sf_dir).items():
+            df.write.mode("overwrite").parquet(f"{scratch}/raw/{name}")
+    timed("ingest_raw", ingest)
+    raw = {name: spark.read.parquet(f"{scratch}/raw/{name}") for name in raw_tables(spark, sf_dir)}
+
+    m = models(raw, as_of=registry.AS_OF)
+    for name in MODELS:
+        timed(name, lambda: run_noop(m[name]))
+
+    def suite():
+        s = staging.staging(raw)
+        m9 = stage_intermediate(spark, rollups.orders_enriched(
+            s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]), "m9")
+        run_suite(models(raw, as_of=registry.AS_OF, enriched=m9), model_suite().checks).collect()
+    timed("check_suite", suite)
+
+    def full_build():
+        res = build(spark, raw, f"{scratch}/out", as_of=registry.AS_OF)
+        res.checks.collect()  # 81 summary rows
+    timed("full_build_with_checks", full_build)
 
-    m = re.search(r"sf([0-9.]+)", sf_dir)
+    sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": float(m.group(1)) if m else None,
+        "sf": float(sf.group(1)) if sf else None,
         "cpus": cpus,
         "spark": spark.version,
     }))

@@ -1,0 +1,63 @@
+"""Numbering rows within a key without a one-task-per-key window."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+
+def _local_runs(key: str, out: str):
+    """Per partition (sorted by key, then order): 1-based position of each row
+    in its run of equal keys; a run may continue across Arrow batches."""
+
+    def number(batches):
+        last_key, last_n, have_last = None, 0, False
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(**{out: []})
+                continue
+            k = pdf[key]
+            prev = k.shift()
+            same = (k == prev) | (k.isna() & prev.isna())
+            run = (~same).cumsum()
+            pos = pdf.groupby(run).cumcount() + 1
+            first = k.iloc[0]
+            if have_last and ((first == last_key) or (first != first and last_key != last_key)):
+                pos = pos.where(run != run.iloc[0], pos + last_n)
+            last_key, last_n, have_last = k.iloc[-1], int(pos.iloc[-1]), True
+            yield pdf.assign(**{out: pos.astype("int64")})
+
+    return number
+
+
+def number_within_key(df: DataFrame, key: str, order: Sequence[Column], out: str,
+                      partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by key order by ...)`` as a long column
+    ``out``, safe when one key holds a large share of the rows.
+
+    1. range-partition on (key, order, input position as a stable tie-break)
+       and sort each partition — range bounds cut a hot key into consecutive
+       runs over several tasks;
+    2. number the rows of each run in one vectorised pass per partition;
+    3. add, per run, the rows of the same key in earlier partitions.  Only the
+       first run of a partition can continue a key, so that offset table has at
+       most one row per partition and is broadcast with that bound.
+    Ties in ``order`` are numbered in input order (as any row_number with ties).
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(key).asc_nulls_last(), *order, F.col("__tb").asc()]
+    s = (df.withColumn("__tb", F.monotonically_increasing_id())
+         .repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+         .withColumn("__p", F.spark_partition_id()))
+    runs = s.groupBy("__p", key).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = runs.withColumn("__off", F.sum("__n").over(before)).filter(F.col("__off").isNotNull()).drop("__n")
+    schema = StructType(list(s.schema.fields) + [StructField(out, LongType(), False)])
+    numbered = s.mapInPandas(_local_runs(key, out), schema)
+    j = numbered.join(F.broadcast(offsets), numbered["__p"].eqNullSafe(offsets["__p"])
+                      & numbered[key].eqNullSafe(offsets[key]), "left")
+    return j.select(*[numbered[c] for c in df.columns],
+                    (numbered[out] + F.coalesce(offsets["__off"], F.lit(0))).alias(out))

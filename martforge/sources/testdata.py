@@ -2,16 +2,19 @@
 
 The test data has no retail-order tables, so each raw table is computed from
 one given table with integer arithmetic and text only (FIXTURES.md §3).  The
-same rules are written in DuckDB SQL for the oracle (``martforge/oracle``), so
-both engines see identical raw text.  Everything is lazy and scales with the
-input; the only shuffle is the item numbering per order.
+same rules are written in DuckDB SQL for the oracle (``oracle/``), so both
+engines see identical raw text.  Everything is lazy and scales with the input;
+the only shuffle is the item numbering per order (skew-safe, see
+``operators.sequence``), and Catalyst drops it when the item number is unused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.operators.sequence import number_within_key
+
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 # Fixed values used by the adapter rules.
 STATE_LETTERS = "acalapambaceesdfgomamg"
@@ -96,12 +99,14 @@ LINEITEM_COLUMNS = [
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") % 20 != 0)
-    w = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_last() for c in LINEITEM_COLUMNS])
+    li = read(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") % 20 != 0).select(*LINEITEM_COLUMNS)
+    # Item number = row_number per order over all columns, computed without
+    # putting a whole order in one task (an order may be very large).
+    li = number_within_key(li, "l_orderkey", [F.col(c).asc_nulls_last() for c in LINEITEM_COLUMNS[1:]], "__item")
     qty = F.col("l_quantity").cast("long")
     return li.select(
         pad("O", F.col("l_orderkey")).alias("order_id"),
-        _s(F.row_number().over(w)).alias("order_item_id"),
+        _s(F.col("__item")).alias("order_item_id"),
         pad("P", F.col("l_partkey")).alias("product_id"),
         pad("S", F.col("l_suppkey") * 20 + F.col("l_orderkey") % 20).alias("seller_id"),
         ts_text(F.col("l_shipdate")).alias("shipping_limit_date"),

@@ -66,3 +66,17 @@ def test_rolling_rows_span_gaps_and_month_restart(spark):
     assert got[dt.date(2018, 1, 9)] == (20.0, 60.0, 60.0)  # 3 rows, days 1, 2, 9
     assert got[dt.date(2018, 2, 1)] == (40.0, 50.0, 150.0)  # month restarts
     assert got[None] == (31.67, 5.0, 155.0)  # NULL day sorts last
+
+
+def test_number_within_key_matches_row_number_with_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from martforge.operators.sequence import number_within_key
+
+    df = spark.range(0, 60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 11 == 0, F.lit(None))
+        .otherwise(F.col("id") % 500).alias("k"),
+        (F.col("id") * 7919 % 10007).alias("v"))
+    got = number_within_key(df, "k", [F.col("v").asc()], "rn", partitions=12)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v")).cast("long"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
