@@ -23,8 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martforge import registry  # noqa: E402
 from martforge.operators.checks import run_suite  # noqa: E402
-from martforge.plans import rollups, staging  # noqa: E402
-from martforge.plans.build import build, stage_intermediate  # noqa: E402
+from martforge.plans.build import build, staged_models  # noqa: E402
 from martforge.plans.graph import models  # noqa: E402
 from martforge.plans.rules import model_suite  # noqa: E402
 from martforge.session import checkpoint_dir, local_session  # noqa: E402
@@ -67,10 +66,7 @@ def main() -> None:
         timed(name, lambda: run_noop(m[name]))
 
     def suite():
-        s = staging.staging(raw)
-        m9 = stage_intermediate(spark, rollups.orders_enriched(
-            s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]), "m9")
-        run_suite(models(raw, as_of=registry.AS_OF, enriched=m9), model_suite().checks).collect()
+        run_suite(staged_models(spark, raw, registry.AS_OF), model_suite().checks).collect()
     timed("check_suite", suite)
 
     def full_build():

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martforge.operators import checks
-from martforge.plans import rollups, staging
-from martforge.plans.build import stage_intermediate
+from martforge.plans.build import staged_models
 from martforge.plans.graph import models
 from martforge.plans.rules import ORDER_STATUSES, model_suite
 from martforge.sources.testdata import raw_orders, raw_tables
@@ -42,14 +41,10 @@ def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ5: all 81 model checks, one summary row each.
 
-    ``orders_enriched`` feeds seven of the checked models, so it is written
-    once to the shared checkpoint folder and read back (as in a build) rather
-    than re-planned under every check."""
-    raw = raw_tables(spark, sf_dir)
-    s = staging.staging(raw)
-    m9 = stage_intermediate(spark, rollups.orders_enriched(
-        s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]), "orders_enriched")
-    return checks.run_suite(models(raw, as_of=AS_OF, enriched=m9), model_suite().checks)
+    As in a build, the shared intermediates (``orders_enriched``, the zip
+    centroids, the two roll-ups) are written once to the shared checkpoint
+    folder and read back rather than re-planned under every check."""
+    return checks.run_suite(staged_models(spark, raw_tables(spark, sf_dir), AS_OF), model_suite().checks)
 
 
 QUERIES = {

@@ -2,9 +2,10 @@
 -> data checks over what was written.
 
 ``orders_enriched`` (M9) has four consumers (M10-M13), so it is written once
-to the shared checkpoint folder (``spark.checkpoint.dir``) and read back:
-that cuts the lineage (a lost executor re-reads the file instead of
-recomputing the joins) and the four consumers read a pruned columnar copy.
+to the shared checkpoint folder (``spark.checkpoint.dir``) and read back, as
+are the zip centroids and the two roll-ups: that cuts the lineage (a lost
+executor re-reads a file instead of recomputing joins) and every consumer
+reads a pruned columnar copy.
 The marts are written in full; ``fct_orders`` is partitioned by purchase
 month.  The check suite then runs over the stored marts and the lazy staging
 views; its summary is the only thing brought to the driver (81 rows).
@@ -23,7 +24,7 @@ from martforge.operators.checks import run_suite
 from martforge.plans import marts, rollups, staging
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir
-from martforge.sources.sinks import layer_path, read_table, write_table
+from martforge.sources.sinks import as_view, layer_path, read_table, write_table
 
 MART_LAYOUT = {
     "fct_orders": {"partition_by": ["purchase_month_key"]},
@@ -46,31 +47,48 @@ def stage_intermediate(spark: SparkSession, df: DataFrame, name: str) -> DataFra
     return spark.read.parquet(path)
 
 
-def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
-          as_of: dt.date | str | None = None, run_checks: bool = True) -> BuildResult:
+def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
+                  as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+    """Every model, with the shared intermediates written once to the shared
+    folder and read back: ``orders_enriched`` (four consumers), the zip
+    centroids (two dimensions), the person and seller roll-ups (a dimension
+    and their checks each).  Staging views and marts stay lazy here."""
     s = staging.staging(raw)
     m9 = stage_intermediate(spark, rollups.orders_enriched(
         s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]), "orders_enriched")
     geo = stage_intermediate(spark, s["stg_geolocation"], "stg_geolocation")
-    m10 = rollups.customer_rollup(m9, s["stg_customers"])
-    m11 = rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"])
-    built = {
+    m10 = stage_intermediate(spark, rollups.customer_rollup(m9, s["stg_customers"]), "customer_rollup")
+    m11 = stage_intermediate(spark, rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
+                             "seller_rollup")
+    out = dict(s)
+    out.update({
+        "stg_geolocation": geo, "orders_enriched": m9, "customer_rollup": m10, "seller_rollup": m11,
         "fct_orders": marts.fct_orders(m9, s["stg_customers"]),
         "fct_revenue_daily": marts.fct_revenue_daily(m9),
         "dim_customers": marts.dim_customers(m10, geo, as_of),
         "dim_sellers": marts.dim_sellers(m11, geo),
-    }
+    })
+    return out
+
+
+def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
+          as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False) -> BuildResult:
+    """Write the four marts under ``<root>/<env>_marts`` and return them (read
+    back from storage) with the check summary over the built tables.
+    ``register_views`` also exposes every model as a temp view (SINK1)."""
+    tables = staged_models(spark, raw, as_of)
     stored: dict[str, DataFrame] = {}
-    for name, df in built.items():
+    for name in MART_LAYOUT:
+        df = tables[name]
         path = layer_path(root, env, "marts", name)
-        layout = dict(MART_LAYOUT[name])
         if name == "fct_orders":
             df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
-        write_table(df, path, **layout)
+        write_table(df, path, **MART_LAYOUT[name])
         t = read_table(spark, path)
         stored[name] = t.drop("purchase_month_key") if name == "fct_orders" else t
-    tables = dict(s)
-    tables.update({"stg_geolocation": geo, "orders_enriched": m9, "customer_rollup": m10, "seller_rollup": m11})
     tables.update(stored)
+    if register_views:
+        for name, df in tables.items():
+            as_view(df, name)
     checks = run_suite(tables, model_suite().checks) if run_checks else None
     return BuildResult(stored, checks)
