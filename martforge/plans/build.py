@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,16 @@ def stage_intermediate(spark: SparkSession, df: DataFrame, name: str) -> DataFra
     return spark.read.parquet(path)
 
 
+def concurrently(*jobs):
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each) so their stages share the executors; returns their results."""
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
 def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
                   as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
     """Every model, with the shared intermediates written once to the shared
@@ -54,12 +65,15 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
     centroids (two dimensions), the person and seller roll-ups (a dimension
     and their checks each).  Staging views and marts stay lazy here."""
     s = staging.staging(raw)
-    m9 = stage_intermediate(spark, rollups.orders_enriched(
-        s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]), "orders_enriched")
-    geo = stage_intermediate(spark, s["stg_geolocation"], "stg_geolocation")
-    m10 = stage_intermediate(spark, rollups.customer_rollup(m9, s["stg_customers"]), "customer_rollup")
-    m11 = stage_intermediate(spark, rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
-                             "seller_rollup")
+    m9, geo = concurrently(
+        lambda: stage_intermediate(spark, rollups.orders_enriched(
+            s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]),
+            "orders_enriched"),
+        lambda: stage_intermediate(spark, s["stg_geolocation"], "stg_geolocation"))
+    m10, m11 = concurrently(
+        lambda: stage_intermediate(spark, rollups.customer_rollup(m9, s["stg_customers"]), "customer_rollup"),
+        lambda: stage_intermediate(spark, rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
+                                   "seller_rollup"))
     out = dict(s)
     out.update({
         "stg_geolocation": geo, "orders_enriched": m9, "customer_rollup": m10, "seller_rollup": m11,
@@ -77,15 +91,19 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
     back from storage) with the check summary over the built tables.
     ``register_views`` also exposes every model as a temp view (SINK1)."""
     tables = staged_models(spark, raw, as_of)
-    stored: dict[str, DataFrame] = {}
-    for name in MART_LAYOUT:
-        df = tables[name]
-        path = layer_path(root, env, "marts", name)
-        if name == "fct_orders":
-            df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
-        write_table(df, path, **MART_LAYOUT[name])
-        t = read_table(spark, path)
-        stored[name] = t.drop("purchase_month_key") if name == "fct_orders" else t
+
+    def write_mart(name: str):
+        def job():
+            df = tables[name]
+            path = layer_path(root, env, "marts", name)
+            if name == "fct_orders":
+                df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
+            write_table(df, path, **MART_LAYOUT[name])
+            t = read_table(spark, path)
+            return t.drop("purchase_month_key") if name == "fct_orders" else t
+        return job
+
+    stored = dict(zip(MART_LAYOUT, concurrently(*[write_mart(n) for n in MART_LAYOUT])))
     tables.update(stored)
     if register_views:
         for name, df in tables.items():
