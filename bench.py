@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martforge import registry  # noqa: E402
 from martforge.operators.checks import run_suite  # noqa: E402
-from martforge.plans.build import build, staged_models  # noqa: E402
+from martforge.plans.build import build, concurrently, staged_models  # noqa: E402
 from martforge.plans.graph import models  # noqa: E402
 from martforge.plans.rules import model_suite  # noqa: E402
 from martforge.session import checkpoint_dir, local_session  # noqa: E402
@@ -56,8 +56,9 @@ def main() -> None:
     timed("e2e_fct_revenue_daily", lambda: run_noop(registry.queries()["fct_revenue_daily"](spark, sf_dir)))
 
     def ingest():
-        for name, df in raw_tables(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(f"{scratch}/raw/{name}")
+        jobs = [lambda n=n, df=df: df.write.mode("overwrite").parquet(f"{scratch}/raw/{n}")
+                for n, df in raw_tables(spark, sf_dir).items()]
+        concurrently(*jobs)
     timed("ingest_raw", ingest)
     raw = {name: spark.read.parquet(f"{scratch}/raw/{name}") for name in raw_tables(spark, sf_dir)}
 
