@@ -20,6 +20,27 @@ def to_int(col) -> Column:
     return F.round(_c(col).cast("decimal(38,10)"), 0).cast("int")
 
 
+# Text holding only an integer is a time since the Unix epoch,
+# its unit picked by magnitude — below the first limit seconds, then
+# milliseconds, microseconds, and nanoseconds from the last limit on; a
+# negative integer is always seconds.
+EPOCH_UNIT_LIMITS = (31536000000, 31536000000000, 31536000000000000)
+_MIN_MICROS, _MAX_MICROS = -62135596800000000, 253402300799999999  # 0001-01-01 .. 9999-12-31 23:59:59.999999
+
+
 def to_timestamp(col) -> Column:
-    """SC7 ``try_to_timestamp(x)`` as a zone-less timestamp; unparsable -> NULL."""
-    return F.try_to_timestamp(_c(col)).cast("timestamp_ntz")
+    """SC7 ``try_to_timestamp(x)`` as a zone-less timestamp; unparsable -> NULL.
+
+    Date/time text parses as usual (date-only text is midnight); integer
+    text is epoch time (see ``EPOCH_UNIT_LIMITS``), computed on the zone-less
+    epoch so the session time zone plays no part."""
+    c = _c(col)
+    t = F.trim(c)
+    n = F.when(t.rlike(r"^[+-]?[0-9]{1,30}$"), t.cast("decimal(38,0)"))
+    s1, s2, s3 = EPOCH_UNIT_LIMITS
+    micros = (F.when(n < 0, n * 1000000).when(n < s1, n * 1000000).when(n < s2, n * 1000)
+              .when(n < s3, n).otherwise(F.floor(n / 1000)))
+    in_range = micros.between(_MIN_MICROS, _MAX_MICROS)
+    epoch = F.timestamp_add("MICROSECOND", F.when(in_range, micros).cast("long"),
+                            F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.when(n.isNotNull(), epoch).otherwise(F.try_to_timestamp(c).cast("timestamp_ntz"))

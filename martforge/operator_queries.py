@@ -54,6 +54,22 @@ def safe_timestamp(spark, sf_dir):
     return o.select("o_orderkey", txt.alias("txt"), to_timestamp(txt).alias("parsed_at"))
 
 
+def epoch_timestamp(spark, sf_dir):
+    """SC7 on integer text: epoch seconds / ms / us / ns by magnitude,
+    negative always seconds; other text parses as a date-time."""
+    e = _t(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    base = eid * 86413 + 1000000000
+    k = eid % 6
+    txt = (F.when(k == 0, base.cast("string"))
+           .when(k == 1, (base * 1000 + eid % 1000).cast("string"))
+           .when(k == 2, (base * 1000000 + eid % 1000000).cast("string"))
+           .when(k == 3, (base * 1000000000 + eid * 7).cast("string"))
+           .when(k == 4, (-(eid * 86413)).cast("string"))
+           .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    return e.select("event_id", txt.alias("txt"), to_timestamp(txt).alias("parsed_at"))
+
+
 def strict_casts(spark, sf_dir):
     """SC5/SC6: text to double and to int (fractions round half away from 0)."""
     li = _t(spark, sf_dir, "lineitem")
@@ -266,6 +282,7 @@ QUERIES = {
     "filter_status": filter_status,
     "clean_text": clean_text,
     "safe_timestamp": safe_timestamp,
+    "epoch_timestamp": epoch_timestamp,
     "strict_casts": strict_casts,
     "day_diff": day_diff_q,
     "hour_diff": hour_diff_q,

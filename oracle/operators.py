@@ -13,6 +13,19 @@ ANSWERED = "(ts + to_minutes(CAST(user_id * 17 AS BIGINT)))"
 QUARTER = ("(CAST(CAST(l_quantity AS BIGINT) // 4 AS VARCHAR) || '.' || "
            "CAST((CAST(l_quantity AS BIGINT) % 4) * 25 AS VARCHAR))")
 
+EPOCH_TEXT = """CASE event_id % 6
+  WHEN 0 THEN CAST(event_id * 86413 + 1000000000 AS VARCHAR)
+  WHEN 1 THEN CAST((event_id * 86413 + 1000000000) * 1000 + event_id % 1000 AS VARCHAR)
+  WHEN 2 THEN CAST((event_id * 86413 + 1000000000) * 1000000 + event_id % 1000000 AS VARCHAR)
+  WHEN 3 THEN CAST(CAST(event_id * 86413 + 1000000000 AS HUGEINT) * 1000000000 + event_id * 7 AS VARCHAR)
+  WHEN 4 THEN CAST(-(event_id * 86413) AS VARCHAR)
+  ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END"""
+
+EPOCH_PARSE = """CASE WHEN regexp_full_match(trim(txt), '[+-]?[0-9]{1,30}') THEN make_timestamp(CAST(
+    CASE WHEN n < 0 THEN n * 1000000 WHEN n < 31536000000 THEN n * 1000000 WHEN n < 31536000000000 THEN n * 1000
+         WHEN n < 31536000000000000 THEN n ELSE n // 1000 END AS BIGINT))
+  ELSE try_cast(txt AS TIMESTAMP) END"""
+
 DAILY = f"(SELECT CAST(o_orderdate AS DATE) AS day, {_msum('o_totalprice')} AS revenue FROM orders GROUP BY 1)"
 
 SQL = {
@@ -25,6 +38,10 @@ SELECT c_custkey, lower(trim('  ' || c_mktsegment || ' ')) AS seg_lower,
 FROM customer""",
     "safe_timestamp": f"SELECT o_orderkey, {ORDER_TEXT} AS txt, try_cast({ORDER_TEXT} AS TIMESTAMP) AS parsed_at "
                       "FROM orders",
+    "epoch_timestamp": f"""
+SELECT event_id, txt, {EPOCH_PARSE} AS parsed_at
+FROM (SELECT event_id, txt, TRY_CAST(trim(txt) AS HUGEINT) AS n
+      FROM (SELECT event_id, {EPOCH_TEXT} AS txt FROM events))""",
     "strict_casts": f"""
 SELECT l_orderkey, l_linenumber, l_partkey, CAST(CAST(l_linenumber AS VARCHAR) AS DOUBLE) AS line_d,
   CAST(round(CAST({QUARTER} AS DECIMAL(38,10)), 0) AS INTEGER) AS quarter_i,

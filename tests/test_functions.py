@@ -48,6 +48,13 @@ def test_try_timestamp(spark):
     assert df.schema["t"].dataType.typeName() == "timestamp_ntz"
 
 
+def test_integer_text_is_epoch_time(spark):
+    got = one(spark, to_timestamp("x"), [("2018",), ("1514764800123",), ("1514764800123456789",), ("-86400",),
+                                         ("99999999999999999999999999999",)], "x string")
+    assert got == [dt.datetime(1970, 1, 1, 0, 33, 38), dt.datetime(2018, 1, 1, 0, 0, 0, 123000),
+                   dt.datetime(2018, 1, 1, 0, 0, 0, 123456), dt.datetime(1969, 12, 31), None]
+
+
 def test_day_and_hour_boundaries(spark):
     rows = [(dt.datetime(2018, 1, 1, 23, 59), dt.datetime(2018, 1, 2, 0, 1)),
             (dt.datetime(2018, 1, 1, 0, 59), dt.datetime(2018, 1, 1, 1, 1)),
