@@ -51,7 +51,8 @@ def main(argv=None) -> int:
         b.add_argument("--as-of", default=None)
     args = p.parse_args(argv)
 
-    spark = configure(SparkSession.builder.appName(f"martforge-{args.cmd}").getOrCreate())
+    spark = SparkSession.builder.appName(f"martforge-{args.cmd}").getOrCreate()
+    configure(spark, scale="local" if spark.sparkContext.master.startswith("local") else "cluster")
     checkpoint_dir(spark)
     if args.cmd == "load":
         _, report = csv_ingest.load_raw(spark, args.input, f"{args.lake.rstrip('/')}/raw")

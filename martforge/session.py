@@ -26,10 +26,29 @@ DEFAULTS: dict[str, str] = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the defaults that are not already set on a running session."""
+# Sizing for a large cluster (~100 TB of raw input, ~1000 executors).  The
+# largest shuffles (items to orders, items to sellers) carry a good share of
+# the data; starting from many partitions and letting AQE coalesce them to
+# ~256 MB keeps every task's shuffle block in memory-sized pieces (and
+# spillable), while skewed partitions above 5x the median and 1 GB are split.
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.files.openCostInBytes": "8MB",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
+def configure(spark: SparkSession, scale: str = "local") -> SparkSession:
+    """Apply the defaults that are not already set on a running session
+    (``scale="cluster"`` adds the ``CLUSTER`` sizing, again only where unset)."""
     conf = spark.conf
-    for key, value in DEFAULTS.items():
+    extra = CLUSTER if scale == "cluster" else {}
+    for key, value in {**DEFAULTS, **extra}.items():
         if key in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone"):
             conf.set(key, value)  # semantics depend on these two
         elif conf.get(key, None) is None:
