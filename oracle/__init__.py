@@ -10,7 +10,7 @@ unused CTEs).
 
 from __future__ import annotations
 
-KEY_NULL = "_dbt_utils_surrogate_key_null_"
+from martforge.functions.keys import KEY_NULL_TOKEN as KEY_NULL  # fixed value, stated once
 TS = "'%Y-%m-%d %H:%M:%S'"
 
 

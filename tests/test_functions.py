@@ -9,6 +9,7 @@ from martforge.functions import (
     avg_exact, blank_to_null, clean_lower, clean_upper, day_diff, hour_diff, months_back, round_half_up,
     safe_ratio_pct, sum_money, surrogate_key, to_double, to_int, to_timestamp, trunc_ts, volumetric_weight,
 )
+from martforge.functions.keys import KEY_NULL_TOKEN
 from martforge.functions.text import null_tokens_to_null
 
 
@@ -86,7 +87,7 @@ def test_volumetric_weight(spark):
 def test_surrogate_key_matches_md5_of_joined_text(spark):
     got = one(spark, surrogate_key("a", "b"), [("o1", "1"), ("o1", None)], "a string, b string")
     assert got[0] == hashlib.md5(b"o1-1").hexdigest()
-    assert got[1] == hashlib.md5(b"o1-_dbt_utils_surrogate_key_null_").hexdigest()
+    assert got[1] == hashlib.md5(("o1-" + KEY_NULL_TOKEN).encode()).hexdigest()
 
 
 def test_money_and_averages_are_exact(spark):

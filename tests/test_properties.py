@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from martforge.functions import day_diff, hour_diff, round_half_up, surrogate_key
+from martforge.functions.keys import KEY_NULL_TOKEN
 
 TS = st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2030, 12, 31)).map(
     lambda d: d.replace(microsecond=0))
@@ -39,6 +40,6 @@ def test_round_half_up_matches_decimal_text(spark, ints):
                 max_size=20))
 def test_surrogate_key_is_md5_of_dash_joined_parts(spark, rows):
     got = [r[0] for r in spark.createDataFrame(rows, "a string, b string").select(surrogate_key("a", "b")).collect()]
-    want = [hashlib.md5((a + "-" + (b if b is not None else "_dbt_utils_surrogate_key_null_")).encode()).hexdigest()
+    want = [hashlib.md5((a + "-" + (b if b is not None else KEY_NULL_TOKEN)).encode()).hexdigest()
             for a, b in rows]
     assert got == want
