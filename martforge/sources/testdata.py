@@ -5,7 +5,8 @@ one given table with integer arithmetic and text only (FIXTURES.md §3).  The
 same rules are written in DuckDB SQL for the oracle (``oracle/``), so both
 engines see identical raw text.  Everything is lazy and scales with the input;
 the only shuffle is the item numbering per order (skew-safe, see
-``operators.sequence``), and Catalyst drops it when the item number is unused.
+``operators.sequence``).  Its Python step is opaque to Catalyst, so it runs
+whenever ``order_items`` is read; production inputs carry the item number.
 """
 
 from __future__ import annotations
