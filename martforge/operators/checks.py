@@ -1,13 +1,15 @@
 """Declarative data checks (DQ1-DQ5).
 
-A check is attached to a table and a column; its violations are a DataFrame
-and its ``failures`` is the row count of that DataFrame:
-
-* ``not_null``         — rows where the column is NULL
-* ``unique``           — values (non-NULL) that occur more than once, with counts
-* ``accepted_values``  — distinct non-NULL values outside the list (compared
-                          as text), with counts
-* ``relationships``    — child rows whose non-NULL key has no parent row
+A check is attached to a table and a column; its violations are a DataFrame,
+and ``failures`` counts what the check reports:
+
+* ``not_null``         — the rows where the column is NULL (failures: rows)
+* ``unique``           — ``(value, n_records)`` per non-NULL value seen twice
+                          or more (failures: such values)
+* ``accepted_values``  — ``(value, n_records)`` per distinct non-NULL value
+                          outside the list, compared as text (failures: values)
+* ``relationships``    — ``(value, n_records)`` per non-NULL child key with no
+                          parent row (failures: child rows, ``sum(n_records)``)
 
 Every check aggregates before it shuffles: unique and accepted values group by
 value with map-side combining; relationships pre-aggregates child keys to
