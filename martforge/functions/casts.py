@@ -31,9 +31,10 @@ _MIN_MICROS, _MAX_MICROS = -62135596800000000, 253402300799999999  # 0001-01-01
 def to_timestamp(col) -> Column:
     """SC7 ``try_to_timestamp(x)`` as a zone-less timestamp; unparsable -> NULL.
 
-    Date/time text parses as usual (date-only text is midnight); integer
-    text is epoch time (see ``EPOCH_UNIT_LIMITS``), computed on the zone-less
-    epoch so the session time zone plays no part."""
+    Date/time text parses straight to a zone-less value (date-only text is
+    midnight; a zone suffix is ignored), so the session time zone plays no
+    part — no daylight-saving shift; integer text is epoch time (see
+    ``EPOCH_UNIT_LIMITS``), computed on the zone-less epoch."""
     c = _c(col)
     t = F.trim(c)
     n = F.when(t.rlike(r"^[+-]?[0-9]{1,30}$"), t.cast("decimal(38,0)"))
@@ -43,4 +44,4 @@ def to_timestamp(col) -> Column:
     in_range = micros.between(_MIN_MICROS, _MAX_MICROS)
     epoch = F.timestamp_add("MICROSECOND", F.when(in_range, micros).cast("long"),
                             F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.when(n.isNotNull(), epoch).otherwise(F.try_to_timestamp(c).cast("timestamp_ntz"))
+    return F.when(n.isNotNull(), epoch).otherwise(c.try_cast("timestamp_ntz"))

@@ -49,6 +49,15 @@ def test_try_timestamp(spark):
     assert df.schema["t"].dataType.typeName() == "timestamp_ntz"
 
 
+def test_timestamps_do_not_depend_on_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = one(spark, to_timestamp("x"), [("2018-03-11 02:30:00",), ("1514764800",)], "x string")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2018, 3, 11, 2, 30), dt.datetime(2018, 1, 1)]
+
+
 def test_integer_text_is_epoch_time(spark):
     got = one(spark, to_timestamp("x"), [("2018",), ("1514764800123",), ("1514764800123456789",), ("-86400",),
                                          ("99999999999999999999999999999",)], "x string")
