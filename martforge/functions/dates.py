@@ -24,8 +24,20 @@ def hour_diff(start, end) -> Column:
 
 
 def trunc_ts(unit: str, col) -> Column:
-    """SC11 ``date_trunc(unit, ts)`` kept zone-less."""
-    return F.date_trunc(unit, _c(col)).cast("timestamp_ntz")
+    """SC11 ``date_trunc(unit, ts)`` on a zone-less timestamp, zone-less out.
+
+    Computed from the wall-clock fields (Spark's ``date_trunc`` goes through
+    the session time zone), so daylight-saving days truncate correctly."""
+    c = _c(col)
+    u = unit.upper()
+    if u in ("YEAR", "QUARTER", "MONTH", "WEEK"):
+        return F.trunc(F.to_date(c), u).cast("timestamp_ntz")
+    if u == "DAY":
+        return F.to_date(c).cast("timestamp_ntz")
+    zero = F.lit(0)
+    parts = {"HOUR": (F.hour(c), zero, zero), "MINUTE": (F.hour(c), F.minute(c), zero),
+             "SECOND": (F.hour(c), F.minute(c), F.floor(F.second(c)))}[u]
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), *parts)
 
 
 def months_back(date_col, months: int) -> Column:

@@ -27,7 +27,7 @@ def rolling_rows_avg(value, order_col: str, rows: int, digits: int | None = 2) -
 def period_to_date_sum(value, order_col: str, period: str = "month") -> Column:
     """WN3 ``sum(x) over (partition by date_trunc(period, o) order by o)``
     (default RANGE frame: ties on ``o`` share the sum)."""
-    w = Window.partitionBy(F.date_trunc(period, F.col(order_col))).orderBy(F.col(order_col).asc_nulls_last())
+    w = Window.partitionBy(F.trunc(F.to_date(F.col(order_col)), period)).orderBy(F.col(order_col).asc_nulls_last())
     return F.sum(_c(value).cast(MONEY)).over(w).cast("double")
 
 

@@ -56,6 +56,17 @@ def test_timestamps_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [dt.datetime(2018, 3, 11, 2, 30), dt.datetime(2018, 1, 1)]
+    ts = [(dt.datetime(2018, 3, 11, 2, 30, 45),), (dt.datetime(2018, 11, 4, 1, 30),)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        days = one(spark, trunc_ts("DAY", "a"), ts, "a timestamp_ntz")
+        hours = one(spark, trunc_ts("HOUR", "a"), ts, "a timestamp_ntz")
+        months = one(spark, trunc_ts("MONTH", "a"), ts, "a timestamp_ntz")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert days == [dt.datetime(2018, 3, 11), dt.datetime(2018, 11, 4)]
+    assert hours == [dt.datetime(2018, 3, 11, 2), dt.datetime(2018, 11, 4, 1)]
+    assert months == [dt.datetime(2018, 3, 1), dt.datetime(2018, 11, 1)]
 
 
 def test_integer_text_is_epoch_time(spark):
