@@ -23,8 +23,14 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # Parse every CSV field even when a query reads few columns: with pruning
+    # on, a row with too many fields passes as good under a narrow projection.
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
+# Settings results depend on: always applied, even over a launcher's value.
+SEMANTIC = ("spark.sql.ansi.enabled", "spark.sql.session.timeZone", "spark.sql.csv.parser.columnPruning.enabled")
+
 
 # Sizing for a large cluster (~100 TB of raw input, ~1000 executors).  The
 # largest shuffles (items to orders, items to sellers) carry a good share of
@@ -49,8 +55,8 @@ def configure(spark: SparkSession, scale: str = "local") -> SparkSession:
     conf = spark.conf
     extra = CLUSTER if scale == "cluster" else {}
     for key, value in {**DEFAULTS, **extra}.items():
-        if key in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone"):
-            conf.set(key, value)  # semantics depend on these two
+        if key in SEMANTIC:
+            conf.set(key, value)
         elif conf.get(key, None) is None:
             conf.set(key, value)
     return spark

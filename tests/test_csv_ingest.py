@@ -36,6 +36,13 @@ def test_dialect_tokens_and_quarantine(spark, tmp_dir):
     assert bad == ["4,only", "5,1,2,3,4"]
 
 
+def test_narrow_projection_still_rejects_malformed_rows(spark, tmp_dir):
+    p = f"{tmp_dir}/sellers.csv"
+    write(p, DIRTY.replace('"x, ""q""\nline2"', '"x, ""q"""'))
+    good = ci.good_rows(ci.read_raw_csv(spark, "sellers", p))
+    assert len(good.collect()) == len(good.select("seller_id").collect()) == 4
+
+
 def test_header_contract(spark, tmp_dir):
     p = f"{tmp_dir}/sellers.csv"
     write(p, "seller_id,zip,seller_city,seller_state\n1,2,3,4\n")
