@@ -55,7 +55,11 @@ def main(argv=None) -> int:
     configure(spark, scale="local" if spark.sparkContext.master.startswith("local") else "cluster")
     checkpoint_dir(spark)
     if args.cmd == "load":
-        _, report = csv_ingest.load_raw(spark, args.input, f"{args.lake.rstrip('/')}/raw")
+        try:
+            _, report = csv_ingest.load_raw(spark, args.input, f"{args.lake.rstrip('/')}/raw")
+        except (csv_ingest.MissingInputError, csv_ingest.ContractError) as e:
+            print(f"load stopped: {e}", file=sys.stderr)
+            return 2
         rows = report.collect()  # nine rows
         for r in rows:
             print(f"{r.table_name:40s} loaded {r.rows_loaded:>12,d}  rejected {r.rows_rejected:>10,d}")

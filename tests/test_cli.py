@@ -15,3 +15,9 @@ def test_load_run_test(spark, tmp_dir, capsys):
     assert main(["test", "--lake", f"{tmp_dir}/lake", "--as-of", "2001-08-01"]) == 1  # seeded failures
     out = capsys.readouterr().out
     assert "75 passed, 6 failed" in out and "FAIL not_null_stg_orders_purchased_at (16)" in out
+
+
+def test_load_reports_missing_inputs(spark, tmp_dir, capsys):
+    assert main(["load", "--input", f"{tmp_dir}/nothing", "--lake", f"{tmp_dir}/lake"]) == 2
+    err = capsys.readouterr().err
+    assert "missing raw inputs" in err and "order_reviews" in err and "product_category_name_translation" in err
