@@ -14,7 +14,6 @@ from martforge.functions import (
 from martforge.operators.aggregates import arg_max, conditional_counts, mode_per_key
 from martforge.operators.latest import latest_per_key
 from martforge.operators.windows import period_to_date_sum, rolling_rows_avg, running_total
-from martforge.plans.rollups import seller_score
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from martforge.plans import marts, rollups, staging
 
 
-def models(raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
-           enriched: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All fifteen models.  ``enriched`` lets a build pass in a materialised M9
-    (it has four consumers); otherwise M9 is planned inline in each."""
+def models(raw: dict[str, DataFrame], as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+    """All fifteen models, lazily; M9 is planned inline in each consumer.
+    ``plans.build.staged_models`` is the variant that materialises the shared
+    intermediates once."""
     s = staging.staging(raw)
-    m9 = enriched if enriched is not None else rollups.orders_enriched(
-        s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"])
+    m9 = rollups.orders_enriched(s["stg_orders"], s["stg_order_items"], s["stg_order_payments"],
+                                 s["stg_order_reviews"])
     m10 = rollups.customer_rollup(m9, s["stg_customers"])
     m11 = rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"])
     out = dict(s)

@@ -18,16 +18,6 @@ from martforge.functions import avg_exact, avg_money, day_diff, round_half_up, s
 from martforge.operators.aggregates import arg_max
 from martforge.operators.latest import latest_per_key
 
-ENRICHED_COLUMNS = [
-    "order_id", "customer_id", "order_status", "purchased_at", "approved_at", "delivered_to_carrier_at",
-    "delivered_to_customer_at", "estimated_delivery_at", "actual_delivery_days", "estimated_delivery_days",
-    "delivery_delay_days", "is_late_delivery", "item_count", "items_subtotal", "freight_total",
-    "order_gross_revenue", "distinct_sellers", "total_payment_amount", "max_installments",
-    "primary_payment_type", "review_score", "review_title", "review_message", "review_response_hours",
-    "is_delivered", "is_positive_review",
-]
-
-
 def items_per_order(items: DataFrame) -> DataFrame:
     """AG2/AG4/AG5 per order: count, money sums, distinct sellers."""
     return items.groupBy("order_id").agg(

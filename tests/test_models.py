@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from martforge.plans.graph import models
 from martforge.sources.contracts import RAW_COLUMNS, raw_schema
