@@ -17,11 +17,12 @@ def arg_max(value, order: Sequence, numeric_order: bool = False) -> Column:
     real ordering, the rest break ties).  Rows whose first ordering column is
     NULL are ignored; a group with no ordered row gives NULL.  With
     ``numeric_order`` the first column is compared as a number instead of as
-    text (text order makes '9' beat '10').
+    text (text order makes '9' beat '10'); text that is not a number is then
+    unordered and ignored.
     """
     cols = [_c(c) for c in order]
     if numeric_order:
-        cols[0] = cols[0].cast("decimal(38,10)")
+        cols[0] = cols[0].try_cast("decimal(38,10)")
     key = F.when(cols[0].isNotNull(), F.struct(*cols))
     return F.max_by(_c(value), key)
 

@@ -33,6 +33,8 @@ def test_arg_max_text_order_and_nulls(spark):
     assert got["o1"] == ("boleto", "voucher")
     assert got["o2"] == (None, None)  # no ordered row
     assert got["o3"] == (None, None)  # the latest row's value is NULL
+    odd = spark.createDataFrame([("o", "x", "a"), ("o", "2", "b")], "k string, seq string, v string")
+    assert odd.groupBy("k").agg(arg_max("v", ["seq", "v"], numeric_order=True)).first()[1] == "b"
 
 
 def test_mode_ties_and_nulls(spark):
