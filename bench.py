@@ -1,8 +1,9 @@
 """Bench: headline work at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Follows the production flow: the nine raw tables (derived from the test data)
-land in storage once — as ``load_raw`` does for CSV — and every model, the
-check suite and the full build read them.  Also timed: one query end to end
+land in storage once — as ``load_raw`` does for CSV — as ``$BENCH_CPUS`` files
+each (a landing zone holds many files; a single small file would be a single
+scan task), and every model, the check suite and the full build read them.  Also timed: one query end to end
 from the test-data tables.  Each query is forced to completion with the
 ``noop`` sink (full computation, nothing collected); the full build writes
 real parquet to a fresh scratch folder.  An untimed warm-up runs first.
@@ -61,7 +62,9 @@ def main() -> None:
     timed("e2e_fct_revenue_daily", lambda: run_noop(registry.queries()["fct_revenue_daily"](spark, sf_dir)))
 
     def ingest():
-        jobs = [lambda n=n, df=df: df.write.mode("overwrite").parquet(f"{scratch}/raw/{n}")
+        # A landing zone holds many files; at this size a table would be one
+        # file with one row group (one scan task), so land it as `cpus` files.
+        jobs = [lambda n=n, df=df: df.repartition(cpus).write.mode("overwrite").parquet(f"{scratch}/raw/{n}")
                 for n, df in raw_tables(spark, sf_dir).items()]
         concurrently(*jobs)
     timed("ingest_raw", ingest, runs=1)
