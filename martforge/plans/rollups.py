@@ -43,13 +43,16 @@ def payments_per_order(payments: DataFrame, numeric_order: bool = False) -> Data
 
 def latest_review(reviews: DataFrame) -> DataFrame:
     """WN1: one review per order — latest creation time, a NULL time counting
-    as the latest (Q4), then the larger review id and score."""
+    as the latest (Q4), then the larger review id and score.  The order ends
+    with every remaining output field, so it is total on what is returned:
+    re-submitted reviews can share id, score and creation second."""
     return latest_per_key(
         reviews.select("order_id", "review_id", "review_score", "review_title", "review_message",
                        "review_created_at", "response_time_hours"),
         ["order_id"],
         [F.col("review_created_at").desc_nulls_first(), F.col("review_id").desc_nulls_last(),
-         F.col("review_score").desc_nulls_last()],
+         F.col("review_score").desc_nulls_last(), F.col("response_time_hours").desc_nulls_last(),
+         F.col("review_title").desc_nulls_last(), F.col("review_message").desc_nulls_last()],
     )
 
 

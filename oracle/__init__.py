@@ -232,7 +232,8 @@ LEFT JOIN (SELECT order_id, {_msum('payment_amount')} AS total_payment_amount,
            FROM stg_order_payments GROUP BY order_id) op ON o.order_id = op.order_id
 LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id
              ORDER BY review_created_at DESC NULLS FIRST, review_id DESC NULLS LAST,
-                      review_score DESC NULLS LAST) AS rn
+                      review_score DESC NULLS LAST, response_time_hours DESC NULLS LAST,
+                      review_title DESC NULLS LAST, review_message DESC NULLS LAST) AS rn
            FROM stg_order_reviews) WHERE rn = 1) r ON o.order_id = r.order_id""",
     "customer_rollup": f"""
 SELECT customer_unique_id, customer_city, customer_state, zip_code_prefix, total_orders, delivered_orders,
