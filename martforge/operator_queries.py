@@ -63,7 +63,7 @@ def epoch_timestamp(spark, sf_dir):
     txt = (F.when(k == 0, base.cast("string"))
            .when(k == 1, (base * 1000 + eid % 1000).cast("string"))
            .when(k == 2, (base * 1000000 + eid % 1000000).cast("string"))
-           .when(k == 3, (base * 1000000000 + eid * 7).cast("string"))
+           .when(k == 3, (base.cast("decimal(38,0)") * 1000000000 + eid * 7).cast("string"))
            .when(k == 4, (-(eid * 86413)).cast("string"))
            .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
     return e.select("event_id", txt.alias("txt"), to_timestamp(txt).alias("parsed_at"))
