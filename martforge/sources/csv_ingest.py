@@ -2,7 +2,8 @@
 
 * every table is read as text, never inferred (a zip like ``01037`` stays text);
 * the header decides the column names (trimmed, BOM removed) and must match
-  the declared contract (SRC1), in any order;
+  the declared contract (SRC1), in any order; every part file's header is
+  checked, so a file with other or reordered columns fails the load;
 * the dialect is comma separated, optional ``"`` quoting with doubled quotes;
   only tables with free text are read ``multiLine`` (that makes a file one
   split, so the others stay splittable);
@@ -66,10 +67,18 @@ def check_inputs(spark: SparkSession, paths: Mapping[str, str]) -> None:
         raise MissingInputError("missing raw inputs:\n  " + "\n  ".join(missing))
 
 
+def raw_header(spark: SparkSession, table: str, path: str, multiline: bool | None = None) -> list[str]:
+    """The header line's column names exactly as written (first file)."""
+    return _reader(spark, table, multiline).csv(path).columns  # reads the first line only
+
+
+def clean_name(name: str) -> str:
+    return name.replace("\ufeff", "").strip()
+
+
 def header_columns(spark: SparkSession, table: str, path: str, multiline: bool | None = None) -> list[str]:
     """IO4: column names from the header line, BOM and spaces stripped."""
-    names = _reader(spark, table, multiline).csv(path).columns  # reads the first line only
-    return [n.replace("﻿", "").strip() for n in names]
+    return [clean_name(n) for n in raw_header(spark, table, path, multiline)]
 
 
 def validate_header(table: str, names: list[str]) -> None:
@@ -88,11 +97,17 @@ def read_raw_csv(spark: SparkSession, table: str, path: str, multiline: bool | N
     Spark refuses a query whose only column read is ``_bad`` (e.g. a bare
     ``good_rows(df).count()``): detecting malformed rows needs the whole row
     parsed.  Count through ``load_raw``'s report, or with a data column selected."""
-    names = header_columns(spark, table, path, multiline)
+    written = raw_header(spark, table, path, multiline)
+    names = [clean_name(n) for n in written]
     validate_header(table, names)
-    schema = StructType([StructField(n, StringType(), True) for n in names] + [StructField(BAD, StringType(), True)])
-    df = _reader(spark, table, multiline).schema(schema).csv(path)
-    return df.select(*[null_tokens_to_null(F.col(f"`{n}`")).alias(n) for n in RAW_COLUMNS[table]], F.col(BAD))
+    # The schema carries the header exactly as written, and every file's header
+    # is checked against it (enforceSchema off): a part file with other or
+    # reordered columns fails the read instead of being read out of place.
+    schema = StructType([StructField(n, StringType(), True) for n in written] + [StructField(BAD, StringType(), True)])
+    df = _reader(spark, table, multiline).option("enforceSchema", False).schema(schema).csv(path)
+    by_name = dict(zip(names, written))
+    return df.select(*[null_tokens_to_null(F.col(f"`{by_name[n]}`")).alias(n) for n in RAW_COLUMNS[table]],
+                     F.col(BAD))
 
 
 def good_rows(df: DataFrame) -> DataFrame:

@@ -54,6 +54,19 @@ def test_header_contract(spark, tmp_dir):
     assert tuple(row) == ("s9", "01037", "c", "SP")  # header order, contract output order
 
 
+def test_every_part_file_header_is_checked(spark, tmp_dir):
+    head = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    write(f"{tmp_dir}/ok/sellers.csv/part-1.csv", head + "1,01037,a,SP\n")
+    write(f"{tmp_dir}/ok/sellers.csv/part-2.csv", head + "2,02000,b,RJ\n")
+    rows = ci.good_rows(ci.read_raw_csv(spark, "sellers", f"{tmp_dir}/ok/sellers.csv")).collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "01037", "a", "SP"), ("2", "02000", "b", "RJ")]
+    write(f"{tmp_dir}/bad/sellers.csv/part-1.csv", head + "1,01037,a,SP\n")
+    write(f"{tmp_dir}/bad/sellers.csv/part-2.csv",
+          "seller_state,seller_city,seller_zip_code_prefix,seller_id\nRJ,b,02000,2\n")
+    with pytest.raises(Exception):  # read out of place otherwise
+        ci.good_rows(ci.read_raw_csv(spark, "sellers", f"{tmp_dir}/bad/sellers.csv")).collect()
+
+
 def test_missing_inputs_listed_together(spark, tmp_dir):
     write(f"{tmp_dir}/sellers.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\n")
     with pytest.raises(ci.MissingInputError) as e:
