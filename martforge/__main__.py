@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martforge.operators.checks import run_suite
-from martforge.plans.build import MART_LAYOUT, build, staged_models
+from martforge.plans.build import MARTS, build, staged_models
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir, configure
 from martforge.sources import csv_ingest
@@ -71,7 +71,7 @@ def main(argv=None) -> int:
             print(f"built {layer_path(args.lake, args.env, 'marts', name)}")
         return 0
     tables = staged_models(spark, _raw(spark, args.lake), args.as_of)
-    for name in MART_LAYOUT:
+    for name in MARTS:
         t = read_table(spark, layer_path(args.lake, args.env, "marts", name))
         tables[name] = t.drop("purchase_month_key") if "purchase_month_key" in t.columns else t
     summary = run_suite(tables, model_suite().checks).collect()  # one row per check

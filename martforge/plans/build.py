@@ -27,12 +27,16 @@ from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir
 from martforge.sources.sinks import as_view, layer_path, read_table, write_table
 
-MART_LAYOUT = {
-    "fct_orders": {"partition_by": ["purchase_month_key"]},
-    "fct_revenue_daily": {"files": 1, "sort_within": ["revenue_date"]},
-    "dim_customers": {},
-    "dim_sellers": {},
-}
+MARTS = ("fct_orders", "fct_revenue_daily", "dim_customers", "dim_sellers")
+
+
+def mart_layout(name: str) -> dict:
+    """How each mart is written (``write_table`` options)."""
+    if name == "fct_orders":
+        return {"partition_by": ["purchase_month_key"]}
+    if name == "fct_revenue_daily":  # one small file, in the model's order (NULL day last)
+        return {"files": 1, "sort_within": [F.col("revenue_date").asc_nulls_last()]}
+    return {}
 
 
 @dataclass
@@ -98,12 +102,12 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
             path = layer_path(root, env, "marts", name)
             if name == "fct_orders":
                 df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
-            write_table(df, path, **MART_LAYOUT[name])
+            write_table(df, path, **mart_layout(name))
             t = read_table(spark, path)
             return t.drop("purchase_month_key") if name == "fct_orders" else t
         return job
 
-    stored = dict(zip(MART_LAYOUT, concurrently(*[write_mart(n) for n in MART_LAYOUT])))
+    stored = dict(zip(MARTS, concurrently(*[write_mart(n) for n in MARTS])))
     tables.update(stored)
     if register_views:
         for name, df in tables.items():

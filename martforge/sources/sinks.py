@@ -25,7 +25,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence = (),
                 files: int | None = None) -> None:
     """SINK3: full replace.  ``partition_by`` for large facts (prunes reads by
     the key), ``sort_within`` for a clustered layout inside each file,
