@@ -26,3 +26,12 @@ def test_csv_build_round_trip(spark, tmp_dir):
         "not_null_fct_orders_customer_unique_id": 5, "not_null_fct_orders_purchase_date": 16,
         "not_null_fct_revenue_daily_revenue_date": 1, "not_null_dim_sellers_total_revenue": 20,
     }
+
+
+def test_build_can_register_every_model_as_a_view(spark, tmp_dir):
+    res = build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out", as_of="2001-08-01", run_checks=False,
+                register_views=True)
+    assert res.checks is None
+    n = spark.sql("SELECT count(*) FROM fct_orders o JOIN dim_customers c USING (customer_unique_id)").first()[0]
+    assert n > 0
+    assert spark.sql("SELECT count(*) FROM stg_orders").first()[0] == spark.table("fct_orders").count()
