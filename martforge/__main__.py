@@ -49,6 +49,8 @@ def main(argv=None) -> int:
         b.add_argument("--lake", required=True)
         b.add_argument("--env", default="dev")
         b.add_argument("--as-of", default=None)
+        b.add_argument("--numeric-payment-order", action="store_true",
+                       help="rank payment_sequential as a number, not as text, for the primary payment type")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"martforge-{args.cmd}").getOrCreate()
@@ -66,11 +68,12 @@ def main(argv=None) -> int:
         print(f"total loaded {sum(r.rows_loaded for r in rows):,d}")
         return 0
     if args.cmd == "run":
-        res = build(spark, _raw(spark, args.lake), args.lake, env=args.env, as_of=args.as_of, run_checks=False)
+        res = build(spark, _raw(spark, args.lake), args.lake, env=args.env, as_of=args.as_of, run_checks=False,
+                    numeric_payment_order=args.numeric_payment_order)
         for name in res.tables:
             print(f"built {layer_path(args.lake, args.env, 'marts', name)}")
         return 0
-    tables = staged_models(spark, _raw(spark, args.lake), args.as_of)
+    tables = staged_models(spark, _raw(spark, args.lake), args.as_of, args.numeric_payment_order)
     for name in MARTS:
         t = read_table(spark, layer_path(args.lake, args.env, "marts", name))
         tables[name] = t.drop("purchase_month_key") if "purchase_month_key" in t.columns else t

@@ -62,8 +62,8 @@ def concurrently(*jobs):
         return [f.result() for f in futures]
 
 
-def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
-                  as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
+                  numeric_payment_order: bool = False) -> dict[str, DataFrame]:
     """Every model, with the shared intermediates written once to the shared
     folder and read back: ``orders_enriched`` (four consumers), the zip
     centroids (two dimensions), the person and seller roll-ups (a dimension
@@ -71,8 +71,8 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
     s = staging.staging(raw)
     m9, geo = concurrently(
         lambda: stage_intermediate(spark, rollups.orders_enriched(
-            s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"]),
-            "orders_enriched"),
+            s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"],
+            numeric_payment_order), "orders_enriched"),
         lambda: stage_intermediate(spark, s["stg_geolocation"], "stg_geolocation"))
     m10, m11 = concurrently(
         lambda: stage_intermediate(spark, rollups.customer_rollup(m9, s["stg_customers"]), "customer_rollup"),
@@ -90,11 +90,12 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame],
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
-          as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False) -> BuildResult:
+          as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False,
+          numeric_payment_order: bool = False) -> BuildResult:
     """Write the four marts under ``<root>/<env>_marts`` and return them (read
     back from storage) with the check summary over the built tables.
     ``register_views`` also exposes every model as a temp view (SINK1)."""
-    tables = staged_models(spark, raw, as_of)
+    tables = staged_models(spark, raw, as_of, numeric_payment_order)
 
     def write_mart(name: str):
         def job():

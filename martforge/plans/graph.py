@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 from martforge.plans import marts, rollups, staging
 
 
-def models(raw: dict[str, DataFrame], as_of: dt.date | str | None = None) -> dict[str, DataFrame]:
+def models(raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
+           numeric_payment_order: bool = False) -> dict[str, DataFrame]:
     """All fifteen models, lazily; M9 is planned inline in each consumer.
     ``plans.build.staged_models`` is the variant that materialises the shared
-    intermediates once."""
+    intermediates once.  ``numeric_payment_order`` ranks payment sequences as
+    numbers instead of text for the primary payment type (Q1)."""
     s = staging.staging(raw)
     m9 = rollups.orders_enriched(s["stg_orders"], s["stg_order_items"], s["stg_order_payments"],
-                                 s["stg_order_reviews"])
+                                 s["stg_order_reviews"], numeric_payment_order)
     m10 = rollups.customer_rollup(m9, s["stg_customers"])
     m11 = rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"])
     out = dict(s)

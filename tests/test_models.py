@@ -128,3 +128,14 @@ def test_daily_revenue_keeps_null_day_last(built):
     assert [d.revenue_date for d in days] == [dt.date(2018, 1, 1), dt.date(2018, 1, 5), None]
     assert days[-1].revenue_cumulative == 110.0 + 961.5 + 0.0
     assert days[1].revenue_7d_avg == round((110.0 + 961.5) / 2, 2)
+
+
+def test_numeric_payment_order_option(spark):
+    cols = {t: raw(spark, t, []) for t in RAW_COLUMNS}
+    cols["orders"] = raw(spark, "orders", [dict(order_id="o1", customer_id="c1", order_status="delivered")])
+    cols["order_payments"] = raw(spark, "order_payments", [
+        dict(order_id="o1", payment_sequential="9", payment_type="boleto", payment_value="1.00"),
+        dict(order_id="o1", payment_sequential="10", payment_type="voucher", payment_value="1.00")])
+    as_text = models(cols)["orders_enriched"].first().primary_payment_type
+    as_number = models(cols, numeric_payment_order=True)["orders_enriched"].first().primary_payment_type
+    assert (as_text, as_number) == ("boleto", "voucher")
