@@ -20,7 +20,9 @@ def test_latest_per_key_null_time_wins_then_larger_id(spark):
 
 def test_latest_per_key_plans_partial_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
-    plan = latest_per_key(df, ["k"], [F.col("v").desc()])._jdf.queryExecution().executedPlan().toString()
+    from tools.plan_text import plan_text
+
+    plan = plan_text(latest_per_key(df, ["k"], [F.col("v").desc()]))
     assert "WindowGroupLimit" in plan
 
 
