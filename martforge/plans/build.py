@@ -91,9 +91,10 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
           as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False,
-          numeric_payment_order: bool = False) -> BuildResult:
-    """Write the four marts under ``<root>/<env>_marts`` and return them (read
-    back from storage) with the check summary over the built tables.
+          numeric_payment_order: bool = False, marts: tuple[str, ...] = MARTS) -> BuildResult:
+    """Write the four marts (or the selected ``marts``) under
+    ``<root>/<env>_marts`` and return them (read back from storage) with the
+    check summary over the built tables.
     ``register_views`` also exposes every model as a temp view (SINK1)."""
     tables = staged_models(spark, raw, as_of, numeric_payment_order)
 
@@ -108,7 +109,10 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
             return t.drop("purchase_month_key") if name == "fct_orders" else t
         return job
 
-    stored = dict(zip(MARTS, concurrently(*[write_mart(n) for n in MARTS])))
+    unknown = set(marts) - set(MARTS)
+    if unknown:
+        raise ValueError(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}")
+    stored = dict(zip(marts, concurrently(*[write_mart(n) for n in marts])))
     tables.update(stored)
     if register_views:
         for name, df in tables.items():
