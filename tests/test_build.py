@@ -35,3 +35,16 @@ def test_build_can_register_every_model_as_a_view(spark, tmp_dir):
     n = spark.sql("SELECT count(*) FROM fct_orders o JOIN dim_customers c USING (customer_unique_id)").first()[0]
     assert n > 0
     assert spark.sql("SELECT count(*) FROM stg_orders").first()[0] == spark.table("fct_orders").count()
+
+
+def test_build_selected_marts_only(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    res = build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out", as_of="2001-08-01", run_checks=False,
+                marts=("fct_revenue_daily",))
+    assert list(res.tables) == ["fct_revenue_daily"]
+    assert os.listdir(f"{tmp_dir}/out/dev_marts") == ["fct_revenue_daily"]
+    with pytest.raises(ValueError):
+        build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out2", run_checks=False, marts=("fct_nothing",))
