@@ -85,3 +85,14 @@ def test_load_raw_writes_once_and_reports(spark, tmp_dir):
     assert rep["sellers"] == (4, 2) and rep["orders"] == (0, 0)
     assert len(tables["sellers"].collect()) == 4
     assert os.path.isdir(f"{tmp_dir}/raw/sellers/_status=rejected")
+
+
+def test_windows_line_endings(spark, tmp_dir):
+    p = f"{tmp_dir}/order_reviews.csv"
+    with open(p, "w", encoding="utf-8", newline="") as f:
+        f.write(",".join(RAW_COLUMNS["order_reviews"]) + "\r\n"
+                + 'r1,o1,2,,"bad, ""late""\r\nvery late",2018-01-01 00:00:00,2018-01-02 01:01:00\r\n'
+                + "r2,o1,5,t,ok,2018-01-02 00:00:00,2018-01-02 01:01:00\r\n")
+    rows = sorted(tuple(r) for r in ci.good_rows(ci.read_raw_csv(spark, "order_reviews", p)).collect())
+    assert rows[0][4] == 'bad, "late"\nvery late' and rows[0][6] == "2018-01-02 01:01:00"  # no trailing CR
+    assert rows[1][6] == "2018-01-02 01:01:00"
