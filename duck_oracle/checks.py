@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import oracle
+import duck_oracle as oracle
 from martforge.plans.rules import ORDER_STATUSES, model_suite
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import oracle
+import duck_oracle as oracle
 
 _TABLES = {
     "customers": "raw_customers", "geolocation": "raw_geolocation", "order_items": "raw_order_items",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import KEY_NULL, _ddiff, _iavg, _key, _msum, _round
+from duck_oracle import KEY_NULL, _ddiff, _iavg, _key, _msum, _round
 
 ORDER_TEXT = """CASE WHEN o_orderkey % 10 = 0 THEN 'bad ' || CAST(o_orderkey AS VARCHAR)
   WHEN o_orderkey % 10 = 3 THEN strftime(o_orderdate, '%Y-%m-%d')

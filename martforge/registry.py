@@ -58,8 +58,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    import oracle
-    from oracle import checks as check_oracle, io as io_oracle, operators as op_oracle
+    import duck_oracle as oracle
+    from duck_oracle import checks as check_oracle, io as io_oracle, operators as op_oracle
 
     out = {key: oracle.with_models(f"SELECT * FROM {key}") for key in RAW_QUERY_NAMES}
     out.update({name: oracle.model_sql(name) for name in MODEL_NAMES})

@@ -2,7 +2,7 @@
 
 The test data has no retail-order tables, so each raw table is computed from
 one given table with integer arithmetic and text only (FIXTURES.md §3).  The
-same rules are written in DuckDB SQL for the oracle (``oracle/``), so both
+same rules are written in DuckDB SQL for the oracle (``duck_oracle/``), so both
 engines see identical raw text.  Everything is lazy and scales with the input;
 the only shuffle is the item numbering per order (skew-safe, see
 ``operators.sequence``).  Its Python step is opaque to Catalyst, so it runs
