@@ -43,3 +43,26 @@ def test_surrogate_key_is_md5_of_dash_joined_parts(spark, rows):
     want = [hashlib.md5((a + "-" + (b if b is not None else KEY_NULL_TOKEN)).encode()).hexdigest()
             for a, b in rows]
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abcde")),
+                          st.one_of(st.none(), st.sampled_from(["x", "y", "z", "q"]))), max_size=30),
+       st.lists(st.one_of(st.none(), st.sampled_from("abc")), max_size=10))
+def test_check_suite_matches_brute_force(spark, rows, parents):
+    from martforge.operators.checks import Check, run_suite
+
+    child = spark.createDataFrame(rows, "k string, v string")
+    parent = spark.createDataFrame([(p,) for p in parents], "k string")
+    checks = [Check("t", "k", "not_null"), Check("t", "k", "unique"), Check("t", "v", "accepted_values", ("x", "y")),
+              Check("t", "k", "relationships", (), "p", "k")]
+    got = {r.check_name: r.failures for r in run_suite({"t": child, "p": parent}, checks).collect()}
+    keys = [k for k, _ in rows]
+    present = {k for k in keys if k is not None}
+    want = {
+        "not_null_t_k": sum(k is None for k in keys),
+        "unique_t_k": sum(1 for k in present if keys.count(k) > 1),
+        "accepted_values_t_v": len({v for _, v in rows if v is not None and v not in ("x", "y")}),
+        "relationships_t_k__p_k": sum(1 for k in keys if k is not None and k not in set(parents)),
+    }
+    assert got == want
