@@ -66,3 +66,22 @@ def test_check_suite_matches_brute_force(spark, rows, parents):
         "relationships_t_k__p_k": sum(1 for k in keys if k is not None and k not in set(parents)),
     }
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.one_of(st.none(), st.sampled_from("abcd"))),
+                min_size=1, max_size=40))
+def test_modes_match_brute_force(spark, rows):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from martforge.operators import modes_per_key
+
+    got = {r.k: r.m for r in modes_per_key(spark.createDataFrame(rows, "k string, v string"), "k",
+                                           {"m": F.col("v")}).collect()}
+    want = {}
+    for k in {k for k, _ in rows}:
+        counts = Counter(v for kk, v in rows if kk == k and v is not None)
+        want[k] = min(counts, key=lambda v: (-counts[v], v)) if counts else None
+    assert got == want
