@@ -85,3 +85,24 @@ def test_modes_match_brute_force(spark, rows):
         counts = Counter(v for kk, v in rows if kk == k and v is not None)
         want[k] = min(counts, key=lambda v: (-counts[v], v)) if counts else None
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.one_of(st.none(), st.integers(0, 5)),
+                          st.integers(0, 1000)), min_size=1, max_size=30, unique_by=lambda r: r[2]))
+def test_latest_and_arg_max_match_brute_force(spark, rows):
+    from pyspark.sql import functions as F
+
+    from martforge.operators import arg_max, latest_per_key
+
+    df = spark.createDataFrame(rows, "k string, t int, id int")
+    latest = {r.k: r.id for r in latest_per_key(df, ["k"], [F.col("t").desc_nulls_first(), F.col("id").desc()])
+              .collect()}
+    top = {r.k: r.v for r in df.groupBy("k").agg(arg_max("id", ["t", "id"]).alias("v")).collect()}
+    for k in {k for k, _, _ in rows}:
+        group = [(t, i) for kk, t, i in rows if kk == k]
+        nulls = [i for t, i in group if t is None]
+        want_latest = max(nulls) if nulls else max(group)[1]
+        assert latest[k] == want_latest
+        ordered = [(t, i) for t, i in group if t is not None]
+        assert top[k] == (max(ordered)[1] if ordered else None)
