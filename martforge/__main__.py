@@ -71,6 +71,10 @@ def main(argv=None) -> int:
         return 0
     selected = [m.strip() for m in args.select.split(",")] if getattr(args, "select", None) else None
     if args.cmd == "run":
+        unknown = set(selected or ()) - set(MARTS)
+        if unknown:
+            print(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}", file=sys.stderr)
+            return 2
         res = build(spark, _raw(spark, args.lake), args.lake, env=args.env, as_of=args.as_of, run_checks=False,
                     numeric_payment_order=args.numeric_payment_order, marts=tuple(selected or MARTS))
         for name in res.tables:

@@ -26,3 +26,8 @@ def test_load_reports_missing_inputs(spark, tmp_dir, capsys):
     assert main(["load", "--input", f"{tmp_dir}/nothing", "--lake", f"{tmp_dir}/lake"]) == 2
     err = capsys.readouterr().err
     assert "missing raw inputs" in err and "order_reviews" in err and "product_category_name_translation" in err
+
+
+def test_run_rejects_unknown_marts(spark, tmp_dir, capsys):
+    assert main(["run", "--lake", f"{tmp_dir}/lake", "--select", "fct_nothing"]) == 2
+    assert "unknown marts" in capsys.readouterr().err
