@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from martforge import registry
 from tests.conftest import SF_SMALL
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in registry.queries()}
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
