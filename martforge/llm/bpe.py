@@ -23,9 +23,9 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import regex
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from martforge.llm.common import read
+from martforge.llm.common import read, with_fields
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BYTES = 1 << 24  # bytes of text encoded at a time: the more, the fewer walks over the ranks
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER, text: str = "text") -> DataFr
     a text is that token.  A column already named ids is replaced."""
     model = docs.sparkSession.sparkContext.broadcast(Model.load(path))
     kept = docs.drop("ids")
-    schema = kept.schema.add("ids", "array<int>")
+    schema = with_fields(kept.schema, ("ids", T.ArrayType(T.IntegerType())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.value)
@@ -292,7 +292,7 @@ def decode(rows: DataFrame, path: str = TOKENIZER, ids: str = "ids") -> DataFram
     Bytes that are no UTF-8 become U+FFFD; null ids give the empty text; an id
     that the tokenizer lacks is an error."""
     model = rows.sparkSession.sparkContext.broadcast(Model.load(path))
-    schema = rows.drop(ids, "decoded").schema.add("decoded", "string")
+    schema = with_fields(rows.drop(ids, "decoded").schema, ("decoded", T.StringType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.value.token_bytes

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martforge.session import checkpoint_dir
 
@@ -35,6 +35,11 @@ def texts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def with_fields(schema: T.StructType, *more: tuple[str, T.DataType]) -> T.StructType:
+    """The schema with fields added at its end."""
+    return T.StructType([*schema.fields, *(T.StructField(name, kind) for name, kind in more)])
+
+
 def buckets(spark: SparkSession) -> int:
     """Number of shuffle buckets: the session's shuffle width, which grows with the cluster's data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -19,9 +19,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from martforge.llm.common import pieces, read, text_buffers
+from martforge.llm.common import pieces, read, text_buffers, with_fields
 
 PROFILE = 300
 ORDERS = 3
@@ -152,7 +152,7 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
     that sorts first."""
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
     kept = docs.drop("lang_pred", "score")
-    schema = kept.schema.add("lang_pred", "string").add("score", "double")
+    schema = with_fields(kept.schema, ("lang_pred", T.StringType()), ("score", T.DoubleType()))
     text = kept.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

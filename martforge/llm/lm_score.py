@@ -71,7 +71,7 @@ def value(level: np.ndarray) -> np.ndarray:
 
 
 def _bits(keys: np.ndarray, level, probe: int, size) -> np.ndarray:
-    salt = np.uint64(probe + 1) * np.uint64(0xA0761D6478BD642F)
+    salt = np.uint64((probe + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
     h = C.mix(keys + np.asarray(level, np.uint64) * np.uint64(0xE7037ED1A0B428DB) + salt)
     return (h >> np.uint64(11)).astype(np.int64) % size
 

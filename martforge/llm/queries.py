@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from martforge.llm import decontaminate, licenses, quality
+from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, warc
 
 QUERIES = {
+    "op1_bpe": bpe.op1_bpe,
+    "op2_warc": warc.op2_warc,
+    "op3_language_id": language_id.op3_language_id,
     "op5_quality_rules": quality.op5_quality_rules,
+    "op6_lm_score": lm_score.op6_lm_score,
     "op7_license_scan": licenses.op7_license_scan,
+    "op8_extract_html": html_text.op8_extract_html,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 SQL = {
+    "op2_warc": warc.ORACLE,
     "op5_quality_rules": quality.ORACLE,
     "op7_license_scan": licenses.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,

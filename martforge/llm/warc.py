@@ -155,7 +155,8 @@ def write_archive(pages: DataFrame, out: str, least_revisit: int = 0, shard_byte
         done.append(roller and roller.close())
         done = [d for d in done if d]
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=[f.split()[0] for f in MANIFEST.split(", ")])
+            kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=[f.split()[0] for f in MANIFEST.split(", ")])
 
     fs, root = _fs(out)
     fs.create_dir(f"{root}/_temporary", recursive=True)
