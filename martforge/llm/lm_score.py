@@ -23,10 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm import common as C
+from martforge.llm.bloom import Filter, bucket_of, build_segment
 
 BASE = 1.5  # ratio of neighbouring quantisation levels
-PROBES = 5  # hash functions a level
-BITS_PER_ENTRY = PROBES / np.log(2)
 SMOOTHING = 0.01
 SLICE_BYTES = 256 << 20
 PIECE_BYTES = 1 << 20
@@ -70,55 +69,6 @@ def value(level: np.ndarray) -> np.ndarray:
     return np.where(level <= 0, 0.0, np.where(level == 1, 1.0, (low + high) / 2))
 
 
-def _bits(keys: np.ndarray, level, probe: int, size) -> np.ndarray:
-    salt = np.uint64((probe + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF)
-    h = C.mix(keys + np.asarray(level, np.uint64) * np.uint64(0xE7037ED1A0B428DB) + salt)
-    return (h >> np.uint64(11)).astype(np.int64) % size
-
-
-def build_segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Packed bits of a filter that holds every key at levels 1 .. its own."""
-    top = levels(counts)
-    size = max(64, int(top.sum() * BITS_PER_ENTRY + 63) // 64 * 64)
-    bits = np.zeros(size, bool)
-    level = 1
-    while len(keys):
-        for probe in range(PROBES):
-            bits[_bits(keys, level, probe, size)] = True
-        more = top > level
-        keys, top, level = keys[more], top[more], level + 1
-    return np.packbits(bits)
-
-
-class Filter:
-    """The segments of a group's buckets, side by side."""
-
-    def __init__(self, segments: dict[int, bytes], n_buckets: int):
-        sizes = np.zeros(n_buckets, np.int64)
-        for b, bits in segments.items():
-            sizes[b] = len(bits) * 8
-        self.size, self.base = sizes, np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.bits = np.frombuffer(b"".join(segments[b] for b in sorted(segments)), np.uint8)
-
-    def level(self, keys: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """Quantised count of every key, looked for in its bucket's segment; 0 if level 1 is missing."""
-        size, base = self.size[bucket], self.base[bucket]
-        out = np.zeros(len(keys), np.int64)
-        at = np.flatnonzero(size)
-        level = 1
-        while len(at):
-            for probe in range(PROBES):
-                bit = base[at] + _bits(keys[at], level, probe, size[at])
-                at = at[(self.bits[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1]
-            out[at] = level
-            level += 1
-        return out
-
-
-def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
-
-
 def _context_keys(words: np.ndarray) -> np.ndarray:
     """A word's own entry in the filter: its key as a context, in its own group."""
     low = np.uint64((1 << _GROUP_BITS) - 1)
@@ -193,12 +143,12 @@ def build(counted: DataFrame, n_buckets: int, groups: int) -> DataFrame:
         group = _group(keys, groups)
         for g in np.unique(group).tolist():
             mine = group == g
-            rows.append((bucket, g, "p", int(mine.sum()), int(n[mine].sum()), C.blob(build_segment(keys[mine], n[mine])), b""))
+            rows.append((bucket, g, "p", int(mine.sum()), int(n[mine].sum()), C.blob(build_segment(keys[mine], levels(n[mine]))), b""))
         words, n = _summed(table, "ws")
         group = _group(words, groups)
         for g in np.unique(group).tolist():
             mine = (group == g) & (words != END)
-            rows.append((bucket, g, "c", int(mine.sum()), 0, C.blob(build_segment(_context_keys(words[mine]), n[mine])), b""))
+            rows.append((bucket, g, "c", int(mine.sum()), 0, C.blob(build_segment(_context_keys(words[mine]), levels(n[mine]))), b""))
         return pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=[f.split()[0] for f in MODEL.split(", ")]).cast(pa.schema([
             ("bucket", pa.int32()), ("grp", pa.int32()), ("kind", pa.string()), ("n", pa.int64()), ("total", pa.int64()),
             ("a", pa.binary()), ("b", pa.binary())]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, warc
+from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, suffix_dedup, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_lm_score": lm_score.op6_lm_score,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_extract_html": html_text.op8_extract_html,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
@@ -19,5 +20,6 @@ SQL = {
     "op2_warc": warc.ORACLE,
     "op5_quality_rules": quality.ORACLE,
     "op7_license_scan": licenses.ORACLE,
+    "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
