@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, suffix_dedup, warc
+from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, signature_join, suffix_dedup, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_warc": warc.op2_warc,
     "op3_language_id": language_id.op3_language_id,
+    "op4_jaccard_join": signature_join.op4_jaccard_join,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_lm_score": lm_score.op6_lm_score,
     "op7_license_scan": licenses.op7_license_scan,
@@ -18,6 +19,7 @@ QUERIES = {
 
 SQL = {
     "op2_warc": warc.ORACLE,
+    "op4_jaccard_join": signature_join.ORACLE,
     "op5_quality_rules": quality.ORACLE,
     "op7_license_scan": licenses.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,

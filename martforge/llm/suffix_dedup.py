@@ -31,7 +31,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martforge.llm import common as C
-from martforge.llm.bloom import BITS_PER_ENTRY, Filter, bucket_of, build_segment
+from martforge.llm.bloom import KEYED, Filter, bucket_of, keyed_batch, repeated_filter
 
 LENGTH = 100
 GRAM = 36
@@ -204,27 +204,10 @@ def _count_keys(n_buckets: int):
             found = [gram_keys(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in C.pieces(offsets, PIECE_BYTES)]
             if not found:
                 continue
-            keys, counts = np.unique(np.concatenate(found), return_counts=True)
-            order, cuts = C.split_by(bucket_of(keys << np.uint64(7), n_buckets), n_buckets)
-            keys, often = keys[order], counts[order] > 1
-            full = np.flatnonzero(np.diff(cuts)).tolist()
-            yield pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int32()), pa.array([C.blob(keys[cuts[b] : cuts[b + 1]]) for b in full], pa.binary()),
-                pa.array([C.blob(np.packbits(often[cuts[b] : cuts[b + 1]])) for b in full], pa.binary())], names=["bucket", "keys", "often"])
+            yield keyed_batch(np.concatenate(found) << np.uint64(7), n_buckets)
     return run
 
 
-def _repeated(table: pa.Table) -> pa.Table:
-    keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
-    often = np.concatenate([np.unpackbits(np.frombuffer(o, np.uint8), count=len(k)) for o, k in zip(table["often"].to_pylist(), keys)]).astype(bool)
-    keys = np.concatenate(keys)
-    order = np.argsort(keys)
-    keys, often = keys[order], often[order]
-    again = keys[1:] == keys[:-1]
-    keys = np.unique(np.concatenate((keys[1:][again], keys[often])))
-    return pa.table({"bucket": table["bucket"].slice(0, 1), "n": pa.array([len(keys)]), "keys": pa.array([C.blob(keys)], pa.binary())})
-
-
 def _send(sent, n_buckets: int):
     """Stretches with a repeated key, by bucket; a later equal stretch of the batch is covered by the first and sent as a range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,19 +319,8 @@ def covered_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     scratch = C.Scratch(spark, "suffix")
     rows = _rows(docs, key, text)
     n = C.buckets(spark)
-    counted = rows.select("text").mapInArrow(_count_keys(n), "bucket int, keys binary, often binary")
-    repeated = scratch.save(counted.groupBy("bucket").applyInArrow(_repeated, "bucket int, n long, keys binary"), "repeated")
-    total = repeated.agg(F.sum("n")).first()[0] or 0
-    bits = min(BITS_PER_ENTRY, FILTER_BYTES * 8 / max(1, total))
-
-    def segment(table: pa.Table) -> pa.Table:
-        keys = np.frombuffer(table["keys"][0].as_py(), np.uint64) << np.uint64(7)
-        return pa.table({"bucket": table["bucket"], "bits": pa.array([C.blob(build_segment(keys, np.ones(len(keys), np.int64), bits))], pa.binary())})
-
-    segments = repeated.filter("n > 0").groupBy("bucket").applyInArrow(segment, "bucket int, bits binary")
-    found = {r["bucket"]: bytes(r["bits"]) for r in segments.toLocalIterator()}  # at most FILTER_BYTES
-    scratch.drop(repeated)
-    sent = spark.sparkContext.broadcast((found, n))
+    counted = rows.select("text").mapInArrow(_count_keys(n), KEYED)
+    sent = spark.sparkContext.broadcast((repeated_filter(counted, scratch, n, FILTER_BYTES), n))
     dealt = rows.mapInArrow(_send(sent, 4 * n), SENT)
     return dealt.groupBy("bucket").applyInArrow(_cover, RANGES)
 
