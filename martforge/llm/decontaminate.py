@@ -102,6 +102,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents without those that hold a benchmark window; every column stays, null ids and texts too."""
+    found = hits(docs, benchmark).select(F.col("doc_id").alias("__hit_id"), F.col("th").alias("__hit_th")).distinct()
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")) & (th == F.col("__hit_th"))
+    return docs.join(found, same, "left_anti")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 

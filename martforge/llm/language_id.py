@@ -144,15 +144,15 @@ def learn(docs: DataFrame, training) -> Profiles:
     return Profiles.of([tuple(r) for r in rows.collect()])  # languages x PROFILE rows
 
 
-def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The documents with lang_pred and score (0 to 1) added; every other column stays.
+def predict(docs: DataFrame, profiles: Profiles, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """The documents with their predicted language and its score (0 to 1) added; every other column stays.
 
     A text that is null or has no letter is ``und`` with score 0, and so is
     every text if no language was learnt.  Equal distances go to the language
     that sorts first."""
     sent = docs.sparkSession.sparkContext.broadcast(profiles)
-    kept = docs.drop("lang_pred", "score")
-    schema = with_fields(kept.schema, ("lang_pred", T.StringType()), ("score", T.DoubleType()))
+    kept = docs.drop(pred, score)
+    schema = with_fields(kept.schema, (pred, T.StringType()), (score, T.DoubleType()))
     text = kept.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,5 +180,11 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", split_of().alias("held_out"), "text"), profiles).drop("text")
 
 
+def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, without those of no language or too far from every profile; every column stays."""
+    found = predict(docs, learn(docs, ~split_of()), "__pred", "__score")
+    return found.filter((F.col("__pred") != NONE) & (F.col("__score") >= min_score)).select(*docs.columns)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read(spark, sf_dir, "documents"))

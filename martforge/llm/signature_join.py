@@ -219,8 +219,8 @@ def _describe(hot):
         for batch in batches:
             rows = [(print_of(s), len(s), bitmap(s), prefix(s, tokens, ranks).tobytes()) for _, s in _sets(batch)]
             fp, n, sig, pre = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp, pa.binary()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
-                                              pa.array(pre, pa.binary())], names=["doc_id", "fp", "n", "sig", "pre"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["th"], pa.array(fp, pa.binary()), pa.array(n, pa.int64()),
+                                              pa.array(sig, pa.binary()), pa.array(pre, pa.binary())], names=["doc_id", "th", "fp", "n", "sig", "pre"])
     return run
 
 
@@ -345,23 +345,19 @@ def _cells(postings: DataFrame, classes: DataFrame, joined: DataFrame, n_buckets
         F.when(low == high, 0).when(F.col("block") == low, 1).otherwise(2).alias("side"), "fp", "n", "sig", "component")
 
 
-def link_components(docs: DataFrame) -> DataFrame:
-    """Per document row: (doc_id, n_shingles, component_id).
-
-    Null and empty texts have no shingles and are linked with nothing (their
-    component is their own id); rows that repeat a doc_id count each by its
-    own text; a component of null ids only has a null id."""
+def classes_of(docs: DataFrame) -> DataFrame:
+    """Per document row: (doc_id, th, n, component); component: a fingerprint that linked rows share, th: xxhash64 of the text."""
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "jaccard")
     n_buckets = C.buckets(spark)
-    rows = C.texts(docs)
+    rows = C.texts(docs).withColumn("th", F.xxhash64("text"))
     often = (rows.select("text").mapInArrow(_often, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
              .orderBy(F.desc("n"), "token").limit(HOT).collect())
     tokens = np.array([r["token"] for r in often], np.int64).view(np.uint64)
     order = np.argsort(tokens)
     ranks = np.arange(len(tokens))[::-1][order]  # the most frequent comes last of all
     described = scratch.save(rows.mapInArrow(_describe(spark.sparkContext.broadcast((tokens[order], ranks))),
-                                             "doc_id long, fp binary, n long, sig binary, pre binary"), "sets")
+                                             "doc_id long, th long, fp binary, n long, sig binary, pre binary"), "sets")
     classes = scratch.save(described.filter("n > 0").select("fp", "n", "sig", "pre").dropDuplicates(["fp"]), "classes")
     repeated = repeated_filter(classes.select("pre").mapInArrow(_emit_tokens(n_buckets), KEYED), scratch, n_buckets, FILTER_BYTES)
     postings = scratch.save(classes.select("fp", "n", "pre").mapInArrow(
@@ -373,12 +369,33 @@ def link_components(docs: DataFrame) -> DataFrame:
     more = _verify(candidates, rows, scratch, n_buckets)
     final = scratch.save(components(links.union(more), scratch), "components")
     scratch.drop(postings, classes, candidates, joined)
-    labelled = described.select("doc_id", "fp", "n").join(final.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("least"))
-    # a label of one class that holds one row needs no join; the rest meet their component's smallest id
-    return labelled.join(least, "component").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    return (described.select("doc_id", "th", "fp", "n").join(final.withColumnsRenamed({"node": "fp"}), "fp", "left")
+            .select("doc_id", "th", "n", F.coalesce("component", "fp").alias("component")))
+
+
+def link_components(docs: DataFrame) -> DataFrame:
+    """Per document row: (doc_id, n_shingles, component_id).
+
+    Null and empty texts have no shingles and are linked with nothing (their
+    component is their own id); rows that repeat a doc_id count each by its
+    own text; a component of null ids only has a null id."""
+    rows = classes_of(docs)
+    least = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "component", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The documents, of each component the one with the smallest doc_id (null ids last, then the smaller text hash).
+
+    Documents without shingles all stay, but rows that repeat both doc_id and
+    text are one document.  Every column stays."""
+    last = F.lit((1 << 63) - 1)
+    rows = classes_of(docs).select(F.coalesce("doc_id", last).alias("__id"), F.col("th").alias("__th"), "n", "component")
+    leads = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("__id", "__th")).alias("lead")).select("lead.*")
+    kept = leads.union(rows.filter("n = 0").select("__id", "__th"))
+    marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), last), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return marked.join(kept, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"]).select(*docs.columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
