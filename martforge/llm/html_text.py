@@ -63,16 +63,16 @@ class Node:
         self.chars = self.links = 0
 
 
-def _beside(tag: str, attributes: str, inside_article: bool) -> bool:
+def _beside(tag: str, attributes: str, inside_article: bool, by_name: bool) -> bool:
     if tag in CUT or (tag == "header" and not inside_article):
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not by_name or not attributes or tag in ("html", "body", "article", "main"):
         return False
     names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
     return bool(names) and bool(BESIDE.search(names)) and not CONTENT.search(names)
 
 
-def parse(page: str, cut: bool = True) -> Node:
+def parse(page: str, by_name: bool = True) -> Node:
     """Tree of block elements; a finished text block is a string among its element's kids."""
     root = node = Node("#root", None, False)
     text: list[str] = []
@@ -143,7 +143,7 @@ def parse(page: str, cut: bool = True) -> Node:
             if open_.tag == family:
                 article -= _articles(node, open_)
                 node = open_.parent
-        child = Node(tag, node, node.cut or (cut and _beside(tag, attributes, article > 0)))
+        child = Node(tag, node, node.cut or _beside(tag, attributes, article > 0, by_name))
         node.kids.append(child)
         node = child
         article += tag in ARTICLE_BONUS
@@ -213,12 +213,8 @@ def _blocks(node: Node, out: list[str]) -> None:
 
 def extract(page: str) -> str:
     """Main text of one page: its blocks, joined by an empty line; empty if there is none."""
-    for cut in (True, False):
-        root = parse(page, cut)
-        top = best(root)
-        if top is not None:
-            break
-    else:
+    top = best(parse(page))
+    if top is None and (top := best(parse(page, by_name=False))) is None:
         return ""
     kept: list[Node | str] = [top]
     if top.parent is not None and top.tag not in ARTICLE_BONUS:

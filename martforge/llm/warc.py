@@ -134,7 +134,7 @@ def write_archive(pages: DataFrame, out: str, least_revisit: int = 0, shard_byte
     records = rows.select("page_id", "url", "html", F.sha1(F.encode("html", "utf-8")).alias("sha1"), F.lit(1).alias("kind"),
                           F.lit(None).cast("long").alias("refers_to"))
     shards = max(1, len(borders))
-    keyed = (records.unionByName(marks).withColumn("shard", shard_of("page_id")).repartition(shards, "shard")
+    keyed = (records.unionByName(marks).withColumn("shard", shard_of("page_id")).repartition(4 * shards, "shard")
              .sortWithinPartitions("shard", "page_id", "sha1", "kind", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
