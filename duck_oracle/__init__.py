@@ -10,7 +10,7 @@ unused CTEs).
 
 from __future__ import annotations
 
-from martforge.functions.keys import KEY_NULL_TOKEN as KEY_NULL  # fixed value, stated once
+KEY_NULL = "_dbt_utils_surrogate_key_null_"  # fixed value
 TS = "'%Y-%m-%d %H:%M:%S'"
 
 
@@ -39,12 +39,17 @@ def _round(expr: str, n: int) -> str:
     return f"CAST(round(CAST(({expr}) AS DECIMAL(28,10)), {n}) AS DOUBLE)"
 
 
-def _msum(expr: str, t: str = "DECIMAL(18,2)") -> str:
-    return f"CAST(sum(CAST({expr} AS {t})) AS DOUBLE)"
+def _exact(decimal: str) -> str:
+    """A wide decimal as the nearest double (a direct cast divides inexactly)."""
+    return f"CAST(CAST({decimal} AS VARCHAR) AS DOUBLE)"
 
 
-def _mavg(expr: str, t: str = "DECIMAL(18,2)") -> str:
-    return f"(CAST(sum(CAST({expr} AS {t})) AS DOUBLE) / nullif(count({expr}), 0))"
+def _msum(expr: str, t: str = "DECIMAL(38,10)") -> str:
+    return _exact(f"sum(CAST(CAST({expr} AS VARCHAR) AS {t}))")  # by text: the decimal that the double shows
+
+
+def _mavg(expr: str, t: str = "DECIMAL(38,10)") -> str:
+    return f"({_msum(expr, t)} / nullif(count({expr}), 0))"
 
 
 def _iavg(expr: str) -> str:
@@ -55,11 +60,6 @@ def _ddiff(a: str, b: str) -> str:
     return f"CAST(date_diff('day', CAST({a} AS DATE), CAST({b} AS DATE)) AS INTEGER)"
 
 
-LINEITEM_ORDER = ", ".join(
-    f"{c} ASC NULLS LAST" for c in [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
-
 ADAPTER = {
     "raw_orders": f"""
 SELECT {_pad('O', 'k')} AS order_id, {_pad('C', 'k')} AS customer_id,
@@ -73,28 +73,28 @@ SELECT {_pad('O', 'k')} AS order_id, {_pad('C', 'k')} AS customer_id,
   strftime(CAST(date_trunc('day', p) AS TIMESTAMP) + INTERVAL 20 DAY, {TS}) AS order_estimated_delivery_date
 FROM (SELECT o_orderkey AS k, o_orderdate + to_seconds(CAST((o_orderkey * 7919) % 86400 AS BIGINT)) AS p FROM orders)""",
     "raw_customers": f"""
-SELECT {_pad('C', 'k')} AS customer_id, {_pad('U', 'q')} AS customer_unique_id,
+SELECT CASE WHEN k % 301 = 0 THEN {_pad('Z', 'k')} ELSE {_pad('C', 'k')} END AS customer_id, {_pad('U', 'q')} AS customer_unique_id,
   CASE WHEN q % 53 <> 0 THEN {_zip('v')} END AS customer_zip_code_prefix,
   '  City ' || CAST(v % 211 AS VARCHAR) AS customer_city, {_st('v')} AS customer_state
 FROM (SELECT k, q, q + (k // 6) % 2 AS v
-      FROM (SELECT o_orderkey AS k, o_custkey * 10 + o_orderkey % 6 AS q FROM orders WHERE o_orderkey % 301 <> 0))""",
+      FROM (SELECT o_orderkey AS k, o_custkey * 10 + o_orderkey % 6 AS q FROM orders))""",
     "raw_order_items": f"""
 SELECT {_pad('O', 'l_orderkey')} AS order_id,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINEITEM_ORDER}) AS VARCHAR) AS order_item_id,
-  {_pad('P', 'l_partkey')} AS product_id, {_pad('S', 'l_suppkey * 20 + l_orderkey % 20')} AS seller_id,
+  concat_ws('-', l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT)) AS order_item_id,
+  {_pad('P', 'l_partkey')} AS product_id, {_pad('S', 'l_suppkey * 21 + l_orderkey % 20')} AS seller_id,
   strftime(l_shipdate, {TS}) AS shipping_limit_date,
   {_money('(l_partkey * 37 + l_suppkey * 11 + CAST(l_quantity AS BIGINT) * 101) % 30000 + 100')} AS price,
   {_money('(l_partkey + CAST(l_quantity AS BIGINT) * 7) % 4000')} AS freight_value
-FROM lineitem WHERE l_suppkey % 20 <> 0""",
+FROM lineitem""",
     "raw_order_payments": f"""
-SELECT {_pad('O', 'k')} AS order_id, CAST(i AS VARCHAR) AS payment_sequential,
+SELECT CASE WHEN k % 83 = 0 THEN {_pad('Y', 'k')} ELSE {_pad('O', 'k')} END AS order_id, CAST(i AS VARCHAR) AS payment_sequential,
   CASE (k + i) % 5 WHEN 0 THEN 'Credit_Card ' WHEN 1 THEN ' boleto' WHEN 2 THEN 'VOUCHER' WHEN 3 THEN 'debit_card'
     ELSE 'not_defined' END AS payment_type,
   CAST((k + i) % 10 + 1 AS VARCHAR) AS payment_installments,
   {_money('(k * 31 + i * 97) % 50000 + 1')} AS payment_value
 FROM (SELECT k, unnest(range(1, n + 1)) AS i
       FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 12 + 1 ELSE 1 END AS n
-            FROM orders WHERE o_orderkey % 83 <> 0))""",
+            FROM orders))""",
     "raw_order_reviews": f"""
 SELECT {_pad('R', 'event_id // 2')} AS review_id, {_pad('O', 'n')} AS order_id,
   CAST(CASE WHEN event_id % 7 = 0 THEN user_id % 5 + 1 ELSE 5 - (n % 20) // 4 END AS VARCHAR) AS review_score,
@@ -102,7 +102,7 @@ SELECT {_pad('R', 'event_id // 2')} AS review_id, {_pad('O', 'n')} AS order_id,
   ' ' || event_type AS review_comment_message,
   CASE WHEN event_id % 41 = 0 THEN '' ELSE strftime(ts, {TS}) END AS review_creation_date,
   strftime(ts + to_minutes(CAST(user_id * 17 AS BIGINT)), {TS}) AS review_answer_timestamp
-FROM (SELECT *, event_id - CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS n FROM events WHERE event_id <> 0)""",
+FROM (SELECT *, event_id - CASE WHEN event_id % 3 = 0 AND event_id > 0 THEN 1 ELSE 0 END AS n FROM events)""",
     "raw_products": f"""
 SELECT {_pad('P', 'p_partkey')} AS product_id,
   CASE WHEN p_partkey % 61 <> 0 THEN lower(p_type) END AS product_category_name,
@@ -115,21 +115,21 @@ SELECT {_pad('P', 'p_partkey')} AS product_id,
   CAST(p_size % 23 + 1 AS VARCHAR) AS product_width_cm
 FROM part""",
     "raw_translation": """
-SELECT name AS product_category_name, 'en_' || name AS product_category_name_english
-FROM (SELECT DISTINCT lower(p_type) AS name FROM part)
-WHERE name <> (SELECT min(lower(p_type)) FROM part)""",
+SELECT CASE WHEN name = (SELECT min(lower(p_type)) FROM part) THEN 'x_' || name ELSE name END AS product_category_name,
+  'en_' || name AS product_category_name_english
+FROM (SELECT DISTINCT lower(p_type) AS name FROM part)""",
     "raw_sellers": f"""
 SELECT {_pad('S', 's')} AS seller_id, {_zip('s')} AS seller_zip_code_prefix,
   ' City ' || CAST(s % 211 AS VARCHAR) AS seller_city, {_st('s')} AS seller_state
-FROM (SELECT s_suppkey * 20 + unnest(range(0, 20)) AS s FROM supplier)""",
+FROM (SELECT s_suppkey * 21 + unnest(range(0, 21)) AS s FROM supplier)""",
     "raw_geolocation": f"""
-SELECT {_zip('c_custkey')} AS geolocation_zip_code_prefix,
+SELECT CASE WHEN c_custkey % 211 = 7 THEN 'V' || {_zip('c_custkey')} ELSE {_zip('c_custkey')} END AS geolocation_zip_code_prefix,
   '-' || CAST(10 + c_custkey % 20 AS VARCHAR) || '.' || lpad(CAST((c_custkey * 13) % 1000 AS VARCHAR), 3, '0')
     AS geolocation_lat,
   '-' || CAST(40 + c_custkey % 20 AS VARCHAR) || '.' || lpad(CAST((c_custkey * 29) % 1000 AS VARCHAR), 3, '0')
     AS geolocation_lng,
   'City' || CAST(c_nationkey % 3 AS VARCHAR) AS geolocation_city, {_st('c_nationkey')} AS geolocation_state
-FROM customer WHERE c_custkey % 211 <> 7""",
+FROM customer""",
 }
 
 AS_OF = "2001-08-01"
@@ -305,11 +305,11 @@ SELECT CAST(purchased_at AS DATE) AS revenue_date, count(order_id) AS orders_cou
 FROM orders_enriched WHERE is_delivered GROUP BY 1""",
     "fct_revenue_daily": f"""
 SELECT *,
-  {_round('CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) OVER w7 AS DOUBLE) / count(gross_revenue) OVER w7', 2)}
+  {_round(_exact('sum(CAST(CAST(gross_revenue AS VARCHAR) AS DECIMAL(38,10))) OVER w7') + ' / count(gross_revenue) OVER w7', 2)}
     AS revenue_7d_avg,
-  CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) OVER (PARTITION BY date_trunc('month', revenue_date)
-    ORDER BY revenue_date ASC NULLS LAST) AS DOUBLE) AS revenue_mtd,
-  CAST(sum(CAST(gross_revenue AS DECIMAL(18,2))) OVER (ORDER BY revenue_date ASC NULLS LAST) AS DOUBLE)
+  {_exact("""sum(CAST(CAST(gross_revenue AS VARCHAR) AS DECIMAL(38,10))) OVER (PARTITION BY date_trunc('month', revenue_date)
+    ORDER BY revenue_date ASC NULLS LAST)""")} AS revenue_mtd,
+  {_exact('sum(CAST(CAST(gross_revenue AS VARCHAR) AS DECIMAL(38,10))) OVER (ORDER BY revenue_date ASC NULLS LAST)')}
     AS revenue_cumulative
 FROM daily_metrics
 WINDOW w7 AS (ORDER BY revenue_date ASC NULLS LAST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",

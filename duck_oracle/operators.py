@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from duck_oracle import KEY_NULL, _ddiff, _iavg, _key, _msum, _round
+from duck_oracle import KEY_NULL, _ddiff, _exact, _iavg, _key, _msum, _round
 
 ORDER_TEXT = """CASE WHEN o_orderkey % 10 = 0 THEN 'bad ' || CAST(o_orderkey AS VARCHAR)
   WHEN o_orderkey % 10 = 3 THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -29,6 +29,14 @@ EPOCH_PARSE = """CASE WHEN regexp_full_match(trim(txt), '[+-]?[0-9]{1,30}') THEN
 DAILY = f"(SELECT CAST(o_orderdate AS DATE) AS day, {_msum('o_totalprice')} AS revenue FROM orders GROUP BY 1)"
 
 SQL = {
+    # plain DOUBLE sums, rounded at the end (averages a hair below, so none is a tie)
+    "subcent_sums": """
+SELECT day, round(total, 6) AS total, round(mean - 3e-8, 6) AS mean, round(avg(total) OVER w - 3e-8, 6) AS total_7_rows,
+  round(sum(total) OVER (PARTITION BY date_trunc('month', day) ORDER BY day ASC NULLS LAST), 6) AS total_mtd,
+  round(sum(total) OVER (ORDER BY day ASC NULLS LAST), 6) AS total_cumulative
+FROM (SELECT CAST(l_shipdate AS DATE) AS day, sum(l_extendedprice * l_tax / 10) AS total,
+        avg(l_extendedprice * l_tax / 10) AS mean FROM lineitem GROUP BY 1)
+WINDOW w AS (ORDER BY day ASC NULLS LAST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     "filter_status": "SELECT o_orderkey, o_totalprice FROM (SELECT o_orderkey, o_totalprice, "
                      "coalesce(o_orderstatus = 'F', false) AS is_final FROM orders) WHERE is_final",
     "clean_text": """
@@ -70,10 +78,10 @@ FROM part""",
                      f"{_key('l_orderkey', 'l_linenumber', 'l_partkey', 'l_suppkey')} AS line_key FROM lineitem",
     "left_join_default": """
 SELECT s.s_suppkey, coalesce(n.n_name, 'unknown') AS nation_name
-FROM supplier s LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 3 <> 0) n ON s.s_nationkey = n.n_nationkey""",
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey AND n.n_nationkey % 3 <> 0""",
     "inner_join_rollup": f"""
 SELECT c.c_custkey, c.c_mktsegment, count(o.o_orderkey) AS total_orders, {_msum('o.o_totalprice')} AS lifetime_value
-FROM orders o JOIN (SELECT * FROM customer WHERE c_custkey % 10 <> 0) c ON o.o_custkey = c.c_custkey
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey AND o.o_custkey % 10 <> 0
 GROUP BY c.c_custkey, c.c_mktsegment""",
     "left_join_rollups": f"""
 SELECT o.o_orderkey, coalesce(l.line_count, 0) AS line_count, coalesce(l.gross, CAST(0 AS DOUBLE)) AS gross,
@@ -126,14 +134,14 @@ SELECT event_id, user_id, event_type, ts FROM (
 WHERE rn = 1""",
     "rolling_7_rows": f"""
 SELECT day, revenue,
-  {_round('CAST(sum(CAST(revenue AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(revenue) OVER w', 2)} AS revenue_7_rows
+  {_round(_exact('sum(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,10))) OVER w') + ' / count(revenue) OVER w', 2)} AS revenue_7_rows
 FROM {DAILY} WINDOW w AS (ORDER BY day ASC NULLS LAST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
     "month_to_date": f"""
-SELECT day, CAST(sum(CAST(revenue AS DECIMAL(18,2))) OVER (PARTITION BY date_trunc('month', day)
-  ORDER BY day ASC NULLS LAST) AS DOUBLE) AS revenue_mtd
+SELECT day, {_exact("""sum(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,10))) OVER (PARTITION BY date_trunc('month', day)
+  ORDER BY day ASC NULLS LAST)""")} AS revenue_mtd
 FROM {DAILY}""",
     "running_total": f"""
-SELECT day, CAST(sum(CAST(revenue AS DECIMAL(18,2))) OVER (ORDER BY day ASC NULLS LAST) AS DOUBLE)
+SELECT day, {_exact('sum(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,10))) OVER (ORDER BY day ASC NULLS LAST)')}
   AS revenue_cumulative
 FROM {DAILY} ORDER BY day""",
 }

@@ -4,9 +4,8 @@ Layers:
   sources/    raw text ingest (CSV), declared contracts, test-data adapter, sinks
   functions/  Column -> Column helpers (cleaning, casts, dates, keys, rounding)
   operators/  generic DataFrame operators (latest per key, arg-max, modes,
-              conditional counts, rolling / period windows, numbering, checks)
+              conditional counts, rolling / period windows, checks)
   plans/      the model graph: staging, roll-ups, marts, full build
-  streaming/  nothing: every input is a batch file (see module docstring)
 
 Entry points: ``load_raw`` (CSV -> raw parquet + load report), ``models``
 (every model, lazily), ``build`` (marts written + check summary),

@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from martforge.operators.checks import run_suite
-from martforge.plans.build import MARTS, build, staged_models
+from martforge.plans.build import MARTS, Staged, build, read_mart, staged_models
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir, configure
 from martforge.sources import csv_ingest
 from martforge.sources.contracts import RAW_COLUMNS
-from martforge.sources.sinks import layer_path, read_table
+from martforge.sources.sinks import layer_path
 
 
 def _raw(spark: SparkSession, lake: str):
@@ -75,8 +75,11 @@ def main(argv=None) -> int:
         if unknown:
             print(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}", file=sys.stderr)
             return 2
+        # kept for the checks of this build; a new build starts afresh
+        staged = Staged(spark, layer_path(args.lake, args.env, "staged", "run"))
+        staged.delete()
         res = build(spark, _raw(spark, args.lake), args.lake, env=args.env, as_of=args.as_of, run_checks=False,
-                    numeric_payment_order=args.numeric_payment_order, marts=tuple(selected or MARTS))
+                    numeric_payment_order=args.numeric_payment_order, marts=tuple(selected or MARTS), staged=staged)
         for name in res.tables:
             print(f"built {layer_path(args.lake, args.env, 'marts', name)}")
         return 0
@@ -87,13 +90,12 @@ def main(argv=None) -> int:
             print(f"no checks on {sorted(unknown)}", file=sys.stderr)
             return 2
         checks = [c for c in checks if c.model in selected]
-    tables = staged_models(spark, _raw(spark, args.lake), args.as_of, args.numeric_payment_order)
-    for name in MARTS:
-        if selected and name not in selected and not any(c.to_model == name for c in checks):
-            continue
-        t = read_table(spark, layer_path(args.lake, args.env, "marts", name))
-        tables[name] = t.drop("purchase_month_key") if "purchase_month_key" in t.columns else t
+    models = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
+    staged = Staged(spark, layer_path(args.lake, args.env, "staged", "run"))  # what the build read, if it is still there
+    tables = staged_models(spark, _raw(spark, args.lake), args.as_of, args.numeric_payment_order, models - set(MARTS), staged)
+    tables.update({name: read_mart(spark, args.lake, args.env, name) for name in MARTS if name in models})
     summary = run_suite(tables, checks).collect()  # one row per check
+    staged.delete()
     failed = [r for r in summary if not r.passed]
     for r in summary:
         print(f"{'PASS' if r.passed else 'FAIL'} {r.check_name} ({r.failures})")

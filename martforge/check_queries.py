@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martforge.operators import checks
-from martforge.plans.build import staged_models
+from martforge.plans.build import Staged, staged_models
 from martforge.plans.graph import models
 from martforge.plans.rules import ORDER_STATUSES, model_suite
 from martforge.sources.testdata import raw_orders, raw_tables
@@ -43,8 +43,14 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     As in a build, the shared intermediates (``orders_enriched``, the zip
     centroids, the two roll-ups) are written once to the shared checkpoint
-    folder and read back rather than re-planned under every check."""
-    return checks.run_suite(staged_models(spark, raw_tables(spark, sf_dir), AS_OF), model_suite().checks)
+    folder and read back rather than re-planned under every check.  The summary
+    has one row per check, so it is brought to the driver and the staged
+    folder deleted."""
+    staged = Staged(spark)
+    summary = checks.run_suite(staged_models(spark, raw_tables(spark, sf_dir), AS_OF, staged=staged), model_suite().checks)
+    rows = summary.collect()
+    staged.delete()
+    return spark.createDataFrame(rows, summary.schema)
 
 
 QUERIES = {

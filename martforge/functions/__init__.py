@@ -6,7 +6,7 @@ from martforge.functions.casts import to_double, to_int, to_timestamp
 from martforge.functions.dates import day_diff, hour_diff, trunc_ts, months_back
 from martforge.functions.keys import surrogate_key
 from martforge.functions.numeric import (
-    round_half_up, money, sum_money, avg_money, avg_exact, safe_ratio_pct, volumetric_weight,
+    round_half_up, sum_money, avg_money, avg_exact, safe_ratio_pct, volumetric_weight,
 )
 
 __all__ = [
@@ -14,5 +14,5 @@ __all__ = [
     "to_double", "to_int", "to_timestamp",
     "day_diff", "hour_diff", "trunc_ts", "months_back",
     "surrogate_key",
-    "round_half_up", "money", "sum_money", "avg_money", "avg_exact", "safe_ratio_pct", "volumetric_weight",
+    "round_half_up", "sum_money", "avg_money", "avg_exact", "safe_ratio_pct", "volumetric_weight",
 ]

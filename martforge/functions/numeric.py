@@ -1,7 +1,8 @@
 """Arithmetic that gives the same bits whatever the partitioning (SC16-SC21).
 
-Money is summed as ``decimal(18,2)`` (exact, order-free) and returned as a
-double; averages are that exact sum divided by the count; rounding goes
+Sums run at ``decimal(28,10)`` (exact to ten decimals and order-free, up to 18
+integer digits) and come back as a double; averages are that sum divided by
+the count; rounding goes
 through ``decimal(28,10)`` so half-way cases round away from zero on the
 decimal text, not on the binary double.
 """
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.text import _c
 
-MONEY = "decimal(18,2)"
+EXACT = "decimal(28,10)"  # summed into decimal(38,10)
 
 
 def round_half_up(col, digits: int) -> Column:
@@ -21,16 +22,12 @@ def round_half_up(col, digits: int) -> Column:
     return F.round(_c(col).cast("decimal(28,10)"), digits).cast("double")
 
 
-def money(col) -> Column:
-    return _c(col).cast(MONEY)
-
-
-def sum_money(col, scale_type: str = MONEY) -> Column:
-    """Exact sum of a money column, as double."""
+def sum_money(col, scale_type: str = EXACT) -> Column:
+    """Exact sum of an amount (fractions of a cent included), as double."""
     return F.sum(_c(col).cast(scale_type)).cast("double")
 
 
-def avg_money(col, scale_type: str = MONEY) -> Column:
+def avg_money(col, scale_type: str = EXACT) -> Column:
     """Exact average: decimal sum as double divided by the non-NULL count."""
     c = _c(col)
     return F.sum(c.cast(scale_type)).cast("double") / F.nullif(F.count(c), F.lit(0))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions import (
-    avg_exact, blank_to_null, clean_lower, clean_upper, day_diff, hour_diff, months_back, round_half_up,
+    avg_exact, avg_money, blank_to_null, clean_lower, clean_upper, day_diff, hour_diff, months_back, round_half_up,
     safe_ratio_pct, sum_money, surrogate_key, to_double, to_int, to_timestamp, trunc_ts,
 )
 from martforge.operators.aggregates import arg_max, conditional_counts, mode_per_key
@@ -135,18 +135,21 @@ def surrogate_key_q(spark, sf_dir):
 
 
 def left_join_default(spark, sf_dir):
-    """JN1 + SC14: suppliers left-joined to a partial nation table, default name."""
+    """JN1 + SC14: suppliers left-joined to nations of which a third are re-keyed to match nothing, default name."""
     s = _t(spark, sf_dir, "supplier")
-    n = _t(spark, sf_dir, "nation").filter(F.col("n_nationkey") % 3 != 0)
-    j = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left")
+    n = _t(spark, sf_dir, "nation")
+    key = F.when(F.col("n_nationkey") % 3 == 0, -1 - F.col("n_nationkey")).otherwise(F.col("n_nationkey"))
+    n = n.select(key.alias("key"), "n_name")
+    j = s.join(n, s["s_nationkey"] == n["key"], "left")
     return j.select("s_suppkey", F.coalesce(F.col("n_name"), F.lit("unknown")).alias("nation_name"))
 
 
 def inner_join_rollup(spark, sf_dir):
     """JN5 + roll-up: orders joined to customers, one row per customer."""
     o = _t(spark, sf_dir, "orders")
-    c = _t(spark, sf_dir, "customer").filter(F.col("c_custkey") % 10 != 0)
-    j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+    c = _t(spark, sf_dir, "customer")
+    key = F.when(F.col("o_custkey") % 10 == 0, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey"))  # a tenth matches nothing
+    j = o.withColumn("key", key).join(c, F.col("key") == c["c_custkey"], "inner")
     return j.groupBy("c_custkey", "c_mktsegment").agg(
         F.count("o_orderkey").alias("total_orders"),
         sum_money("o_totalprice").alias("lifetime_value"),
@@ -277,7 +280,21 @@ def running_total_q(spark, sf_dir):
     return d.select("day", running_total("revenue", "day").alias("revenue_cumulative")).orderBy("day")
 
 
+def subcent_sums(spark, sf_dir):
+    """AG5/AG6/WN2-WN4 on amounts with fractions of a cent: tax of each line, by ship day."""
+    li = _t(spark, sf_dir, "lineitem")
+    tax = F.col("l_extendedprice") * F.col("l_tax") / 10
+    days = li.groupBy(F.to_date("l_shipdate").alias("day")).agg(sum_money(tax).alias("total"), avg_money(tax).alias("mean"))
+    six = lambda c: F.round(c, 6)
+    return days.select(
+        "day", six(F.col("total")).alias("total"), six(F.col("mean") - 3e-8).alias("mean"),
+        six(rolling_rows_avg("total", "day", 7, digits=None) - 3e-8).alias("total_7_rows"),
+        six(period_to_date_sum("total", "day")).alias("total_mtd"),
+        six(running_total("total", "day")).alias("total_cumulative"))
+
+
 QUERIES = {
+    "subcent_sums": subcent_sums,
     "filter_status": filter_status,
     "clean_text": clean_text,
     "safe_timestamp": safe_timestamp,

@@ -3,7 +3,7 @@
 These run over an already-aggregated series (one row per day).  Windows with
 no partition key move every row to one task, so they must never be applied at
 order grain; ``period_to_date_sum`` partitions by period and scales.
-Money sums are exact decimals, returned as double.
+Sums are exact decimals of ``scale_type``, returned as double.
 """
 
 from __future__ import annotations
@@ -11,27 +11,28 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-from martforge.functions.numeric import MONEY, round_half_up
+from martforge.functions.numeric import EXACT, round_half_up
 from martforge.functions.text import _c
 
 
-def rolling_rows_avg(value, order_col: str, rows: int, digits: int | None = 2) -> Column:
+def rolling_rows_avg(value, order_col: str, rows: int, digits: int | None = 2,
+                     scale_type: str = EXACT) -> Column:
     """WN2 ``avg(x) over (order by o rows between rows-1 preceding and current
     row)``: a frame of rows, not of days — gaps in the series are not filled."""
     w = Window.orderBy(F.col(order_col).asc_nulls_last()).rowsBetween(-(rows - 1), Window.currentRow)
     v = _c(value)
-    avg = F.sum(v.cast(MONEY)).over(w).cast("double") / F.count(v).over(w)
+    avg = F.sum(v.cast(scale_type)).over(w).cast("double") / F.count(v).over(w)
     return round_half_up(avg, digits) if digits is not None else avg
 
 
-def period_to_date_sum(value, order_col: str, period: str = "month") -> Column:
+def period_to_date_sum(value, order_col: str, period: str = "month", scale_type: str = EXACT) -> Column:
     """WN3 ``sum(x) over (partition by date_trunc(period, o) order by o)``
     (default RANGE frame: ties on ``o`` share the sum)."""
     w = Window.partitionBy(F.trunc(F.to_date(F.col(order_col)), period)).orderBy(F.col(order_col).asc_nulls_last())
-    return F.sum(_c(value).cast(MONEY)).over(w).cast("double")
+    return F.sum(_c(value).cast(scale_type)).over(w).cast("double")
 
 
-def running_total(value, order_col: str) -> Column:
+def running_total(value, order_col: str, scale_type: str = EXACT) -> Column:
     """WN4 ``sum(x) over (order by o)``; NULL order values come last."""
     w = Window.orderBy(F.col(order_col).asc_nulls_last())
-    return F.sum(_c(value).cast(MONEY)).over(w).cast("double")
+    return F.sum(_c(value).cast(scale_type)).over(w).cast("double")

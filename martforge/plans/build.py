@@ -2,10 +2,12 @@
 -> data checks over what was written.
 
 ``orders_enriched`` (M9) has four consumers (M10-M13), so it is written once
-to the shared checkpoint folder (``spark.checkpoint.dir``) and read back, as
-are the zip centroids and the two roll-ups: that cuts the lineage (a lost
-executor re-reads a file instead of recomputing joins) and every consumer
-reads a pruned columnar copy.
+(without the review text, which no consumer reads) and read back, as are the
+zip centroids and the two roll-ups: that cuts the lineage (a lost executor
+re-reads a file instead of recomputing joins) and every consumer reads a
+pruned columnar copy.  Only what the selected models need is staged
+(``NEEDS``).  A ``Staged`` folder can be kept from ``build`` to the checks, so
+that both see the same rows, and is then deleted.
 The marts are written in full; ``fct_orders`` is partitioned by purchase
 month.  The check suite then runs over the stored marts and the lazy staging
 views; its summary is the only thing brought to the driver (81 rows).
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,7 +28,7 @@ from martforge.operators.checks import run_suite
 from martforge.plans import marts, rollups, staging
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir
-from martforge.sources.sinks import as_view, layer_path, read_table, write_table
+from martforge.sources.sinks import as_view, delete, exists, layer_path, read_table, write_table
 
 MARTS = ("fct_orders", "fct_revenue_daily", "dim_customers", "dim_sellers")
 
@@ -45,11 +48,38 @@ class BuildResult:
     checks: DataFrame
 
 
-def stage_intermediate(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate to the shared folder and read it back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/martforge-stage-{uuid.uuid4().hex}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+# the staged intermediates behind each model that is not a staging view
+NEEDS = {
+    "stg_geolocation": ("stg_geolocation",),
+    "orders_enriched": ("orders_enriched",),
+    "customer_rollup": ("orders_enriched", "customer_rollup"),
+    "seller_rollup": ("orders_enriched", "seller_rollup"),
+    "fct_orders": ("orders_enriched",),
+    "fct_revenue_daily": ("orders_enriched",),
+    "dim_customers": ("orders_enriched", "customer_rollup", "stg_geolocation"),
+    "dim_sellers": ("orders_enriched", "seller_rollup", "stg_geolocation"),
+}
+
+
+class Staged:
+    """Intermediates written once to a folder on shared storage.
+
+    Without ``path`` a fresh folder under ``spark.checkpoint.dir`` is used.
+    An intermediate that is already there (of an earlier run) is read, not
+    computed again; ``delete`` removes the folder."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark = spark
+        self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/martforge-stage-{uuid.uuid4().hex}"
+
+    def get(self, name: str, make) -> DataFrame:
+        path = f"{self.path}/{name}"
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            make().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def delete(self) -> None:
+        delete(self.spark, self.path)
 
 
 def concurrently(*jobs):
@@ -63,40 +93,65 @@ def concurrently(*jobs):
 
 
 def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
-                  numeric_payment_order: bool = False) -> dict[str, DataFrame]:
-    """Every model, with the shared intermediates written once to the shared
-    folder and read back: ``orders_enriched`` (four consumers), the zip
-    centroids (two dimensions), the person and seller roll-ups (a dimension
-    and their checks each).  Staging views and marts stay lazy here."""
+                  numeric_payment_order: bool = False, wanted: Collection[str] | None = None,
+                  staged: Staged | None = None) -> dict[str, DataFrame]:
+    """The ``wanted`` models (default: all) and every staging view.
+
+    The shared intermediates that the wanted models need are written once and
+    read back: ``orders_enriched`` (four consumers), the zip centroids (two
+    dimensions), the person and seller roll-ups (a dimension and their checks
+    each).  Staging views and marts stay lazy here."""
+    staged = staged or Staged(spark)
+    wanted = set(NEEDS if wanted is None else wanted)
+    needed = {n for model in wanted for n in NEEDS.get(model, ())}
     s = staging.staging(raw)
-    m9, geo = concurrently(
-        lambda: stage_intermediate(spark, rollups.orders_enriched(
+    first = {
+        "orders_enriched": lambda: rollups.orders_enriched(
             s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"],
-            numeric_payment_order), "orders_enriched"),
-        lambda: stage_intermediate(spark, s["stg_geolocation"], "stg_geolocation"))
-    m10, m11 = concurrently(
-        lambda: stage_intermediate(spark, rollups.customer_rollup(m9, s["stg_customers"]), "customer_rollup"),
-        lambda: stage_intermediate(spark, rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
-                                   "seller_rollup"))
+            numeric_payment_order, review_text=False),
+        "stg_geolocation": lambda: s["stg_geolocation"],
+    }
     out = dict(s)
-    out.update({
-        "stg_geolocation": geo, "orders_enriched": m9, "customer_rollup": m10, "seller_rollup": m11,
-        "fct_orders": marts.fct_orders(m9, s["stg_customers"]),
-        "fct_revenue_daily": marts.fct_revenue_daily(m9),
-        "dim_customers": marts.dim_customers(m10, geo, as_of),
-        "dim_sellers": marts.dim_sellers(m11, geo),
+
+    def stage(makers):
+        names = [n for n in makers if n in needed]
+        if names:
+            out.update(zip(names, concurrently(*[lambda n=n: staged.get(n, makers[n]) for n in names])))
+
+    stage(first)
+    m9, geo = out.get("orders_enriched"), out["stg_geolocation"]
+    stage({
+        "customer_rollup": lambda: rollups.customer_rollup(m9, s["stg_customers"]),
+        "seller_rollup": lambda: rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
     })
+    final = {
+        "fct_orders": lambda: marts.fct_orders(m9, s["stg_customers"]),
+        "fct_revenue_daily": lambda: marts.fct_revenue_daily(m9),
+        "dim_customers": lambda: marts.dim_customers(out["customer_rollup"], geo, as_of),
+        "dim_sellers": lambda: marts.dim_sellers(out["seller_rollup"], geo),
+    }
+    out.update({name: make() for name, make in final.items() if name in wanted})
     return out
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
           as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False,
-          numeric_payment_order: bool = False, marts: tuple[str, ...] = MARTS) -> BuildResult:
+          numeric_payment_order: bool = False, marts: tuple[str, ...] = MARTS,
+          staged: Staged | None = None) -> BuildResult:
     """Write the four marts (or the selected ``marts``) under
     ``<root>/<env>_marts`` and return them (read back from storage) with the
     check summary over the built tables.
-    ``register_views`` also exposes every model as a temp view (SINK1)."""
-    tables = staged_models(spark, raw, as_of, numeric_payment_order)
+
+    ``register_views`` also exposes every model as a temp view (SINK1).  The
+    staged intermediates are deleted at the end unless the caller passes a
+    ``staged`` folder to keep, or asks for views or checks that read them."""
+    unknown = set(marts) - set(MARTS)
+    if unknown:
+        raise ValueError(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}")
+    keep = staged is not None or register_views or run_checks
+    staged = staged or Staged(spark)
+    wanted = NEEDS if register_views or run_checks else marts
+    tables = staged_models(spark, raw, as_of, numeric_payment_order, wanted, staged)
 
     def write_mart(name: str):
         def job():
@@ -105,17 +160,25 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
             if name == "fct_orders":
                 df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
             write_table(df, path, **mart_layout(name))
-            t = read_table(spark, path)
-            return t.drop("purchase_month_key") if name == "fct_orders" else t
+            return read_mart(spark, root, env, name)
         return job
 
-    unknown = set(marts) - set(MARTS)
-    if unknown:
-        raise ValueError(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}")
     stored = dict(zip(marts, concurrently(*[write_mart(n) for n in marts])))
     tables.update(stored)
     if register_views:
         for name, df in tables.items():
             as_view(df, name)
     checks = run_suite(tables, model_suite().checks) if run_checks else None
+    if not keep:
+        staged.delete()
     return BuildResult(stored, checks)
+
+
+def read_mart(spark: SparkSession, root: str, env: str, name: str, months: Collection[str] | None = None) -> DataFrame:
+    """A stored mart.  ``months`` ('yyyy-MM') reads only those partitions of ``fct_orders``."""
+    t = read_table(spark, layer_path(root, env, "marts", name))
+    if "purchase_month_key" not in t.columns:
+        return t
+    if months is not None:
+        t = t.filter(F.col("purchase_month_key").isin(list(months)))
+    return t.drop("purchase_month_key")

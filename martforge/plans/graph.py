@@ -16,13 +16,13 @@ def models(raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
     intermediates once.  ``numeric_payment_order`` ranks payment sequences as
     numbers instead of text for the primary payment type (Q1)."""
     s = staging.staging(raw)
-    m9 = rollups.orders_enriched(s["stg_orders"], s["stg_order_items"], s["stg_order_payments"],
-                                 s["stg_order_reviews"], numeric_payment_order)
+    children = (s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"])
+    m9 = rollups.orders_enriched(*children, numeric_payment_order, review_text=False)
     m10 = rollups.customer_rollup(m9, s["stg_customers"])
     m11 = rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"])
     out = dict(s)
     out.update({
-        "orders_enriched": m9,
+        "orders_enriched": rollups.orders_enriched(*children, numeric_payment_order),
         "customer_rollup": m10,
         "seller_rollup": m11,
         "fct_orders": marts.fct_orders(m9, s["stg_customers"]),

@@ -11,6 +11,8 @@ partition at runtime.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from martforge.functions import avg_exact, avg_money, day_diff, round_half_up, s
 from martforge.operators.aggregates import arg_max
 from martforge.operators.latest import latest_per_key
 
+
 def items_per_order(items: DataFrame) -> DataFrame:
     """AG2/AG4/AG5 per order: count, money sums, distinct sellers."""
     return items.groupBy("order_id").agg(
@@ -41,32 +44,35 @@ def payments_per_order(payments: DataFrame, numeric_order: bool = False) -> Data
     )
 
 
-def latest_review(reviews: DataFrame) -> DataFrame:
-    """WN1: one review per order — latest creation time, a NULL time counting
-    as the latest (Q4), then the larger review id and score.  The order ends
-    with every remaining output field, so it is total on what is returned:
-    re-submitted reviews can share id, score and creation second."""
+REVIEW_TEXT = ("review_title", "review_message")
+
+
+def latest_review(reviews: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """WN1: the wanted columns of one review per order — latest creation time,
+    a NULL time counting as the latest (Q4), then the larger review id.  The
+    order ends with the wanted columns, so it is total on what is returned
+    (re-submitted reviews can share id and creation second) and a column that
+    is not wanted is neither read nor sorted."""
     return latest_per_key(
-        reviews.select("order_id", "review_id", "review_score", "review_title", "review_message",
-                       "review_created_at", "response_time_hours"),
+        reviews.select("order_id", "review_id", "review_created_at", *columns),
         ["order_id"],
         [F.col("review_created_at").desc_nulls_first(), F.col("review_id").desc_nulls_last(),
-         F.col("review_score").desc_nulls_last(), F.col("response_time_hours").desc_nulls_last(),
-         F.col("review_title").desc_nulls_last(), F.col("review_message").desc_nulls_last()],
-    )
+         *[F.col(c).desc_nulls_last() for c in columns]],
+    ).select("order_id", *columns)
 
 
 def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
-                    numeric_payment_order: bool = False) -> DataFrame:
+                    numeric_payment_order: bool = False, review_text: bool = True) -> DataFrame:
     """M9: one row per order with item, payment and review roll-ups and flags.
     Item metrics are zero-filled for orders without items; payment and review
-    columns stay NULL (Q5)."""
+    columns stay NULL (Q5).  Without ``review_text`` the title and message,
+    which no other model uses, are left out: free text as a sort key would
+    otherwise travel the whole shuffle."""
     oi = items_per_order(items)
     op = payments_per_order(payments, numeric_payment_order)
-    r = latest_review(reviews).select(
-        "order_id", "review_score", "review_title", "review_message",
-        F.col("response_time_hours").alias("review_response_hours"),
-    )
+    text = REVIEW_TEXT if review_text else ()
+    r = latest_review(reviews, ["review_score", "response_time_hours", *text]).withColumnRenamed(
+        "response_time_hours", "review_response_hours")
     j = orders.join(oi, "order_id", "left").join(op, "order_id", "left").join(r, "order_id", "left")
     return j.select(
         "order_id", "customer_id", "order_status", "purchased_at", "approved_at", "delivered_to_carrier_at",
@@ -79,7 +85,7 @@ def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame, re
         F.coalesce(F.col("order_gross_revenue"), F.lit(0.0)).alias("order_gross_revenue"),
         F.coalesce(F.col("distinct_sellers"), F.lit(0).cast("long")).alias("distinct_sellers"),
         "total_payment_amount", "max_installments", "primary_payment_type",
-        "review_score", "review_title", "review_message", "review_response_hours",
+        "review_score", *text, "review_response_hours",
         F.coalesce(F.col("order_status") == "delivered", F.lit(False)).alias("is_delivered"),
         F.coalesce(F.col("review_score") >= 4, F.lit(False)).alias("is_positive_review"),
     )

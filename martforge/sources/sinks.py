@@ -2,13 +2,15 @@
 
 * view      — a lazy DataFrame, optionally a temp view for SQL users;
 * ephemeral — a DataFrame function inlined into its consumers;
-* table     — written in full, replacing the previous version.
+* table     — written in full to a new folder beside the table, then put in
+              its place: a write that fails leaves the previous version.
 
 Tables live under ``<root>/<env>_<layer>/<model>`` (e.g. ``dev_marts``).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,10 +40,47 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort
         df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite")
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    try:
+        w.parquet(fresh)
+    except Exception:
+        delete(df.sparkSession, fresh)
+        raise
+    replace(df.sparkSession, fresh, path)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put ``fresh`` in the place of ``path``; the old version is set aside until the new one stands."""
+    fs, new = _path(spark, fresh)
+    _, target = _path(spark, path)
+    _, old = _path(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot set aside {path}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot put {fresh} in the place of {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

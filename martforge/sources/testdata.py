@@ -3,10 +3,10 @@
 The test data has no retail-order tables, so each raw table is computed from
 one given table with integer arithmetic and text only (FIXTURES.md §3).  The
 same rules are written in DuckDB SQL for the oracle (``duck_oracle/``), so both
-engines see identical raw text.  Everything is lazy and scales with the input;
-the only shuffle is the item numbering per order (skew-safe, see
-``operators.sequence``).  Its Python step is opaque to Catalyst, so it runs
-whenever ``order_items`` is read; production inputs carry the item number.
+engines see identical raw text.  Every source row is kept: keys without a
+partner are made by writing a key that matches nothing (letters V to Z), and
+sellers without sales by one more seller per supplier.  Everything is lazy,
+per row and without a shuffle (but for the distinct category names).
 """
 
 from __future__ import annotations
@@ -14,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.operators.sequence import number_within_key
-
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 # Fixed values used by the adapter rules.
 STATE_LETTERS = "acalapambaceesdfgomamg"
 ZIP_MODULUS = 211
+SELLERS_PER_SUPPLIER = 21  # the last of them sells nothing
 
 
 def _s(c: Column) -> Column:
@@ -80,12 +79,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 301 != 0)
+    o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     q = F.col("o_custkey") * 10 + k % 6
     v = q + (k / 6).cast("long") % 2
     return o.select(
-        pad("C", k).alias("customer_id"),
+        F.when(k % 301 == 0, pad("Z", k)).otherwise(pad("C", k)).alias("customer_id"),
         pad("U", q).alias("customer_unique_id"),
         F.when(q % 53 != 0, zip_text(v)).alias("customer_zip_code_prefix"),
         F.concat(F.lit("  City "), _s(v % ZIP_MODULUS)).alias("customer_city"),
@@ -93,23 +92,14 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LINEITEM_COLUMNS = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-]
-
-
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") % 20 != 0).select(*LINEITEM_COLUMNS)
-    # Item number = row_number per order over all columns, computed without
-    # putting a whole order in one task (an order may be very large).
-    li = number_within_key(li, "l_orderkey", [F.col(c).asc_nulls_last() for c in LINEITEM_COLUMNS[1:]], "__item")
+    li = read(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("long")
     return li.select(
         pad("O", F.col("l_orderkey")).alias("order_id"),
-        _s(F.col("__item")).alias("order_item_id"),
+        F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey", qty).alias("order_item_id"),
         pad("P", F.col("l_partkey")).alias("product_id"),
-        pad("S", F.col("l_suppkey") * 20 + F.col("l_orderkey") % 20).alias("seller_id"),
+        pad("S", F.col("l_suppkey") * SELLERS_PER_SUPPLIER + F.col("l_orderkey") % (SELLERS_PER_SUPPLIER - 1)).alias("seller_id"),
         ts_text(F.col("l_shipdate")).alias("shipping_limit_date"),
         money_text((F.col("l_partkey") * 37 + F.col("l_suppkey") * 11 + qty * 101) % 30000 + 100).alias("price"),
         money_text((F.col("l_partkey") + qty * 7) % 4000).alias("freight_value"),
@@ -117,7 +107,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 83 != 0)
+    o = read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     n = F.when(k % 5 == 0, k % 12 + 1).otherwise(F.lit(1))
     o = o.select(k, F.explode(F.sequence(F.lit(1).cast("long"), n.cast("long"))).alias("i"))
@@ -128,7 +118,7 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(t == 3, "debit_card").otherwise("not_defined")
     )
     return o.select(
-        pad("O", k).alias("order_id"),
+        F.when(k % 83 == 0, pad("Y", k)).otherwise(pad("O", k)).alias("order_id"),
         _s(i).alias("payment_sequential"),
         ptype.alias("payment_type"),
         _s((k + i) % 10 + 1).alias("payment_installments"),
@@ -137,9 +127,9 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").filter(F.col("event_id") != 0)
+    e = read(spark, sf_dir, "events")
     eid = F.col("event_id")
-    n = eid - F.when(eid % 3 == 0, 1).otherwise(0)
+    n = eid - F.when((eid % 3 == 0) & (eid > 0), 1).otherwise(0)
     score = F.when(eid % 7 == 0, F.col("user_id") % 5 + 1).otherwise(5 - (n % 20 / 4).cast("long"))
     title = F.when(eid % 3 == 1, F.lit("   ")).when(eid % 3 == 2, F.lit(" ok "))
     return e.select(
@@ -173,17 +163,18 @@ def raw_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = read(spark, sf_dir, "part").select(F.lower(F.col("p_type")).alias("product_category_name")).distinct()
     smallest = names.agg(F.min("product_category_name").alias("__min"))
     # A global aggregate is one row, so broadcasting it is bounded.
+    name = F.col("product_category_name")
     return (
-        names.join(F.broadcast(smallest), F.col("product_category_name") == F.col("__min"), "left_anti")
-        .select("product_category_name",
-                F.concat(F.lit("en_"), F.col("product_category_name")).alias("product_category_name_english"))
+        names.join(F.broadcast(smallest), name == F.col("__min"), "left")
+        .select(F.when(F.col("__min").isNull(), name).otherwise(F.concat(F.lit("x_"), name)).alias("product_category_name"),
+                F.concat(F.lit("en_"), name).alias("product_category_name_english"))
     )
 
 
 def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read(spark, sf_dir, "supplier")
-    s = s.select("s_suppkey", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(19).cast("long"))).alias("j"))
-    s = s.select((F.col("s_suppkey") * 20 + F.col("j")).alias("s"))
+    s = s.select("s_suppkey", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SELLERS_PER_SUPPLIER - 1).cast("long"))).alias("j"))
+    s = s.select((F.col("s_suppkey") * SELLERS_PER_SUPPLIER + F.col("j")).alias("s"))
     v = F.col("s")
     return s.select(
         pad("S", v).alias("seller_id"),
@@ -194,14 +185,14 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "customer").filter(F.col("c_custkey") % ZIP_MODULUS != 7)
+    c = read(spark, sf_dir, "customer")
     key = F.col("c_custkey")
 
     def coord(base: int, mult: int) -> Column:
         return F.concat(F.lit("-"), _s(base + key % 20), F.lit("."), F.lpad(_s((key * mult) % 1000), 3, "0"))
 
     return c.select(
-        zip_text(key).alias("geolocation_zip_code_prefix"),
+        F.when(key % ZIP_MODULUS == 7, F.concat(F.lit("V"), zip_text(key))).otherwise(zip_text(key)).alias("geolocation_zip_code_prefix"),
         coord(10, 13).alias("geolocation_lat"),
         coord(40, 29).alias("geolocation_lng"),
         F.concat(F.lit("City"), _s(F.col("c_nationkey") % 3)).alias("geolocation_city"),

@@ -24,7 +24,8 @@ def test_csv_build_round_trip(spark, tmp_dir):
     assert failing == {
         "not_null_stg_orders_purchased_at": 16, "relationships_stg_orders_customer_id__stg_customers_customer_id": 5,
         "not_null_fct_orders_customer_unique_id": 5, "not_null_fct_orders_purchase_date": 16,
-        "not_null_fct_revenue_daily_revenue_date": 1, "not_null_dim_sellers_total_revenue": 20,
+        "not_null_fct_revenue_daily_revenue_date": 1, "not_null_dim_sellers_total_revenue": 10,
+        "relationships_stg_order_payments_order_id__stg_orders_order_id": 37,
     }
 
 
@@ -48,3 +49,63 @@ def test_build_selected_marts_only(spark, tmp_dir):
     assert os.listdir(f"{tmp_dir}/out/dev_marts") == ["fct_revenue_daily"]
     with pytest.raises(ValueError):
         build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out2", run_checks=False, marts=("fct_nothing",))
+
+
+def test_selected_build_stages_only_what_it_needs_and_leaves_nothing(spark, tmp_dir):
+    import os
+
+    from martforge.plans.build import Staged
+
+    staged = Staged(spark, f"{tmp_dir}/staged")
+    build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out", as_of="2001-08-01", run_checks=False,
+          marts=("fct_revenue_daily",), staged=staged)
+    assert os.listdir(f"{tmp_dir}/staged") == ["orders_enriched"]
+    m9 = spark.read.parquet(f"{tmp_dir}/staged/orders_enriched")
+    assert not {"review_title", "review_message"} & set(m9.columns)
+    staged.delete()
+    assert not os.path.exists(f"{tmp_dir}/staged")
+
+
+def test_staged_intermediates_are_reused(spark, tmp_dir):
+    import os
+
+    from martforge.plans.build import Staged, staged_models
+
+    staged = Staged(spark, f"{tmp_dir}/staged")
+    raw = raw_tables(spark, SF_SMALL)
+    staged_models(spark, raw, "2001-08-01", wanted=["fct_orders"], staged=staged)
+    stamp = os.stat(f"{tmp_dir}/staged/orders_enriched/_SUCCESS").st_mtime_ns
+    tables = staged_models(spark, raw, "2001-08-01", wanted=["seller_rollup"], staged=Staged(spark, f"{tmp_dir}/staged"))
+    assert os.stat(f"{tmp_dir}/staged/orders_enriched/_SUCCESS").st_mtime_ns == stamp
+    assert "seller_rollup" in tables and "dim_sellers" not in tables
+
+
+def test_a_failed_write_leaves_the_previous_table(spark, tmp_dir):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from martforge.sources.sinks import read_table, write_table
+
+    path = f"{tmp_dir}/t"
+    write_table(spark.range(5), path)
+    with pytest.raises(Exception):
+        write_table(spark.range(5).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert read_table(spark, path).count() == 5
+    write_table(spark.range(7), path)
+    assert read_table(spark, path).count() == 7 and os.listdir(tmp_dir) == ["t"]
+
+
+def test_months_prune_partitions(spark, tmp_dir, capsys):
+    from martforge.plans.build import read_mart
+
+    build(spark, raw_tables(spark, SF_SMALL), f"{tmp_dir}/out", as_of="2001-08-01", run_checks=False, marts=("fct_orders",))
+    whole = read_mart(spark, f"{tmp_dir}/out", "dev", "fct_orders")
+    month = whole.filter("purchase_month IS NOT NULL").selectExpr("date_format(min(purchase_month), 'yyyy-MM')").first()[0]
+    one = read_mart(spark, f"{tmp_dir}/out", "dev", "fct_orders", months=[month])
+    assert one.columns == whole.columns
+    assert 0 < one.count() == whole.filter(f"date_format(purchase_month, 'yyyy-MM') = '{month}'").count() < whole.count()
+    one.explain("formatted")
+    filters = [x for x in capsys.readouterr().out.splitlines() if "PartitionFilters" in x]
+    assert filters and all("purchase_month_key" in x for x in filters)

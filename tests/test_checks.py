@@ -27,3 +27,17 @@ def test_rule_inventory():
     c = Counter(ch.test for ch in model_suite().checks)
     assert sum(c.values()) == 81
     assert c == {"not_null": 51, "unique": 16, "accepted_values": 9, "relationships": 5}
+
+
+def test_a_lost_rule_is_noticed():
+    """The oracle states its own rules, so the code's list is compared to it, not to itself."""
+    from duck_oracle.checks import RULES
+    from martforge.plans.rules import model_suite
+
+    def text(c):
+        more = [",".join(map(str, c.values))] if c.test == "accepted_values" else [f"{c.to_model}.{c.to_field}"] if c.test == "relationships" else []
+        return " ".join([c.model, c.column, c.test, *more])
+
+    stated = RULES.strip().split("\n")
+    assert len(stated) == 81 and [text(c) for c in model_suite().checks] == stated
+    assert [text(c) for c in model_suite().checks[1:]] != stated

@@ -14,7 +14,7 @@ def test_load_run_test(spark, tmp_dir, capsys):
     assert main(["run", "--lake", f"{tmp_dir}/lake", "--as-of", "2001-08-01"]) == 0
     assert main(["test", "--lake", f"{tmp_dir}/lake", "--as-of", "2001-08-01"]) == 1  # seeded failures
     out = capsys.readouterr().out
-    assert "75 passed, 6 failed" in out and "FAIL not_null_stg_orders_purchased_at (16)" in out
+    assert "74 passed, 7 failed" in out and "FAIL not_null_stg_orders_purchased_at (16)" in out
     assert main(["test", "--lake", f"{tmp_dir}/lake", "--as-of", "2001-08-01", "--select", "fct_orders"]) == 1
     out = capsys.readouterr().out
     assert "10 passed, 2 failed" in out and "stg_orders" not in out

@@ -48,5 +48,7 @@ def test_staged_models_equal_lazy_models(spark, tmp_dir):
     lazy, staged = models(raw, as_of="2001-08-01"), staged_models(spark, raw, "2001-08-01")
     for name in ("orders_enriched", "customer_rollup", "seller_rollup", "stg_geolocation", "fct_orders",
                  "fct_revenue_daily", "dim_customers", "dim_sellers"):
-        a, b = lazy[name], staged[name].select(*lazy[name].columns)
+        wanted = [c for c in lazy[name].columns if c in staged[name].columns]  # the staged M9 leaves out the review text
+        assert set(lazy[name].columns) - set(wanted) <= {"review_title", "review_message"}
+        a, b = lazy[name].select(*wanted), staged[name].select(*wanted)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name

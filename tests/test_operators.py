@@ -72,32 +72,11 @@ def test_rolling_rows_span_gaps_and_month_restart(spark):
     assert got[None] == (31.67, 5.0, 155.0)  # NULL day sorts last
 
 
-def test_number_within_key_matches_row_number_with_a_hot_key(spark):
-    from pyspark.sql import Window
-
-    from martforge.operators.sequence import number_within_key
-
-    df = spark.range(0, 60000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 11 == 0, F.lit(None))
-        .otherwise(F.col("id") % 500).alias("k"),
-        (F.col("id") * 7919 % 10007).alias("v"))
-    got = number_within_key(df, "k", [F.col("v").asc()], "rn", partitions=12)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v")).cast("long"))
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_number_within_key_splits_a_hot_group_of_identical_copies(spark):
-    from martforge.operators.sequence import number_within_key
-
-    copies = spark.range(0, 30000).select(F.lit(7).alias("k"), F.lit("same").alias("v"))
-    others = spark.range(0, 3000).select((F.col("id") % 50).alias("k"), F.col("id").cast("string").alias("v"))
-    df = copies.unionByName(others)
-    got = number_within_key(df, "k", [F.col("v").asc()], "rn", partitions=8)
-    hot = got.filter("k = 7")
-    r = hot.agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
-    assert tuple(r) == (1, 30060, 30060)  # 30000 copies + 60 others of key 7, numbered 1..n without gaps
-    # the copies were spread over several range partitions, not one task
-    spread = (df.withColumn("__tb", F.monotonically_increasing_id())
-              .repartitionByRange(8, F.col("k").asc_nulls_last(), F.col("v").asc(), F.col("__tb").asc())
-              .filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1
+def test_fractions_of_a_cent_add_up(spark):
+    from martforge.functions import avg_money, sum_money
+
+    df = spark.createDataFrame([(dt.date(2018, 1, i), 0.004) for i in (1, 2, 3)], "d date, x double")
+    assert tuple(df.agg(sum_money("x"), avg_money("x")).first()) == (0.012, 0.004)
+    out = df.select("d", rolling_rows_avg("x", "d", 3, digits=None).alias("r3"), period_to_date_sum("x", "d").alias("mtd"),
+                    running_total("x", "d").alias("cum")).orderBy("d").collect()[-1]
+    assert (out.r3, out.mtd, out.cum) == (0.004, 0.012, 0.012)
