@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from martforge.llm.common import read, with_fields
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-PIECE_BYTES = 1 << 24  # bytes of text encoded at a time: the more, the fewer walks over the ranks
+PIECE_BYTES = 1 << 22  # bytes of text encoded at a time: the more, the fewer walks over the ranks, and the more memory
 SEGMENT_CHARS = 1 << 18  # a longer text is cut where no pre-token can cross
-CACHE = 500_000  # text units a task remembers
+CACHE = 150_000  # text units a task remembers
 
 #: fixed value: the pre-token pattern of byte-level BPE (white space as Unicode's property)
 PATTERN = regex.compile(
