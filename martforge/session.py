@@ -54,7 +54,10 @@ def configure(spark: SparkSession, scale: str = "local") -> SparkSession:
     (``scale="cluster"`` adds the ``CLUSTER`` sizing, again only where unset)."""
     conf = spark.conf
     extra = CLUSTER if scale == "cluster" else {}
+    own_bound = conf.get("spark.sql.autoBroadcastJoinThreshold", None) is not None
     for key, value in {**DEFAULTS, **extra}.items():
+        if own_bound and key == "spark.sql.adaptive.autoBroadcastJoinThreshold":
+            continue  # a launcher that bounds broadcasts means the runtime ones too
         if key in SEMANTIC:
             conf.set(key, value)
         elif conf.get(key, None) is None:
