@@ -11,11 +11,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martforge.plans.build import build
 from martforge.session import checkpoint_dir
 from martforge.sources import csv_ingest as ci
-from martforge.sources.testdata import BUILDERS, raw_tables
+from martforge.sources.contracts import RAW_COLUMNS
+from martforge.sources.testdata import BUILDERS, pad, raw_tables
 
 AS_OF = "2001-08-01"
 
@@ -47,10 +49,55 @@ def csv_ingest_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_trip(spark, sf_dir, "order_reviews")
 
 
-def _load_all(spark: SparkSession, sf_dir: str):
+def write_dirty_reviews(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Review lines from the whole ``documents`` table: the full text as a quoted
+    field (quotes doubled, commas and newlines in it), every NULL token, lines
+    with too few and too many fields."""
+    d = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    k = F.col("doc_id")
+    quoted = F.concat(F.lit('"'), F.replace(F.col("text"), F.lit('"'), F.lit('""')), F.lit('"'))
+    token = F.element_at(F.array(*[F.lit(t) for t in ("NULL", "null", "NA", "N/A", "")]), (k % 5 + 1).cast("int"))
+    title = F.when(k % 3 == 0, F.concat(F.lit('"say ""'), k.cast("string"), F.lit('"", ok"'))).otherwise(token)
+    start = F.concat_ws(",", pad("R", k), pad("O", k))
+    whole = F.concat_ws(",", start, (k % 5 + 1).cast("string"), title, quoted, F.lit("2018-01-02 03:04:05"), F.lit(""))
+    line = F.when(k % 50 == 3, start).when(k % 50 == 7, F.concat_ws(",", whole, F.lit("one"), F.lit("more"))).otherwise(whole)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its file
+    header = F.lit(",".join(RAW_COLUMNS["order_reviews"]) + "\n")
+    d.select(F.when(first, F.concat(header, line)).otherwise(line)).write.text(path)
+
+
+def csv_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO2, IO3, IO5: the good rows of a dirty delivery, with the counts of good and rejected lines."""
+    path = f"{_scratch(spark, 'csv')}/order_reviews.csv"
+    write_dirty_reviews(spark, sf_dir, path)
+    rows = ci.read_raw_csv(spark, "order_reviews", path)
+    bad = F.col(ci.BAD).isNotNull()
+    n = rows.agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"), F.count("review_id")).first()
+    return ci.good_rows(rows).withColumns({"n_good": F.lit(n["good"]).cast("long"), "n_rejected": F.lit(n["bad"]).cast("long")})
+
+
+def load_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO5/IO6: the load report of a delivery whose reviews are dirty."""
+    (_, report), _ = _load_all(spark, sf_dir, dirty=True)
+    return report
+
+
+def input_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO7: which of the nine inputs a partial delivery (orders and customers) holds."""
+    base = _scratch(spark, "csv")
+    for name in ("orders", "customers"):
+        write_csv(BUILDERS[name](spark, sf_dir), f"{base}/{name}.csv")
+    present = ci.inputs_present(spark, {t: f"{base}/{t}.csv" for t in BUILDERS})
+    return spark.createDataFrame(sorted(present.items()), "table_name string, present boolean")
+
+
+def _load_all(spark: SparkSession, sf_dir: str, dirty: bool = False):
     base = _scratch(spark, "load")
     for name, df in raw_tables(spark, sf_dir).items():
-        write_csv(df, f"{base}/csv/{name}.csv")
+        if dirty and name == "order_reviews":
+            write_dirty_reviews(spark, sf_dir, f"{base}/csv/{name}.csv")
+        else:
+            write_csv(df, f"{base}/csv/{name}.csv")
     return ci.load_raw(spark, f"{base}/csv", f"{base}/raw"), base
 
 
@@ -70,6 +117,9 @@ def build_revenue_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "csv_ingest_orders": csv_ingest_orders,
     "csv_ingest_reviews": csv_ingest_reviews,
+    "csv_ingest_dirty": csv_ingest_dirty,
     "load_report": load_report,
+    "load_report_dirty": load_report_dirty,
+    "input_presence": input_presence,
     "build_revenue_daily": build_revenue_daily,
 }

@@ -52,17 +52,23 @@ def _reader(spark: SparkSession, table: str, multiline: bool | None = None):
     return r
 
 
-def check_inputs(spark: SparkSession, paths: Mapping[str, str]) -> None:
-    """IO7: every input must exist; raise once with the full list of missing ones."""
-    missing = []
+def inputs_present(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, bool]:
+    """IO7: whether each input exists."""
+    present = {}
     for table, path in paths.items():
         try:
             spark.read.schema("x string").csv(path)  # resolves the file listing only
+            present[table] = True
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                missing.append(f"{table}: {path}")
-            else:
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
                 raise
+            present[table] = False
+    return present
+
+
+def check_inputs(spark: SparkSession, paths: Mapping[str, str]) -> None:
+    """IO7: every input must exist; raise once with the full list of missing ones."""
+    missing = [f"{table}: {paths[table]}" for table, there in inputs_present(spark, paths).items() if not there]
     if missing:
         raise MissingInputError("missing raw inputs:\n  " + "\n  ".join(missing))
 
