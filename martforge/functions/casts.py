@@ -34,7 +34,10 @@ def to_timestamp(col) -> Column:
     Date/time text parses straight to a zone-less value (date-only text is
     midnight; a zone suffix is ignored), so the session time zone plays no
     part — no daylight-saving shift; integer text is epoch time (see
-    ``EPOCH_UNIT_LIMITS``), computed on the zone-less epoch."""
+    ``EPOCH_UNIT_LIMITS``), computed on the zone-less epoch.  Of the other
+    documented automatic formats these parse too: ``MM/DD/YYYY`` with or
+    without a time, ``DD-MON-YYYY`` and mail dates (``Thu, 21 Dec 2000
+    16:01:07 +0200``).  A year and month alone is no documented format: NULL."""
     c = _c(col)
     t = F.trim(c)
     n = F.when(t.rlike(r"^[+-]?[0-9]{1,30}$"), t.cast("decimal(38,0)"))
@@ -44,4 +47,11 @@ def to_timestamp(col) -> Column:
     in_range = micros.between(_MIN_MICROS, _MAX_MICROS)
     epoch = F.timestamp_add("MICROSECOND", F.when(in_range, micros).cast("long"),
                             F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    return F.when(n.isNotNull(), epoch).otherwise(c.try_cast("timestamp_ntz"))
+    mail = F.regexp_replace(F.regexp_replace(t, r"^[A-Za-z]{3},? +", ""), r" +([+-][0-9]{4}|[A-Z]{3})$", "")
+    other = F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for text, form in (
+        (t, "M/d/yyyy H:m:s"), (t, "M/d/yyyy"), (t, "d-MMM-yyyy"), (mail, "d MMM yyyy H:m:s"))]).cast("timestamp_ntz")
+    return (F.when(n.isNotNull(), epoch)
+            .when(t.rlike(r"^[0-9]{4}-[0-9]{1,2}$"), F.lit(None).cast("timestamp_ntz"))
+            .when(t.rlike(r"^[0-9]{4}-"), c.try_cast("timestamp_ntz"))
+            .when(t.rlike(r"^([0-9]|[A-Za-z]{3},? )"), F.coalesce(c.try_cast("timestamp_ntz"), other))
+            .otherwise(c.try_cast("timestamp_ntz")))

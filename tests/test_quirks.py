@@ -90,3 +90,21 @@ def test_seller_score_formula(spark):
     s = spark.range(1).select(rollups.seller_score(F.lit(4.0), F.lit(50.0), F.lit(9).cast("long")).alias("x"))
     # 4/5*100*0.4 = 32; 50*0.4 = 20; ln(10)/ln(1000)*100 = 33.33.. -> *0.2 = 6.67
     assert s.first().x == 58.67
+
+
+def test_customers_are_active_as_of_today_by_default(spark):
+    import datetime as dt
+
+    from martforge.plans.graph import models
+    from martforge.sources.testdata import raw_tables
+
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    recent = F.date_format(F.current_timestamp(), "yyyy-MM-dd 00:00:00")
+    raw["orders"] = raw["orders"].withColumn("order_purchase_timestamp", F.when(F.col("order_id") < "O00000100", recent)
+                                             .otherwise(F.col("order_purchase_timestamp")))
+    pick = lambda as_of: {r.customer_unique_id: r.is_active for r in models(raw, as_of=as_of)["dim_customers"]
+                          .select("customer_unique_id", "is_active").collect()}
+    today = spark.sql("SELECT current_date()").first()[0]
+    by_default = pick(None)
+    assert by_default == pick(today) and len(set(by_default.values())) == 2
+    assert isinstance(today, dt.date)
