@@ -105,12 +105,14 @@ def main(argv):
 
     stages, tasks = stage_records(load(f"{scratch}/events"))
     total_in = max((sum(v) for v in tasks.values()), default=0)
-    rows = []
+    rows, single = [], []
     for sid, recs in tasks.items():
         s = sum(recs)
         n, dur = stages.get(sid, (len(recs), 0))
+        if n <= 1:
+            single.append((s, sid, dur))
         if s < 0.05 * total_in or n <= 1:
-            continue  # tiny or single-task-by-design stages
+            continue  # tiny stages; those of a single task are listed on their own
         rows.append((max(recs) / s, sid, n, s, max(recs), dur))
     rows.sort(reverse=True)
     print(f"# Skew audit\n\nInput: `{sf_dir}` with hot keys injected (see `tools/skew_audit.py`); "
@@ -125,6 +127,12 @@ def main(argv):
     print("| --- | --- | --- | --- | --- | --- |")
     for share, sid, n, s, mx, dur in rows[:40]:
         print(f"| {sid} | {n} | {s:,} | {mx:,} | {share:.0%} | {dur:.2f} |")
+    single.sort(reverse=True)
+    print(f"\nStages of a single task that read a shuffle: {len(single)}; the largest:\n")
+    print("| stage | records | wall s |")
+    print("| --- | --- | --- |")
+    for s, sid, dur in single[:10]:
+        print(f"| {sid} | {s:,} | {dur:.2f} |")
     print(f"\nScratch folder: {scratch}")
 
 
