@@ -5,8 +5,9 @@ A page is read into a tree of block elements.  Every paragraph earns points
 parent, half of them to its grandparent and ever less further up; an element's
 points are discounted by its link density.  The element with the most points
 is the article; siblings that read like part of it are kept with it.  What can
-never be article text (menus, forms, scripts, adverts by name, ...) is cut
-while reading, unless a page would then be empty.
+never be article text (menus, forms, scripts, ...) is cut while reading; so is
+what is named for something else (adverts, comments, ...), unless the page
+would then be empty.
 
 The work per page is a small function; Spark deals out the pages and nothing
 is shuffled.

@@ -38,6 +38,8 @@ GRAM = 36
 RUN = LENGTH - GRAM + 1  # grams in a window
 STRETCH = 64  # windows in a stretch
 PIECE_BYTES = 1 << 18
+SEND_BYTES = 1 << 22  # text whose stretches are gathered before they are sent
+BUCKETS = 16  # buckets of stretches for each shuffle partition: sorting a bucket takes some 60 times its bytes of memory
 FILTER_BYTES = 256 << 20  # of the broadcast filter; beyond it the filter prunes less
 NO_ID = -(1 << 63)  # stands for a null doc_id, which sorts first
 
@@ -146,6 +148,7 @@ def suffix_order(s: np.ndarray, width: int, limit: int) -> np.ndarray:
         names = np.empty(len(sample), np.int64)
         names[order] = np.cumsum(new)
         reduced = np.concatenate((names[: len(one)], [0], names[len(one):]))
+        del triple, order, ordered, new, names
         order = suffix_order(reduced, 3 * width, limit)
         order = order[order != len(one)]
         order = order - (order > len(one))
@@ -218,32 +221,38 @@ def _send(sent, n_buckets: int):
             return bloom.level(keys << np.uint64(7), bucket_of(keys << np.uint64(7), filter_buckets), 1) > 0
 
         for batch in batches:
-            batch = batch.take(pa.compute.sort_indices(batch, [("did", "ascending"), ("th", "ascending")]))
-            did, th = batch["did"].to_numpy(), batch["th"].to_numpy()
-            offsets, data = C.text_buffers(batch["text"])
-            rows: dict[int, list] = {}
-            seen: dict[bytes, tuple[int, int]] = {}
-            for lo, hi in C.pieces(offsets, PIECE_BYTES):
-                base = offsets[lo]
-                some = data[base : offsets[hi]]
-                key, first, size = stretches(some, offsets[lo : hi + 1] - base, known)
-                doc = lo + np.searchsorted(offsets[lo : hi + 1] - base, first, "right") - 1
-                start = first + base - offsets[doc]
-                raw = some.tobytes()
-                for b, d, f, s, w in zip(bucket_of(key << np.uint64(7), n_buckets).tolist(), doc.tolist(), first.tolist(), start.tolist(), size.tolist()):
-                    text = raw[f : f + w + LENGTH - 1]
-                    mine = (int(did[d]), s)
-                    earlier = seen.setdefault(text, mine)
-                    covered = earlier < mine
-                    rows.setdefault(b, []).append((did[d], th[d], s, w, covered, b"" if covered else text))
-            if rows:
-                packed = []
-                for b, found in rows.items():
-                    d, t, s, w, c, x = zip(*found)
-                    packed.append((b, C.blob(np.array(d, np.int64)), C.blob(np.array(t, np.int64)), C.blob(np.array(s, np.int32)),
-                                   C.blob(np.array(w, np.uint8)), C.blob(np.array(c, np.uint8)), b"".join(x)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*packed))], names=SENT_NAMES)
+            offsets, _ = C.text_buffers(batch["text"])
+            for lo, hi in C.pieces(offsets, SEND_BYTES):
+                rows = deal(batch.slice(lo, hi - lo), known)
+                if rows:
+                    yield rows
+
+    def deal(batch: pa.RecordBatch, known) -> pa.RecordBatch | None:
+        batch = batch.take(pa.compute.sort_indices(batch, [("did", "ascending"), ("th", "ascending")]))
+        did, th = batch["did"].to_numpy(), batch["th"].to_numpy()
+        offsets, data = C.text_buffers(batch["text"])
+        rows: dict[int, list] = {}
+        seen: dict[bytes, tuple[int, int]] = {}
+        for lo, hi in C.pieces(offsets, PIECE_BYTES):
+            base = offsets[lo]
+            some = data[base : offsets[hi]]
+            key, first, size = stretches(some, offsets[lo : hi + 1] - base, known)
+            doc = lo + np.searchsorted(offsets[lo : hi + 1] - base, first, "right") - 1
+            start = first + base - offsets[doc]
+            raw = some.tobytes()
+            for b, d, f, s, w in zip(bucket_of(key << np.uint64(7), n_buckets).tolist(), doc.tolist(), first.tolist(), start.tolist(), size.tolist()):
+                text = raw[f : f + w + LENGTH - 1]
+                mine = (int(did[d]), s)
+                covered = seen.setdefault(text, mine) < mine
+                rows.setdefault(b, []).append((did[d], th[d], s, w, covered, b"" if covered else text))
+        packed = []
+        for b, found in rows.items():
+            d, t, s, w, c, x = zip(*found)
+            packed.append((b, C.blob(np.array(d, np.int64)), C.blob(np.array(t, np.int64)), C.blob(np.array(s, np.int32)),
+                           C.blob(np.array(w, np.uint8)), C.blob(np.array(c, np.uint8)), b"".join(x)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*packed))], names=SENT_NAMES) if packed else None
+
     return run
 
 
@@ -321,7 +330,7 @@ def covered_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     n = C.buckets(spark)
     counted = rows.select("text").mapInArrow(_count_keys(n), KEYED)
     sent = spark.sparkContext.broadcast((repeated_filter(counted, scratch, n, FILTER_BYTES), n))
-    dealt = rows.mapInArrow(_send(sent, 4 * n), SENT)
+    dealt = rows.mapInArrow(_send(sent, BUCKETS * n), SENT)
     return dealt.groupBy("bucket").applyInArrow(_cover, RANGES)
 
 
