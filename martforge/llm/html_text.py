@@ -40,10 +40,13 @@ FENCE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table
          "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 #: fixed values: words in a class or id that name something beside the article
 BESIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|popup|modal|sidebar|side|widget|menu|nav\w*|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notices?|alert|popup|modal|sidebar|side|widget|menu|nav\w*|"
     r"breadcrumbs?|header|masthead|footer|foot|comments?|disqus|respond|reply|replies|share|sharing|social|related|recommend\w*|newsletter|"
-    r"subscribe|signup|login|pagination|pager|toolbar|skip|search|copyright|legal|disclaimer|tags?|byline|meta)(?:$|[\s_-])", re.I)
-CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|main|body|post|entry|story|text)(?:$|[\s_-])", re.I)
+    r"subscribe|signup|login|pagination|pager|toolbar|skip|search|copyright|legal|contentinfo|complementary|disclaimer|tags?|byline|meta)(?:$|[\s_-])", re.I)
+#: fixed values: whole names that mark the article, whatever stands beside them
+CONTENT = frozenset(
+    "article content main post entry story post-content entry-content article-body article-content main-content post-body "
+    "story-body page-content".split())
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -69,8 +72,8 @@ def _beside(tag: str, attributes: str, inside_article: bool, by_name: bool) -> b
         return True
     if not by_name or not attributes or tag in ("html", "body", "article", "main"):
         return False
-    names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
-    return bool(names) and bool(BESIDE.search(names)) and not CONTENT.search(names)
+    names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes)).lower()
+    return bool(names) and bool(BESIDE.search(names)) and CONTENT.isdisjoint(names.split())
 
 
 def parse(page: str, by_name: bool = True) -> Node:

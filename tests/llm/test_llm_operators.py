@@ -335,6 +335,8 @@ PAGE_CASES = [
      "<footer>&copy;</footer><script>var p='</p><p>no'</script></body></html>", "Head\n\nFirst, one, two bold words. more\n\nSecond link text."),
     ("<div class=menu><a href=a>a</a></div><div class=post><p>Long prose, with commas, that goes on and on, for a while.</p><p>And more prose.</p></div><div class=ad>Buy</div>",
      "Long prose, with commas, that goes on and on, for a while.\n\nAnd more prose."),
+    ("<div class='post-body'><p>Prose, with commas, and more, of it.</p></div><section class='article-comments'><p>I, for one, think, not.</p></section>"
+     "<div class='cookie-notice'><p>We, and others, use, cookies.</p></div>", "Prose, with commas, and more, of it."),
     ("<!-- c <p>x</p> --><p>kept</p><!-- open <p>gone", "kept"), ("<p>a < b and c > d</p>", "a < b and c > d"),
     ("<div><p>unclosed <i>text", "unclosed text"), ("<nav>only menu</nav>", ""), ("<script>only</script>", ""),
 ]
