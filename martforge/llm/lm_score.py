@@ -241,7 +241,8 @@ def score(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     for mine in slices:
         found = model.filter(F.col("grp").isin(sorted(mine))).select("bucket", "grp", "kind", "a", "b")
         chosen = [(r[0], r[1], r[2], bytes(r[3]), bytes(r[4])) for r in found.toLocalIterator()]  # at most slice_bytes, or one group
-        sent = spark.sparkContext.broadcast((chosen, n_buckets, groups, mine, n, v))
+        sent = spark.sparkContext.broadcast(Slice(chosen, n_buckets, groups, mine, n, v))  # put together once, so that workers hold one copy
+        del chosen
         part = rows.withColumn("th", F.xxhash64("text")).select("doc_id", "th", "held_out", "text").mapInArrow(_scorer(sent), SCORES)
         parts = part if parts is None else parts.unionByName(part)
     if len(slices) > 1:  # every row gave a part in every slice
@@ -255,10 +256,8 @@ def score(docs: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
 
 def _scorer(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = None
+        ready = sent.value
         for batch in batches:
-            if ready is None:
-                ready = Slice(*sent.value)
             offsets, data = C.text_buffers(batch.column(3))
             for lo, hi in C.pieces(offsets, PIECE_BYTES):
                 token, borders = tokens(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
