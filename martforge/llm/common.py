@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -74,6 +75,14 @@ class Scratch:
             path = self._paths.pop(id(frame), None)
             if path:
                 delete(self.spark, path)
+        # Spark deletes the shuffle files of finished steps when the driver notices that nothing refers to them
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Marked for a broadcast if its counted rows (of some 50 bytes) allow it; the frame must be cheap to count."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def delete(spark: SparkSession, path: str) -> None:

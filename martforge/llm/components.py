@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from martforge.llm.common import Scratch
 
+EDGES_PER_TASK = 200_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges (u, v): one star step."""
@@ -35,8 +37,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.save(edges.select("u", "v").filter("u <> v").distinct(), "edges")
     mark = _sum(now)
     while mark[0]:
-        step = scratch.save(_star(now, True), "large")
-        new = scratch.save(_star(step, False), "small")
+        tasks = 1 + mark[0] // EDGES_PER_TASK  # few edges in very many tasks and files cost more than the work on them
+        step = scratch.save(_star(now, True).coalesce(tasks), "large")
+        new = scratch.save(_star(step, False).coalesce(tasks), "small")
         scratch.drop(step, now)
         now, before, mark = new, mark, _sum(new)
         if mark == before:

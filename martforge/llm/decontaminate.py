@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martforge.llm import words as W
-from martforge.llm.common import read, texts
+from martforge.llm.common import Scratch, read, small, texts
 
 K = 5
 WINDOW = 2 * K
@@ -105,6 +105,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without those that hold a benchmark window; every column stays, null ids and texts too."""
     found = hits(docs, benchmark).select(F.col("doc_id").alias("__hit_id"), F.col("th").alias("__hit_th")).distinct()
+    found = small(Scratch(docs.sparkSession, "hits").save(found, "hits"))
     th = F.xxhash64(F.coalesce("text", F.lit("")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__hit_id")) & (th == F.col("__hit_th"))
     return docs.join(found, same, "left_anti")

@@ -45,6 +45,7 @@ HOT = 100_000  # tokens held back to the end of the order, at most (their choice
 OFTEN = 3  # documents of one batch that make a token a candidate for it
 PIECE_BYTES = 1 << 20
 FILTER_BYTES = 256 << 20
+BROADCAST_ROWS = 1_000_000
 _STEP = [np.uint64(pow(0xC2B2AE3D27D4EB4F, i + 1, 2**64)) for i in range(SHINGLE)]
 
 
@@ -193,7 +194,8 @@ def _tree_pairs(table: pa.Table) -> pa.Table:
     for a, b in forest.pairs():
         other = (side[a] == 0) | (side[b] == 0) | (side[a] != side[b])  # two blocks: only pairs across
         for x, y in zip(prints[a[other]], prints[b[other]]):
-            found.add((x, y) if x < y else (y, x))
+            if x != y:
+                found.add((x, y) if x < y else (y, x))
     u, v = zip(*sorted(found)) if found else ((), ())
     return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
 
@@ -275,29 +277,65 @@ def _print_keys(n_buckets: int):
     return run
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist()):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+def _linked(key: tuple, sets: pa.Table, pairs: pa.Table) -> pa.Table:
+    """Links of one bucket's pairs.  A pair that earlier links connect already is not looked at."""
+    tokens = dict(zip(sets["fp"].to_pylist(), sets["tokens"].to_pylist()))
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    found = []
+    for u, v, cu, cv in sorted(zip(*(pairs[c].to_pylist() for c in ("u", "v", "cu", "cv")))):
+        if find(cu) == find(cv):
+            continue
+        x, y = np.frombuffer(tokens[u], np.uint64), np.frombuffer(tokens[v], np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            root[find(cu)] = find(cv)
+            found.append((u, v))
+    u, v = zip(*found) if found else ((), ())
+    return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
 
+def _verify(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, scratch: C.Scratch, n_buckets: int) -> DataFrame:
+    """Links among the pairs (u, v), on the whole sets: enough of them to connect what the pairs' links connect.
 
-def _verify(pairs: DataFrame, rows: DataFrame, scratch: C.Scratch, n_buckets: int) -> DataFrame:
-    """Those of the pairs (u, v) of fingerprints whose whole sets link."""
+    Pairs are grouped by the clusters that they make up, so a set travels once
+    to its cluster (to each pair of blocks, if the cluster is large), not once
+    a pair.  labels: components known already."""
     spark = rows.sparkSession
-    ends = pairs.select(F.col("u").alias("fp")).union(pairs.select(F.col("v").alias("fp"))).distinct()
-    wanted = keys_filter(ends.mapInArrow(_print_keys(n_buckets), "bucket int, n long, keys binary"), n_buckets, FILTER_BYTES)
+    clusters = scratch.save(components(pairs, scratch), "clusters")
+    wanted = keys_filter(clusters.select(F.col("node").alias("fp")).mapInArrow(_print_keys(n_buckets), "bucket int, n long, keys binary"),
+                         n_buckets, FILTER_BYTES)
     if not wanted:
         return pairs.limit(0)
+    blocks = clusters.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = clusters.join(blocks, "component").select(
+        F.col("node").alias("fp"), "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    placed = scratch.save(placed, "placed")
+
+    def bucket(low, high):
+        return F.pmod(F.xxhash64("component", low, high), F.lit(n_buckets)).cast("int").alias("bucket")
+
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = spread.select("fp", bucket(F.least("block", "other"), F.greatest("block", "other"))).distinct()
     sent = spark.sparkContext.broadcast((wanted, n_buckets))
-    found = rows.select("text").mapInArrow(_wanted_sets(sent), "fp binary, tokens binary").join(ends, "fp", "left_semi").dropDuplicates(["fp"])
-    sets = scratch.save(found, "sets")
-    side = lambda name, col: sets.select(F.col("fp").alias(name), F.col("tokens").alias(col))
-    out = scratch.save(pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_linked, "u binary, v binary"), "links")
-    scratch.drop(sets)
+    sets = rows.select("text").mapInArrow(_wanted_sets(sent), "fp binary, tokens binary").join(C.small(scratch.save(dealt, "dealt"), BROADCAST_ROWS), "fp")
+    end = lambda e, block: placed.select(F.col("fp").alias(e), F.col("block").alias(block), *(["component"] if e == "u" else []))
+    aimed = pairs.join(end("u", "bu"), "u").join(end("v", "bv"), "v").select("u", "v", bucket(F.least("bu", "bv"), F.greatest("bu", "bv")))
+    for e in ("u", "v"):
+        if labels is None:
+            aimed = aimed.withColumn(f"c{e}", F.col(e))
+        else:
+            known = labels.select(F.col("node").alias(e), F.col("component").alias(f"c{e}"))
+            aimed = aimed.join(known, e, "left").withColumn(f"c{e}", F.coalesce(f"c{e}", e))
+    grouped = sets.groupBy("bucket").cogroup(aimed.select("bucket", "u", "v", "cu", "cv").groupBy("bucket"))
+    out = scratch.save(grouped.applyInArrow(_linked, "u binary, v binary"), "links")
+    scratch.drop(clusters, placed)
     return out
 
 
@@ -352,23 +390,30 @@ def classes_of(docs: DataFrame) -> DataFrame:
     n_buckets = C.buckets(spark)
     rows = C.texts(docs).withColumn("th", F.xxhash64("text"))
     often = (rows.select("text").mapInArrow(_often, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "token").limit(HOT).collect())
-    tokens = np.array([r["token"] for r in often], np.int64).view(np.uint64)
+             .orderBy(F.desc("n"), "token").limit(HOT).select("token").toPandas())
+    tokens = often["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     ranks = np.arange(len(tokens))[::-1][order]  # the most frequent comes last of all
     described = scratch.save(rows.mapInArrow(_describe(spark.sparkContext.broadcast((tokens[order], ranks))),
                                              "doc_id long, th long, fp binary, n long, sig binary, pre binary"), "sets")
-    classes = scratch.save(described.filter("n > 0").select("fp", "n", "sig", "pre").dropDuplicates(["fp"]), "classes")
+    lead = F.min(F.struct("doc_id", "th")).alias("lead")  # one row of each class stands for it
+    leads = described.filter("n > 0").groupBy("fp").agg(lead).select("fp", F.col("lead.doc_id").alias("d"), F.col("lead.th").alias("t"))
+    leads = scratch.save(leads, "leads")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+    small = leads.count() <= BROADCAST_ROWS
+    classes = described.join(F.broadcast(leads) if small else leads, "fp").filter(same).select("fp", "n", "sig", "pre")
+    if not small:  # a shuffle join, so done once
+        classes = scratch.save(classes, "classes")
     repeated = repeated_filter(classes.select("pre").mapInArrow(_emit_tokens(n_buckets), KEYED), scratch, n_buckets, FILTER_BYTES)
     postings = scratch.save(classes.select("fp", "n", "pre").mapInArrow(
         _postings(spark.sparkContext.broadcast((repeated, n_buckets))), "token long, fp binary, n long"), "postings")
-    links = _verify(scratch.save(_fits(_chains(postings), classes), "chains"), rows, scratch, n_buckets)
+    links = _verify(scratch.save(_fits(_chains(postings), classes), "chains"), None, rows, scratch, n_buckets)
     joined = scratch.save(components(links, scratch), "joined")
     cells = _cells(postings, classes, joined, n_buckets)
     candidates = scratch.save(cells.groupBy("bucket").applyInArrow(_tree_pairs, "u binary, v binary").distinct(), "candidates")
-    more = _verify(candidates, rows, scratch, n_buckets)
+    more = _verify(candidates, joined, rows, scratch, n_buckets)
     final = scratch.save(components(links.union(more), scratch), "components")
-    scratch.drop(postings, classes, candidates, joined)
+    scratch.drop(postings, candidates, joined)
     return (described.select("doc_id", "th", "fp", "n").join(final.withColumnsRenamed({"node": "fp"}), "fp", "left")
             .select("doc_id", "th", "n", F.coalesce("component", "fp").alias("component")))
 
@@ -390,12 +435,18 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Documents without shingles all stay, but rows that repeat both doc_id and
     text are one document.  Every column stays."""
-    last = F.lit((1 << 63) - 1)
-    rows = classes_of(docs).select(F.coalesce("doc_id", last).alias("__id"), F.col("th").alias("__th"), "n", "component")
-    leads = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct("__id", "__th")).alias("lead")).select("lead.*")
-    kept = leads.union(rows.filter("n = 0").select("__id", "__th"))
+    last, keys = F.lit((1 << 63) - 1), ["__id", "__th"]
+    scratch = C.Scratch(docs.sparkSession, "keep")
+    rows = scratch.save(classes_of(docs).select(F.coalesce("doc_id", last).alias("__id"), F.col("th").alias("__th"), "n", "component"), "rows")
+    leads = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct(*keys)).alias("lead")).select("lead.*")
+    kept = scratch.save(leads.union(rows.filter("n = 0").select(*keys)), "kept")
+    again = scratch.save(rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), "again")
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), last), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return marked.join(kept, ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"]).select(*docs.columns)
+    found = marked.join(C.small(kept), keys, "left_semi")
+    if not again.isEmpty():  # only rows that repeat both keys are shuffled to leave one of them
+        repeats = C.small(again)
+        found = found.join(repeats, keys, "left_anti").union(found.join(repeats, keys, "left_semi").dropDuplicates(keys))
+    return found.select(*docs.columns)
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
