@@ -340,17 +340,23 @@ def _verify(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, scratch
 
 
 def _chains(postings: DataFrame) -> DataFrame:
-    """For each class its best neighbour before and after it, over its groups in order of size (large groups in salted parts)."""
+    """For each class its best partners over its groups (large groups in salted parts): the neighbour before and the one
+    after it in order of size, and the pivot, the member whose tokens are shared most (the text that others are copies of)."""
+    shared = postings.groupBy("fp").agg((F.count("*") / F.first("n")).alias("shared"))
     df = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     salt = F.pmod(F.xxhash64("fp", "token"), F.ceil(F.col("df") / BLOCK))
     order = Window.partitionBy("token", "salt").orderBy("n", "fp")
-    beside = (postings.join(df, "token").withColumn("salt", salt)
-              .withColumn("u", F.lag("fp").over(order)).withColumn("m", F.lag("n").over(order))
+    members = postings.join(df, "token").join(shared, "fp").withColumn("salt", salt)
+    pivot = Window.partitionBy("token", "salt").orderBy(F.desc("shared"), "fp")
+    beside = (members.withColumn("u", F.lag("fp").over(order)).withColumn("m", F.lag("n").over(order))
               .filter(F.col("u").isNotNull() & (100 * F.col("m") >= PERCENT * F.col("n"))))
-    counted = beside.groupBy("u", F.col("fp").alias("v")).agg(F.count("*").alias("votes"))
-    best = lambda own, other: counted.groupBy(own).agg(F.max(F.struct("votes", other)).alias("b")).select(
+    under = (members.withColumn("u", F.first("fp").over(pivot)).withColumn("m", F.first("n").over(pivot))
+             .filter((F.col("u") != F.col("fp")) & (100 * F.least("m", "n") >= PERCENT * F.greatest("m", "n"))))
+    count = lambda found: found.groupBy("u", F.col("fp").alias("v")).agg(F.count("*").alias("votes"))
+    best = lambda counted, own, other: counted.groupBy(own).agg(F.max(F.struct("votes", other)).alias("b")).select(
         F.col(own).alias("x"), F.col(f"b.{other}").alias("y"))
-    return best("u", "v").union(best("v", "u")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
+    beside, under = count(beside), count(under)
+    return best(beside, "u", "v").union(best(beside, "v", "u")).union(best(under, "v", "u")).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
 def _fits(pairs: DataFrame, classes: DataFrame) -> DataFrame:
