@@ -10,7 +10,11 @@ earlier (smaller doc_id, or earlier in the same document).
    false positive costs work, never a wrong answer).
 2. Windows with a repeated key are dealt out by key, as short stretches of
    text (neighbouring windows with one key); equal stretches of a batch are
-   sent once.  All places of a repeated string meet in one bucket.
+   sent once.  All places of a repeated string meet in one bucket.  A key with
+   more than ``HOT`` places (a passage that many documents hold) is not kept
+   together: those of its windows whose own hash is repeated are dealt out one
+   by one, by that hash, so text around the passage does not travel with it.
+   What is known to be covered goes on as a range, to the batch's own bucket.
 3. Each bucket sorts the suffixes of its distinct stretches with the
    difference-cover algorithm: sort the triples at positions 1 and 2 mod 3,
    recurse on their names (until names cover ``LENGTH`` bytes), sort the
@@ -31,7 +35,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martforge.llm import common as C
-from martforge.llm.bloom import KEYED, Filter, bucket_of, keyed_batch, repeated_filter
+from martforge.llm.bloom import KEYED, Filter, bucket_of, keyed_batch, keys_filter, repeated_filter
 
 LENGTH = 100
 GRAM = 36
@@ -41,6 +45,8 @@ PIECE_BYTES = 1 << 18
 SEND_BYTES = 1 << 22  # text whose stretches are gathered before they are sent
 BUCKETS = 16  # buckets of stretches for each shuffle partition: sorting a bucket takes some 60 times its bytes of memory
 FILTER_BYTES = 256 << 20  # of the broadcast filter; beyond it the filter prunes less
+HOT = 4096  # places of a key from which on its windows are dealt out one by one; keeps a key's stretches under 1 MB
+HOT_FILTER_BYTES = 64 << 20  # of the filter of such windows
 NO_ID = -(1 << 63)  # stands for a null doc_id, which sorts first
 
 
@@ -94,8 +100,8 @@ def gram_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return h[both]
 
 
-def stretches(data: np.ndarray, offsets: np.ndarray, known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, first window, number of windows) of the stretches whose key ``known`` lets pass."""
+def runs(data: np.ndarray, offsets: np.ndarray, wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, first window, number of windows) of a document's neighbouring windows with one key that is ``wanted``."""
     if len(data) < LENGTH:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     m = _sliding_min(_gram_hashes(data))
@@ -108,13 +114,32 @@ def stretches(data: np.ndarray, offsets: np.ndarray, known) -> tuple[np.ndarray,
     size = np.diff(np.append(at, len(m)))
     keep = fine[at]
     at, size = at[keep], size[keep]
-    keep = known(m[at])
-    at, size = at[keep], size[keep]
+    keep = wanted(m[at])
+    return m[at[keep]], at[keep], size[keep]
+
+
+def stretches(key: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs in parts of at most STRETCH windows."""
     parts = -(-size // STRETCH)
     which = np.repeat(np.arange(len(at)), parts)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
-    first = at[which] + nth * STRETCH
-    return m[at[which]], first, np.minimum(size[which] - nth * STRETCH, STRETCH)
+    return key[which], at[which] + nth * STRETCH, np.minimum(size[which] - nth * STRETCH, STRETCH)
+
+
+def _among(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys stand in an ordered array."""
+    if not len(ordered):
+        return np.zeros(len(keys), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)] == keys
+
+
+def windows_of(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of its bytes, place) of every window of the runs."""
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    places = np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
+    p, inverse = C.prefix_hash(data)
+    return C.mix((p[places + LENGTH] - p[places]) * inverse[places]), places
 
 
 # --- difference-cover suffix sorting ----------------------------------------
@@ -172,6 +197,20 @@ def suffix_order(s: np.ndarray, width: int, limit: int) -> np.ndarray:
     return out
 
 
+def _same(raw: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether the LENGTH bytes at ``left`` and ``right`` are equal, pair by pair."""
+    raw = np.concatenate((raw, np.zeros(8, np.uint8)))
+    words = np.zeros(len(raw) - 7, np.uint64)
+    for i in range(8):
+        words |= raw[i : len(raw) - 7 + i].astype(np.uint64) << np.uint64(8 * i)
+    at = np.arange(len(left))
+    for d in [*range(0, LENGTH - 8, 8), LENGTH - 8]:  # eight bytes at a time
+        at = at[words[left[at] + d] == words[right[at] + d]]
+    same = np.zeros(len(left), bool)
+    same[at] = True
+    return same
+
+
 def equal_windows(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts in suffix order, class): starts whose LENGTH bytes are equal have one class.
 
@@ -180,16 +219,7 @@ def equal_windows(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     wanted[starts] = True
     order = suffix_order(text, 1, LENGTH)
     order = order[wanted[order]]
-    raw = np.concatenate(((text - 1).astype(np.uint8), np.zeros(8, np.uint8)))
-    words = np.zeros(len(raw) - 7, np.uint64)
-    for i in range(8):
-        words |= raw[i : len(raw) - 7 + i].astype(np.uint64) << np.uint64(8 * i)
-    same = np.ones(max(0, len(order) - 1), bool)
-    at = np.flatnonzero(same)
-    for d in [*range(0, LENGTH - 8, 8), LENGTH - 8]:  # adjacent prefixes, eight bytes at a time
-        at = at[words[order[at] + d] == words[order[at + 1] + d]]
-    same[:] = False
-    same[at] = True
+    same = _same((text - 1).astype(np.uint8), order[:-1], order[1:])
     return order, np.cumsum(np.concatenate(([True], ~same))) - 1 if len(order) else np.zeros(0, np.int64)
 
 
@@ -200,56 +230,137 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("did"), F.xxhash64(t).alias("th"), t.alias("text"))
 
 
+COUNTED = KEYED + ", counts binary"
+
+
 def _count_keys(n_buckets: int):
+    """Distinct keys of each batch; ``counts`` has the places of those that stand more than once in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, data = C.text_buffers(batch.column(0))
             found = [gram_keys(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]) for lo, hi in C.pieces(offsets, PIECE_BYTES)]
             if not found:
                 continue
-            yield keyed_batch(np.concatenate(found) << np.uint64(7), n_buckets)
+            keys, counts = np.unique(np.concatenate(found) << np.uint64(7), return_counts=True)
+            order, cuts = C.split_by(bucket_of(keys, n_buckets), n_buckets)
+            keys, counts = keys[order], counts[order].astype(np.uint32)
+            parts = [(b, keys[cuts[b] : cuts[b + 1]], counts[cuts[b] : cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts)).tolist()]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([b for b, _, _ in parts], pa.int32()), pa.array([C.blob(k) for _, k, _ in parts], pa.binary()),
+                pa.array([C.blob(np.packbits(c > 1)) for _, _, c in parts], pa.binary()),
+                pa.array([C.blob(c[c > 1]) for _, _, c in parts], pa.binary())], names=[f.split()[0] for f in COUNTED.split(", ")])
+    return run
+
+
+def _repeated_keys(hot: int):
+    """A bucket's keys with more than one place, and those with more than ``hot``."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = [np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()]
+        counts = [np.ones(len(k), np.uint32) for k in keys]
+        for c, often, n in zip(counts, table["often"].to_pylist(), table["counts"].to_pylist()):
+            c[np.unpackbits(np.frombuffer(often, np.uint8), count=len(c)).astype(bool)] = np.frombuffer(n, np.uint32)
+        keys, counts = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        keys, counts = keys[at], np.add.reduceat(counts, at, dtype=np.int64)
+        again = keys[counts > 1]
+        return pa.table({"bucket": table["bucket"].slice(0, 1), "n": pa.array([len(again)]), "keys": pa.array([C.blob(again)], pa.binary()),
+                         "hot": pa.array([C.blob(keys[counts > hot])], pa.binary())})
+    return run
+
+
+def _count_windows(hot_keys, n_buckets: int):
+    """Hashes of the windows whose key is hot, 4 MB of text at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = hot_keys.value
+        for batch in batches:
+            offsets, data = C.text_buffers(batch.column(0))
+            for begin, end in C.pieces(offsets, SEND_BYTES):
+                found = []
+                for lo, hi in C.pieces(offsets[begin : end + 1], PIECE_BYTES):
+                    lo, hi = lo + begin, hi + begin
+                    some = data[offsets[lo] : offsets[hi]]
+                    _, at, size = runs(some, offsets[lo : hi + 1] - offsets[lo], lambda keys: _among(hot, keys << np.uint64(7)))
+                    found.append(windows_of(some, at, size)[0])
+                if sum(map(len, found)):
+                    yield keyed_batch(np.concatenate(found), n_buckets)
     return run
 
 
 def _send(sent, n_buckets: int):
     """Stretches with a repeated key, by bucket; a later equal stretch of the batch is covered by the first and sent as a range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, filter_buckets = sent.value
-        bloom = Filter(segments, filter_buckets)
+        segments, hot, hot_segments, filter_buckets = sent.value
+        bloom, windows = Filter(segments, filter_buckets), Filter(hot_segments, filter_buckets)
 
         def known(keys: np.ndarray) -> np.ndarray:
             return bloom.level(keys << np.uint64(7), bucket_of(keys << np.uint64(7), filter_buckets), 1) > 0
 
+        def again(hashes: np.ndarray) -> np.ndarray:
+            return windows.level(hashes, bucket_of(hashes, filter_buckets), 1) > 0
+
         for batch in batches:
             offsets, _ = C.text_buffers(batch["text"])
             for lo, hi in C.pieces(offsets, SEND_BYTES):
-                rows = deal(batch.slice(lo, hi - lo), known)
+                rows = deal(batch.slice(lo, hi - lo), known, hot, again)
                 if rows:
                     yield rows
 
-    def deal(batch: pa.RecordBatch, known) -> pa.RecordBatch | None:
+    def deal(batch: pa.RecordBatch, known, hot: np.ndarray, again) -> pa.RecordBatch | None:
         batch = batch.take(pa.compute.sort_indices(batch, [("did", "ascending"), ("th", "ascending")]))
         did, th = batch["did"].to_numpy(), batch["th"].to_numpy()
         offsets, data = C.text_buffers(batch["text"])
         rows: dict[int, list] = {}
         seen: dict[bytes, tuple[int, int]] = {}
+        covered: list[tuple] = []
+        singles = []
         for lo, hi in C.pieces(offsets, PIECE_BYTES):
             base = offsets[lo]
             some = data[base : offsets[hi]]
-            key, first, size = stretches(some, offsets[lo : hi + 1] - base, known)
+            key, at, size = runs(some, offsets[lo : hi + 1] - base, known)
+            is_hot = _among(hot, key << np.uint64(7))
+            if is_hot.any():
+                hashes, places = windows_of(some, at[is_hot], size[is_hot])
+                keep = again(hashes)
+                singles.append((hashes[keep], places[keep] + base))
+            key, first, size = stretches(key[~is_hot], at[~is_hot], size[~is_hot])
             doc = lo + np.searchsorted(offsets[lo : hi + 1] - base, first, "right") - 1
             start = first + base - offsets[doc]
             raw = some.tobytes()
             for b, d, f, s, w in zip(bucket_of(key << np.uint64(7), n_buckets).tolist(), doc.tolist(), first.tolist(), start.tolist(), size.tolist()):
                 text = raw[f : f + w + LENGTH - 1]
                 mine = (int(did[d]), s)
-                covered = seen.setdefault(text, mine) < mine
-                rows.setdefault(b, []).append((did[d], th[d], s, w, covered, b"" if covered else text))
+                if seen.setdefault(text, mine) < mine:
+                    covered.append((did[d], th[d], s, w, True, b""))
+                else:
+                    rows.setdefault(b, []).append((did[d], th[d], s, w, False, text))
+        if singles:
+            hashes, places = (np.concatenate(x) for x in zip(*singles))
+            doc = np.searchsorted(offsets, places, "right") - 1
+            start = places - offsets[doc]
+            where = np.unique(did, return_inverse=True)[1][doc] << 32 | start
+            order = np.lexsort((where, hashes))
+            fresh = np.concatenate(([True], hashes[order[1:]] != hashes[order[:-1]]))[: len(order)]
+            lead = np.empty(len(order), np.int64)
+            lead[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+            later = (where > where[lead]) & _same(data, places, places[lead])
+            for b, i in zip(bucket_of(hashes[~later], n_buckets).tolist(), np.flatnonzero(~later).tolist()):
+                d = doc[i]
+                rows.setdefault(b, []).append((did[d], th[d], start[i], 1, False, data[places[i] : places[i] + LENGTH].tobytes()))
+            gone = np.flatnonzero(later)  # places ascend: neighbouring windows become one range
+            edge = np.concatenate(([True], (places[gone[1:]] != places[gone[:-1]] + 1) | (doc[gone[1:]] != doc[gone[:-1]])))[: len(gone)]
+            begin = np.flatnonzero(edge)
+            for i, w in zip(gone[begin].tolist(), np.diff(np.append(begin, len(gone))).tolist()):
+                covered.append((did[doc[i]], th[doc[i]], start[i], w, True, b""))
+        if covered:  # ranges need no other row: any bucket will do
+            own = int(C.mix(th[:1].astype(np.uint64))[0] % np.uint64(n_buckets))
+            rows.setdefault(own, []).extend(covered)
         packed = []
         for b, found in rows.items():
             d, t, s, w, c, x = zip(*found)
             packed.append((b, C.blob(np.array(d, np.int64)), C.blob(np.array(t, np.int64)), C.blob(np.array(s, np.int32)),
-                           C.blob(np.array(w, np.uint8)), C.blob(np.array(c, np.uint8)), b"".join(x)))
+                           C.blob(np.array(w, np.int32)), C.blob(np.array(c, np.uint8)), b"".join(x)))
         return pa.RecordBatch.from_arrays(
             [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*packed))], names=SENT_NAMES) if packed else None
 
@@ -267,7 +378,7 @@ def _cover(table: pa.Table) -> pa.Table:
         return np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
 
     did, th, start = column("did", np.int64), column("th", np.int64), column("start", np.int32).astype(np.int64)
-    size, covered = column("windows", np.uint8).astype(np.int64), column("covered", np.uint8).astype(bool)
+    size, covered = column("windows", np.int32).astype(np.int64), column("covered", np.uint8).astype(bool)
     out = [(did[covered], th[covered], start[covered], start[covered] + size[covered] + LENGTH - 1)]
     did, th, start, size = (x[~covered] for x in (did, th, start, size))
     text = b"".join(table["text"].to_pylist())
@@ -324,14 +435,27 @@ def _cover(table: pa.Table) -> pa.Table:
 
 def covered_ranges(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(did, th, first, last): byte ranges to remove, overlapping ones included; did: the id (NO_ID if null), th: xxhash64 of the text."""
+    return dealt(docs, key, text).groupBy("bucket").applyInArrow(_cover, RANGES)
+
+
+def dealt(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Packed rows of SENT: the stretches with a repeated key, by bucket."""
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "suffix")
     rows = _rows(docs, key, text)
     n = C.buckets(spark)
-    counted = rows.select("text").mapInArrow(_count_keys(n), KEYED)
-    sent = spark.sparkContext.broadcast((repeated_filter(counted, scratch, n, FILTER_BYTES), n))
-    dealt = rows.mapInArrow(_send(sent, BUCKETS * n), SENT)
-    return dealt.groupBy("bucket").applyInArrow(_cover, RANGES)
+    counted = rows.select("text").mapInArrow(_count_keys(n), COUNTED)
+    repeated = scratch.save(counted.groupBy("bucket").applyInArrow(_repeated_keys(HOT), "bucket int, n long, keys binary, hot binary"), "repeated")
+    segments = keys_filter(repeated, n, FILTER_BYTES)
+    # at most one key for every HOT places of the corpus
+    hot = np.sort(np.frombuffer(b"".join(bytes(r["hot"]) for r in repeated.select("hot").filter(F.length("hot") > 0).toLocalIterator()), np.uint64))
+    scratch.drop(repeated)
+    hot_segments: dict[int, bytes] = {}
+    if len(hot):
+        windows = rows.select("text").mapInArrow(_count_windows(spark.sparkContext.broadcast(hot), n), KEYED)
+        hot_segments = repeated_filter(windows, scratch, n, HOT_FILTER_BYTES)
+    sent = spark.sparkContext.broadcast((segments, hot, hot_segments, n))
+    return rows.mapInArrow(_send(sent, BUCKETS * n), SENT)
 
 
 def _apply(docs: DataFrame, key: str, text: str, run, schema: T.StructType) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -386,6 +387,26 @@ def test_suffix_dedup_equals_brute_force(docs, none, rows):
     assert got(suffix_dedup.removals(none)) == []
 
 
+def test_suffix_dedup_of_hot_keys_equals_brute_force(docs, rows, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 2)
+    test_suffix_dedup_equals_brute_force(docs, docs.limit(0), rows)
+
+
+def test_suffix_dedup_deals_out_a_frequent_passage(spark, monkeypatch):
+    """No bucket holds every document's text around a passage that all documents have."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 50)
+    rng = random.Random(11)
+    own = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789 ") for _ in range(200))
+    passage = own()
+    rows = [(i, own() + passage + own()) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.removals(docs).collect()}
+    _, gone = _removed(rows)
+    assert out == {i: (int(g.sum()), 1 if g.any() else 0) for (i, _), g in zip(rows, gone)}
+    sizes = suffix_dedup.dealt(docs).selectExpr("bucket", "length(text) AS n").groupBy("bucket").sum("n").collect()
+    assert max(r[1] for r in sizes) < 400 * 100  # a bucket of whole stretches has some 400 x 163 bytes
+
+
 def test_suffix_dedup_cuts_whole_characters(docs, rows):
     raws, gone = _removed(rows)
     out = suffix_dedup.cut_repeats(docs)
