@@ -7,7 +7,10 @@ points are discounted by its link density.  The element with the most points
 is the article; siblings that read like part of it are kept with it.  What can
 never be article text (menus, forms, scripts, ...) is cut while reading; so is
 what is named for something else (adverts, comments, ...), unless the page
-would then be empty.
+would then be empty.  A head ends at the first element or text that cannot
+stand in it, a nav or header that is never closed at an article; a form, nav or
+header that holds nearly all text of the page is read like any other element if
+there is prose in it.
 
 The work per page is a small function; Spark deals out the pages and nothing
 is shuffled.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,12 +36,14 @@ CUT = frozenset(
     "head title nav footer aside form button select option textarea label noscript template iframe object svg math canvas "
     "audio video dialog menu".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
+HEAD = frozenset("html head base link meta title style script noscript template".split())  # what leaves an open head open
+SPARED = ("form", "nav", "header")  # read if they hold nearly all text
 #: a start tag closes an open element of the same family
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("thead", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th")}
 #: a closing search stops at these
 FENCE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",),
-         "thead": ("table",), "tbody": ("table",), "tfoot": ("table",)}
+         "thead": ("table",), "tbody": ("table",), "tfoot": ("table",), "option": ("select",)}
 #: fixed values: words in a class or id that name something beside the article
 BESIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notices?|alert|popup|modal|sidebar|side|widget|menu|nav\w*|"
@@ -54,21 +60,23 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 PARAGRAPH_POINTS = 1.0
 LENGTH_PER_POINT, LENGTH_POINTS = 100, 3
 SIBLING_SHARE = 0.2
+HOLDS = 0.8  # share of the text, for a spared element
+PROSE_CHARS, PROSE_LINKS = 80, 0.25  # the least of a prose block, and its most link density
 ARTICLE_BONUS = {"article": 10.0, "main": 5.0}
 
 
 class Node:
     __slots__ = ("tag", "parent", "kids", "cut", "points", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: str):
+        self.tag, self.parent, self.cut = tag, parent, cut  # cut: the tag that cut it, "several", or empty
         self.kids: list[Node | str] = []  # elements and finished text blocks, in page order
         self.points = 0.0
         self.chars = self.links = 0
 
 
-def _beside(tag: str, attributes: str, inside_article: bool, by_name: bool) -> bool:
-    if tag in CUT or (tag == "header" and not inside_article):
+def _beside(tag: str, attributes: str, inside_article: bool, by_name: bool, spared: frozenset[str]) -> bool:
+    if (tag in CUT or (tag == "header" and not inside_article)) and tag not in spared:
         return True
     if not by_name or not attributes or tag in ("html", "body", "article", "main"):
         return False
@@ -76,9 +84,28 @@ def _beside(tag: str, attributes: str, inside_article: bool, by_name: bool) -> b
     return bool(names) and bool(BESIDE.search(names)) and CONTENT.isdisjoint(names.split())
 
 
-def parse(page: str, by_name: bool = True) -> Node:
-    """Tree of block elements; a finished text block is a string among its element's kids."""
-    root = node = Node("#root", None, False)
+class Closed:
+    """Whether the elements of one tag that are open at a place are closed behind it."""
+
+    def __init__(self, page: str, tag: str):
+        self.steps = [(m.end(), -1 if m[0][1] == "/" else 1) for m in re.finditer(rf"</?{tag}(?=[\s/>])", page, re.I)]
+        self.places = [at for at, _ in self.steps]
+        self.behind = [0]  # tags that close less those that open, from each step on
+        for _, step in reversed(self.steps):
+            self.behind.append(self.behind[-1] - step)
+        self.behind.reverse()
+
+    def all(self, at: int, depth: int) -> bool:
+        return self.behind[bisect_left(self.places, at)] >= depth
+
+
+def parse(page: str, by_name: bool = True, spared: frozenset[str] = frozenset(), lost: dict[str, int] | None = None) -> Node:
+    """Tree of block elements; a finished text block is a string among its element's kids.
+
+    spared: tags that do not cut; lost: gets the characters that each tag cut alone."""
+    root = node = Node("#root", None, "")
+    lost = {} if lost is None else lost
+    closed: dict[str, Closed] = {}
     text: list[str] = []
     linked = 0  # characters of the open block that stand in links
     in_link = False
@@ -104,10 +131,14 @@ def parse(page: str, by_name: bool = True) -> Node:
         at = m.end()
         closing, name, attributes, chunk = m.groups()
         if chunk is not None:
+            if node.tag == "head" and chunk.strip():
+                node = _above(node, "head")
             if not node.cut:
                 text.append(chunk)
                 if in_link:
                     linked += len(chunk.strip())
+            else:
+                lost[node.cut] = lost.get(node.cut, 0) + len(chunk.strip())
             continue
         if name is None:
             continue
@@ -124,6 +155,8 @@ def parse(page: str, by_name: bool = True) -> Node:
                     article -= _articles(node, open_)
                     node, in_link = open_.parent, False
             continue
+        if node.tag == "head" and tag not in HEAD:
+            node = _above(node, "head")
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -147,7 +180,15 @@ def parse(page: str, by_name: bool = True) -> Node:
             if open_.tag == family:
                 article -= _articles(node, open_)
                 node = open_.parent
-        child = Node(tag, node, node.cut or _beside(tag, attributes, article > 0, by_name))
+        if tag in ARTICLE_BONUS and node.cut:
+            for menu in ("nav", "header"):
+                depth = _depth(node, menu)
+                if depth and not (closed.get(menu) or closed.setdefault(menu, Closed(page, menu))).all(at, depth):
+                    while _depth(node, menu):
+                        node = node.parent
+            article = _articles(node, root)
+        beside = _beside(tag, attributes, article > 0, by_name, spared)
+        child = Node(tag, node, node.cut if not beside or node.cut == tag else "several" if node.cut else tag)
         node.kids.append(child)
         node = child
         article += tag in ARTICLE_BONUS
@@ -155,6 +196,21 @@ def parse(page: str, by_name: bool = True) -> Node:
     return root
 
 
+def _above(node: Node, tag: str) -> Node:
+    while node.tag == tag:
+        node = node.parent
+    return node
+
+
+def _depth(node: Node | None, tag: str) -> int:
+    """Open elements of the tag that are cut."""
+    n = 0
+    while node is not None:
+        n += node.tag == tag and bool(node.cut)
+        node = node.parent
+    return n
+
+
 def _articles(node: Node, upto: Node) -> int:
     n = 0
     while node is not upto.parent and node is not None:
@@ -217,7 +273,13 @@ def _blocks(node: Node, out: list[str]) -> None:
 
 def extract(page: str) -> str:
     """Main text of one page: its blocks, joined by an empty line; empty if there is none."""
-    top = best(parse(page))
+    lost: dict[str, int] = {}
+    root = parse(page, lost=lost)
+    top = best(root)
+    spared = frozenset(t for t in SPARED if lost.get(t, 0) >= HOLDS * (lost.get(t, 0) + root.chars) and t in lost)
+    if spared:
+        inner = best(parse(page, spared=spared)) or best(parse(page, by_name=False, spared=spared))
+        top = inner if inner is not None and _prose(inner) else top
     if top is None and (top := best(parse(page, by_name=False))) is None:
         return ""
     kept: list[Node | str] = [top]
@@ -233,6 +295,11 @@ def extract(page: str) -> str:
     return "\n\n".join(out)
 
 
+def _prose(node: Node) -> bool:
+    """Whether a block of prose stands in the element."""
+    return any(isinstance(k, str) and len(k) > PROSE_CHARS and n.links < PROSE_LINKS * max(1, n.chars) for n in _nodes(node) for k in n.kids)
+
+
 def _joins(sibling: Node | str, least: float) -> bool:
     """Whether a sibling of the article belongs to it: enough points, or a heading, or a paragraph of prose."""
     if isinstance(sibling, str):

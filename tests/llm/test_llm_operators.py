@@ -348,6 +348,26 @@ def test_html_extraction(page, text):
     assert html_text.extract(page) == text
 
 
+PROSE = "Long prose, with commas, that goes on and on, for a good while, until it is longer than any label, and then some more."
+CUT_CASES = [
+    f"<html><head><title>T</title><body><article><p>{PROSE}</article>",
+    f"<html><head><meta charset=utf-8><title>T</title><div><p>{PROSE}</div>", f"<head><title>T</title>{PROSE}",
+    f"<body><form id=aspnetForm action=x><nav><a href=a>Menu</a></nav><div><p>{PROSE}</p></div><select><option>{PROSE}</select></form><p>x</p>",
+    f"<body><nav><ul><li><a href=a>Menu</a></ul><main><p>{PROSE}</main>", f"<body><header><nav><a href=a>Menu</a></nav>Site<article><p>{PROSE}</article>",
+    f"<body><nav><ul><li><a href=a>Menu</a></ul><div><p>{PROSE}</p></div>",
+]
+
+
+@pytest.mark.parametrize("page", CUT_CASES)
+def test_html_open_head_and_whole_page_in_a_form(page):
+    assert html_text.extract(page) == PROSE
+
+
+@pytest.mark.parametrize("page", ["<form><p>Name</p></form>", f"<nav><ul><li><a href=a>{PROSE}</a></ul></nav>", f"<nav><article><p><a href=a>{PROSE}</a></article></nav>"])
+def test_html_menus_and_fields_stay_empty(page):
+    assert html_text.extract(page) == ""
+
+
 def test_html_table(spark, none):
     rows = [(1, "u", None), (1, "u", None), (None, None, "<p>x y</p>"), (2, "u", "<p>" + "word, " * 50_000 + "</p>"), (3, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
     pages = spark.createDataFrame([(*r, "a", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
