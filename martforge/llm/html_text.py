@@ -4,7 +4,10 @@ A page is read into a tree of block elements.  Every paragraph earns points
 (one, one for each comma, up to three for length) and passes them to its
 parent, half of them to its grandparent and ever less further up; an element's
 points are discounted by its link density.  The element with the most points
-is the article; siblings that read like part of it are kept with it.  What can
+is the article; siblings that read like part of it are kept with it, and so
+are those between them that are not mostly links.  Inside the article nothing
+more is left out, unless it is the whole body: there, lists and boxes of links
+without a name are taken for menus.  What can
 never be article text (menus, forms, scripts, ...) is cut while reading; so is
 what is named for something else (adverts, comments, ...), unless the page
 would then be empty.  A head ends at the first element or text that cannot
@@ -60,6 +63,7 @@ NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 PARAGRAPH_POINTS = 1.0
 LENGTH_PER_POINT, LENGTH_POINTS = 100, 3
 SIBLING_SHARE = 0.2
+LINK_BOX = 0.6  # link density beyond which an element is a box of links
 HOLDS = 0.8  # share of the text, for a spared element
 PROSE_CHARS, PROSE_LINKS = 80, 0.25  # the least of a prose block, and its most link density
 ARTICLE_BONUS = {"article": 10.0, "main": 5.0}
@@ -262,12 +266,13 @@ def _density(node: Node) -> float:
 
 
 def _blocks(node: Node, out: list[str]) -> None:
+    whole = node.tag in ("#root", "html", "body")
     stack: list[Node | str] = [node]
     while stack:
         item = stack.pop()
         if isinstance(item, str):
             out.append(item)
-        elif not item.cut and not (item is not node and item.tag in ("ul", "ol", "div", "table") and _density(item) > 0.6):
+        elif not item.cut and not (whole and item.tag in ("ul", "ol", "div", "table") and _density(item) > LINK_BOX):
             stack.extend(reversed(item.kids))
 
 
@@ -285,7 +290,12 @@ def extract(page: str) -> str:
     kept: list[Node | str] = [top]
     if top.parent is not None and top.tag not in ARTICLE_BONUS:
         least = max(10.0, top.points * (1 - _density(top)) * SIBLING_SHARE)
-        kept = [k for k in top.parent.kids if k is top or _joins(k, least)]
+        kids = top.parent.kids
+        joins = [i for i, k in enumerate(kids) if k is top or _joins(k, least)]
+        inside = range(joins[0], joins[-1])
+        joins = set(joins)
+        kept = [k for i, k in enumerate(kids) if i in joins or i in inside and (
+            isinstance(k, str) or not k.cut and k.chars and _density(k) <= LINK_BOX)]
     out: list[str] = []
     for item in kept:
         if isinstance(item, str):
@@ -308,7 +318,7 @@ def _joins(sibling: Node | str, least: float) -> bool:
         return False
     if sibling.points * (1 - _density(sibling)) >= least or sibling.tag in ("h1", "h2", "h3"):
         return True
-    return sibling.tag == "p" and _density(sibling) < 0.25
+    return sibling.tag in ("p", "blockquote", "pre") and _density(sibling) < 0.25
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -358,6 +358,23 @@ CUT_CASES = [
 ]
 
 
+WHOLE_CASES = [
+    (f"<article><p>{PROSE}</p><ul><li><a href=a>Source one</a><li><a href=b>Source two</a></ul><div><a href=c>Linked line</a></div></article>",
+     f"{PROSE}\n\nSource one\n\nSource two\n\nLinked line"),
+    (f"<div><div>{f'<p>{PROSE}' * 8}</div><blockquote>Said.</blockquote><pre>x = 1</pre><h4>Part</h4><ul><li>One<li>Two</ul>"
+     f"<table><tr><td>1<td>2</table><section><p>Short.</section><ul><li><a href=a>More</a></ul><p>{PROSE}</p></div>",
+     "\n\n".join([*[PROSE] * 8, "Said.", "x = 1", "Part", "One", "Two", "1", "2", "Short.", PROSE])),
+    (f"<div><div><p>{PROSE}<p>{PROSE}</div><blockquote>Said.</blockquote><h4>More stories</h4><ul><li><a href=a>More</a></ul></div>",
+     f"{PROSE}\n\n{PROSE}\n\nSaid."),
+    (f"<body><ul><li><a href=a>Menu</a></ul><p>{PROSE}<p>{PROSE}</body>", f"{PROSE}\n\n{PROSE}"),
+]
+
+
+@pytest.mark.parametrize("page,text", WHOLE_CASES)
+def test_html_article_keeps_its_lists_and_quotes(page, text):
+    assert html_text.extract(page) == text
+
+
 @pytest.mark.parametrize("page", CUT_CASES)
 def test_html_open_head_and_whole_page_in_a_form(page):
     assert html_text.extract(page) == PROSE
