@@ -5,12 +5,13 @@ the templates (a broadcast table of fixed size).  A hit at document position p
 and template position q votes for the diagonal p - q.  Votes are counted per
 diagonal, diagonals at most ``GAP`` apart are merged (words put in or left
 out), and the merged span is verified by the share of the template's positions
-it holds.  A phrase stands at place p exactly if diagonal p has all its votes.
+it holds and by the word pairs that tell it from other licenses (``MARKS``).  A
+phrase stands at place p exactly if diagonal p has all its votes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martforge.llm import words as W
 from martforge.llm.common import read, texts
@@ -41,6 +42,14 @@ SENTENCES = [
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
     ("all rights reserved", "all-rights-reserved"),
 ]
+#: fixed values: word pairs of which a span of the sentence must hold one, as other notices hold most of its other pairs
+MARKS = {
+    "licensed under the apache license version 2 0": ("the apache", "apache license"),
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": ("gnu general",),
+    "mozilla public license version 2 0": ("mozilla public",),
+    "this is free and unencumbered software released into the public domain": ("and unencumbered", "unencumbered software"),
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": ("software for",),
+}
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -61,6 +70,17 @@ def diagonals(docs: DataFrame) -> DataFrame:
             .agg(F.collect_set("q").alias("qs")))
 
 
+def _marked(template: Column, qs: Column) -> Column:
+    """Whether the hit positions hold a pair of the template's marks."""
+    out = F.lit(True)
+    for i, (text, _) in enumerate(PHRASES + SENTENCES):
+        if text in MARKS:
+            w = text.split(" ")
+            places = [q for q in range(len(w) - 1) if f"{w[q]} {w[q + 1]}" in MARKS[text]]
+            out &= (template != i) | F.arrays_overlap(qs, F.array(*map(F.lit, places)))
+    return out
+
+
 def spans(found: DataFrame) -> DataFrame:
     """Neighbouring diagonals merged: (doc_id, th, template, label, phrase, first, last, coverage)."""
     order = Window.partitionBy("doc_id", "th", "template").orderBy("diagonal")
@@ -69,10 +89,10 @@ def spans(found: DataFrame) -> DataFrame:
     group = F.when(F.col("phrase"), F.col("diagonal")).otherwise(F.sum(F.coalesce(far, F.lit(0))).over(order))
     merged = found.withColumn("span", group).groupBy("doc_id", "th", "template", "label", "phrase", "votes", "span").agg(
         F.min("diagonal").alias("first"), F.max("diagonal").alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("n"))
+        F.array_distinct(F.flatten(F.collect_list("qs"))).alias("qs")).withColumn("n", F.size("qs"))
     share = F.col("n") / F.col("votes")
     return (merged.withColumn("coverage", share)
-            .filter((F.col("phrase") & (F.col("n") == F.col("votes"))) | (~F.col("phrase") & (share >= COVERAGE)))
+            .filter((F.col("phrase") & (F.col("n") == F.col("votes"))) | (~F.col("phrase") & (share >= COVERAGE) & _marked(F.col("template"), F.col("qs"))))
             .select("doc_id", "th", "template", "label", "phrase", "first", "last", "coverage"))
 
 

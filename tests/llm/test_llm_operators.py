@@ -328,6 +328,25 @@ def test_license_texts_with_gaps(spark):
     assert out[3] == ("", "", 0, 0.0) and out[4] == ("all-rights-reserved", "", 0, 1.0)
 
 
+LICENSE_CASES = [
+    ("GNU General Public License version 2.0", "gpl"), ("Licensed under the GNU General Public License version 2.0", "gpl"),
+    ("Licensed under the GNU Lesser General Public License version 2.0", "lgpl"), ("Licensed under the GNU Affero General Public License version 2.0", "agpl"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License; this program is free software", "lgpl"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "lgpl"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+    ("Mozilla Public License, version 2.0", "mpl"), ("Licensed under the Apache License, Version 2.0", "apache"),
+    ("Licensed under the Apache Software License version 2.0", "apache"), ("This is free software released into the public domain.", ""),
+    ("Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is hereby granted", ""),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+]
+
+
+def test_license_labels_of_similar_notices(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(LICENSE_CASES)], "doc_id long, text string")
+    out = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs).collect()}
+    assert [out[i] for i in range(len(out))] == [label for _, label in LICENSE_CASES]
+
+
 PAGE_CASES = [
     ("", ""), ("plain words", "plain words"), ("<p>a &amp; b&nbsp;c&#233;</p>", "a & b cé"),
     ("<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href=x>Menu</a></ul></nav><header>Site</header>"
