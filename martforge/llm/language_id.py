@@ -180,9 +180,28 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs.select("doc_id", split_of().alias("held_out"), "text"), profiles).drop("text")
 
 
+def _with_letters(docs: DataFrame) -> DataFrame:
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            filled = batch.set_column(text, "text", pa.compute.fill_null(batch.column(text), ""))
+            for lo, hi, some in _batches(filled, text):
+                _, ends = grams(some)
+                yield batch.slice(lo, hi - lo).filter(pa.array(np.diff(ends) > 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents, without those of no language or too far from every profile; every column stays."""
-    found = predict(docs, learn(docs, ~split_of()), "__pred", "__score")
+    """The documents, without those of no language or too far from every profile; every column stays.
+
+    If no language could be learnt (no training document has a lang), every
+    document that holds a letter stays."""
+    profiles = learn(docs, ~split_of())
+    if not profiles.langs:
+        return _with_letters(docs)
+    found = predict(docs, profiles, "__pred", "__score")
     return found.filter((F.col("__pred") != NONE) & (F.col("__score") >= min_score)).select(*docs.columns)
 
 

@@ -341,6 +341,12 @@ LICENSE_CASES = [
 ]
 
 
+def test_language_stage_without_labels_keeps_texts_with_letters(spark):
+    rows = [(1, "Some words here", None), (2, "--- 12 34", None), (3, None, None), (4, "", None), (5, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert got(language_id.keep_known(docs)) == [rows[0], rows[4]]
+
+
 def test_license_labels_of_similar_notices(spark):
     docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(LICENSE_CASES)], "doc_id long, text string")
     out = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs).collect()}
