@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martforge.llm import bpe, decontaminate, html_text, language_id, licenses, lm_score, quality, signature_join, suffix_dedup, warc
+from martforge.llm import bpe, decontaminate, exact_dedup, html_text, language_id, licenses, lm_score, quality, signature_join, suffix_dedup, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_extract_html": html_text.op8_extract_html,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_exact_dedup": exact_dedup.op11_exact_dedup,
 }
 
 SQL = {
@@ -24,4 +25,5 @@ SQL = {
     "op7_license_scan": licenses.ORACLE,
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_exact_dedup": exact_dedup.ORACLE,
 }
