@@ -90,6 +90,25 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: a group is hot if it holds more than 1 / HOT_SHARE of all rows, so there are at most HOT_SHARE of them
+HOT_SHARE = 1000
+
+
+def join_counted(rows: DataFrame, groups: DataFrame, by: list[str], n: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` with the other columns of ``groups`` (one row a key ``by``, never null; ``n``: rows of the key).
+
+    Hot groups, at most ``HOT_SHARE`` rows, are broadcast; the others meet their
+    rows in a shuffle join, in which no key is hot."""
+    side = groups.select(*[F.col(c).alias(f"g_{c}") for c in by], *[c for c in groups.columns if c not in by])
+    on = [F.col(c) == F.col(f"g_{c}") for c in by]
+    keys = [f"g_{c}" for c in by]
+    hot_from = max(2, total // HOT_SHARE)
+    marked = rows.join(F.broadcast(side.filter(F.col(n) >= hot_from)), on, "left")
+    cold = marked.filter(F.col(n).isNull()).select(*rows.columns)
+    others = cold.join(side.filter(F.col(n) < hot_from), on, how)
+    return marked.filter(F.col(n).isNotNull()).unionByName(others).drop(*keys)
+
+
 # --- hashing ---------------------------------------------------------------
 
 _R = 0x9E3779B97F4A7C15  # odd multiplier of the polynomial span hash

@@ -9,8 +9,8 @@
    again map-side first.  A hash with two different texts is a collision; the
    rows of such hashes are grouped once more, by hash and text.
 4. Group figures go back to the rows by a join on the hash.  Groups that hold
-   more than 1/``HOT_SHARE`` of all rows number at most ``HOT_SHARE``: they are
-   broadcast, so no key of the shuffle join is hot.
+   a thousandth of all rows or more are at most a thousand: they are broadcast,
+   so no key of the shuffle join is hot.
 """
 
 from __future__ import annotations
@@ -19,11 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martforge.llm.common import SPACE, Scratch, read
+from martforge.llm.common import SPACE, Scratch, join_counted, read
 from martforge.operators import key_filter
 
-HOT_SHARE = 1000
-
 
 def md5_128(text: Column) -> Column:
     """The 128-bit content hash, 16 bytes."""
@@ -55,19 +53,6 @@ def _collisions(rows: DataFrame, groups: DataFrame, digest: Callable[[Column], C
     return None if found.isEmpty() else found
 
 
-def _with_groups(prints: DataFrame, groups: DataFrame, by: list[str], total: int) -> DataFrame:
-    """Rows with their group's (first, n), null where the row stands alone; no key of the shuffle join is hot."""
-    named = groups.select(*[F.col(c).alias(f"g_{c}") for c in by], "first", "n")
-    on = [F.col(c) == F.col(f"g_{c}") for c in by]
-    hot_from = max(2, total // HOT_SHARE)
-    hot = F.broadcast(named.filter(F.col("n") >= hot_from))  # at most HOT_SHARE rows
-    marked = prints.join(hot, on, "left")
-    in_hot = marked.filter("n IS NOT NULL")
-    rest = marked.filter("n IS NULL").drop("first", "n", *[f"g_{c}" for c in by])
-    others = rest.join(named.filter(F.col("n") < hot_from), on, "left")
-    return in_hot.unionByName(others).drop(*[f"g_{c}" for c in by])
-
-
 def _groups(prints: DataFrame, by: list[str]) -> DataFrame:
     """(by, first, n) of the groups with two rows or more."""
     return prints.groupBy(*by).agg(F.min(_first()).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -94,7 +79,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", digest: Call
     groups = scratch.save(_groups(prints, ["h"]), "groups")
     collided = _collisions(rows, groups, digest, scratch)
     if collided is None:
-        out = _with_groups(prints, groups, ["h"], total)
+        out = join_counted(prints, groups, ["h"], "n", total)
     else:
         # the bytes decide: rows of a collided hash carry their text as a second key
         clash = collided.select(F.col("h").alias("c_h"))
@@ -104,7 +89,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", digest: Call
         texts = texts.select("doc_id", "pos", "h", "sha", F.when(F.col("c_h").isNotNull(), F.col("text")).otherwise("").alias("bytes"))
         prints = scratch.save(texts, "prints-by-bytes")
         groups = scratch.save(_groups(prints, ["h", "bytes"]), "groups-by-bytes")
-        out = _with_groups(prints, groups, ["h", "bytes"], total)
+        out = join_counted(prints, groups, ["h", "bytes"], "n", total)
     alone = F.col("n").isNull()
     return out.select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from martforge.llm import bpe, decontaminate, exact_dedup, html_text, language_id, licenses, lm_score, quality, signature_join, suffix_dedup, warc
+from martforge.llm import (ball_tree, bpe, decontaminate, exact_dedup, html_text, language_id, licenses, lm_score, quality, signature_join,
+                           suffix_dedup, warc, whitening)
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -16,6 +17,8 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_ranked_search": ball_tree.op13_ranked_search,
 }
 
 SQL = {
@@ -26,4 +29,5 @@ SQL = {
     "op9_suffix_dedup": suffix_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
     "op11_exact_dedup": exact_dedup.ORACLE,
+    "op13_ranked_search": ball_tree.ORACLE,
 }
