@@ -17,25 +17,19 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from martforge.operators.checks import run_suite
-from martforge.plans.build import MARTS, Staged, build, read_mart, staged_models
+from martforge.plans.build import MARTS, Staged, build, read_marts, staged_models
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir, configure
 from martforge.sources import csv_ingest
-from martforge.sources.contracts import RAW_COLUMNS
 from martforge.sources.sinks import layer_path
 
 
 def _raw(spark: SparkSession, lake: str):
-    out = {}
-    for t, cols in RAW_COLUMNS.items():
-        schema = StructType([StructField(c, StringType(), True) for c in cols + ["_bad", "_status"]])
-        out[t] = (spark.read.schema(schema).parquet(f"{lake.rstrip('/')}/raw/{t}")
-                  .filter(F.col("_status") == "ok").select(*cols))
-    return out
+    """The published raw tables and the keys of their contents."""
+    folder = f"{lake.rstrip('/')}/raw"
+    return csv_ingest.loaded(spark, folder), csv_ingest.loaded_keys(spark, folder)
 
 
 def main(argv=None) -> int:
@@ -68,6 +62,8 @@ def main(argv=None) -> int:
         for r in rows:
             print(f"{r.table_name:40s} loaded {r.rows_loaded:>12,d}  rejected {r.rows_rejected:>10,d}")
         print(f"total loaded {sum(r.rows_loaded for r in rows):,d}")
+        for r in csv_ingest.left_out(spark, f"{args.lake.rstrip('/')}/raw").collect():  # files with other columns
+            print(f"left out {r.table_name}: {r.file} (header: {r.header})")
         return 0
     selected = [m.strip() for m in args.select.split(",")] if getattr(args, "select", None) else None
     if args.cmd == "run":
@@ -75,13 +71,14 @@ def main(argv=None) -> int:
         if unknown:
             print(f"unknown marts {sorted(unknown)}; choose from {list(MARTS)}", file=sys.stderr)
             return 2
-        # kept for the checks of this build; a new build starts afresh
+        # kept for the checks of this build and for the next build over the same tables
         staged = Staged(spark, layer_path(args.lake, args.env, "staged", "run"))
-        staged.delete()
-        res = build(spark, _raw(spark, args.lake), args.lake, env=args.env, as_of=args.as_of, run_checks=False,
-                    numeric_payment_order=args.numeric_payment_order, marts=tuple(selected or MARTS), staged=staged)
+        raw, keys = _raw(spark, args.lake)
+        res = build(spark, raw, args.lake, env=args.env, as_of=args.as_of, run_checks=False,
+                    numeric_payment_order=args.numeric_payment_order, marts=tuple(selected or MARTS), staged=staged, keys=keys)
+        staged.sweep()
         for name in res.tables:
-            print(f"built {layer_path(args.lake, args.env, 'marts', name)}")
+            print(f"built {layer_path(args.lake, args.env, 'marts', name)} (commit {res.version})")
         return 0
     checks = model_suite().checks
     if selected:
@@ -92,10 +89,10 @@ def main(argv=None) -> int:
         checks = [c for c in checks if c.model in selected]
     models = {c.model for c in checks} | {c.to_model for c in checks if c.to_model}
     staged = Staged(spark, layer_path(args.lake, args.env, "staged", "run"))  # what the build read, if it is still there
-    tables = staged_models(spark, _raw(spark, args.lake), args.as_of, args.numeric_payment_order, models - set(MARTS), staged)
-    tables.update({name: read_mart(spark, args.lake, args.env, name) for name in MARTS if name in models})
+    raw, keys = _raw(spark, args.lake)
+    tables = staged_models(spark, raw, args.as_of, args.numeric_payment_order, models - set(MARTS), staged, keys)
+    tables.update({name: df for name, df in read_marts(spark, args.lake, args.env).items() if name in models})
     summary = run_suite(tables, checks).collect()  # one row per check
-    staged.delete()
     failed = [r for r in summary if not r.passed]
     for r in summary:
         print(f"{'PASS' if r.passed else 'FAIL'} {r.check_name} ({r.failures})")

@@ -6,18 +6,21 @@
 zip centroids and the two roll-ups: that cuts the lineage (a lost executor
 re-reads a file instead of recomputing joins) and every consumer reads a
 pruned columnar copy.  Only what the selected models need is staged
-(``NEEDS``).  A ``Staged`` folder can be kept from ``build`` to the checks, so
-that both see the same rows, and is then deleted.
-The marts are written in full; ``fct_orders`` is partitioned by purchase
-month.  The check suite then runs over the stored marts and the lazy staging
+(``NEEDS``), under a key of its inputs and arguments: a ``Staged`` folder can
+be kept from one run to the next, which then rebuilds what changed.
+The marts are written in full and made current together; ``fct_orders`` is
+partitioned by purchase month.  The check suite then runs over the stored marts and the lazy staging
 views; its summary is the only thing brought to the driver (81 rows).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
+import time
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -28,13 +31,14 @@ from martforge.operators.checks import run_suite
 from martforge.plans import marts, rollups, staging
 from martforge.plans.rules import model_suite
 from martforge.session import checkpoint_dir
-from martforge.sources.sinks import as_view, delete, exists, layer_path, read_table, write_table
+from martforge.sources.sinks import as_view, delete, layer
+from martforge.sources.snapshots import Publication, TableSet
 
 MARTS = ("fct_orders", "fct_revenue_daily", "dim_customers", "dim_sellers")
 
 
 def mart_layout(name: str) -> dict:
-    """How each mart is written (``write_table`` options)."""
+    """How each mart is written (``Publication.write`` options)."""
     if name == "fct_orders":
         return {"partition_by": ["purchase_month_key"]}
     if name == "fct_revenue_daily":  # one small file, in the model's order (NULL day last)
@@ -45,9 +49,18 @@ def mart_layout(name: str) -> dict:
 @dataclass
 class BuildResult:
     tables: dict[str, DataFrame]
-    checks: DataFrame
+    checks: DataFrame | None
+    version: int  # commit of the marts layer
 
 
+# what each staged intermediate is made from: raw tables, and other intermediates
+MADE_FROM = {
+    "orders_enriched": ("orders", "order_items", "order_payments", "order_reviews"),
+    "stg_geolocation": ("geolocation",),
+    "customer_rollup": ("orders_enriched", "customers"),
+    "seller_rollup": ("orders_enriched", "order_items", "sellers"),
+}
+
 # the staged intermediates behind each model that is not a staging view
 NEEDS = {
     "stg_geolocation": ("stg_geolocation",),
@@ -61,22 +74,66 @@ NEEDS = {
 }
 
 
+STAGE_FORMAT = 1  # raise it when a staged model's rows or columns change
+
+
+def frame_key(df: DataFrame) -> str | None:
+    """A key of a raw table's contents: its files' names, sizes and times, and its plan.
+
+    The plan's hash holds within a session; another one may compute the table
+    anew, but never takes it for a different plan's.  None if there are no files
+    (rows made in memory): such an input is never taken for an earlier one."""
+    spark = df.sparkSession
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    seen = [df.schema.json(), df.semanticHash()]
+    files = df.inputFiles()
+    for name in sorted(files):
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(name))
+        status = p.getFileSystem(conf).getFileStatus(p)
+        seen.append(f"{name}\t{status.getLen()}\t{status.getModificationTime()}")
+    return _digest(seen) if files else None
+
+
+def _digest(parts: Sequence[object]) -> str:
+    return hashlib.sha256(json.dumps([str(p) for p in parts]).encode()).hexdigest()[:32]
+
+
 class Staged:
-    """Intermediates written once to a folder on shared storage.
+    """Intermediates written once to a folder on shared storage, under a key of what they are made from.
 
-    Without ``path`` a fresh folder under ``spark.checkpoint.dir`` is used.
-    An intermediate that is already there (of an earlier run) is read, not
-    computed again; ``delete`` removes the folder."""
+    Without ``path`` a fresh folder under ``spark.checkpoint.dir`` is used.  An
+    intermediate that is already there (of an earlier or a concurrent run) with
+    the same key is read, not computed again; one with another key is left
+    alone, so runs over other inputs or with other arguments share the folder
+    without reading or deleting each other's rows.  ``sweep`` deletes what was
+    not used for a while, ``delete`` the whole folder."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/martforge-stage-{uuid.uuid4().hex}"
-
-    def get(self, name: str, make) -> DataFrame:
-        path = f"{self.path}/{name}"
-        if not exists(self.spark, f"{path}/_SUCCESS"):
-            make().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        self.used: dict[str, str] = {}
+        self.made: list[str] = []
+
+    def get(self, name: str, make, key: str | None = None) -> DataFrame:
+        """The intermediate of this ``key``; None: made anew, for this run only."""
+        key = key or f"once-{uuid.uuid4().hex}"
+        self.used[name] = key
+        stored = TableSet(self.spark, f"{self.path}/{name}/{key}")
+        if stored.current() is None:
+            with stored.begin() as new:
+                new.write(make(), "")
+                new.commit()
+            self.made.append(name)
+        return stored.read("")
+
+    def sweep(self, hours: float = 24.0) -> None:
+        """Delete intermediates that this run does not use and that are older than ``hours``."""
+        files = TableSet(self.spark, self.path).files
+        now = time.time() * 1000
+        for name, is_dir, _ in files.names(self.path):
+            for key, _, changed in files.names(f"{self.path}/{name}") if is_dir else ():
+                if self.used.get(name) != key and now - changed > hours * 3600_000:
+                    files.delete(f"{self.path}/{name}/{key}")
 
     def delete(self) -> None:
         delete(self.spark, self.path)
@@ -94,14 +151,30 @@ def concurrently(*jobs):
 
 def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date | str | None = None,
                   numeric_payment_order: bool = False, wanted: Collection[str] | None = None,
-                  staged: Staged | None = None) -> dict[str, DataFrame]:
+                  staged: Staged | None = None, keys: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """The ``wanted`` models (default: all) and every staging view.
 
     The shared intermediates that the wanted models need are written once and
     read back: ``orders_enriched`` (four consumers), the zip centroids (two
     dimensions), the person and seller roll-ups (a dimension and their checks
-    each).  Staging views and marts stay lazy here."""
+    each).  Staging views and marts stay lazy here.
+
+    ``keys`` names the contents of the raw tables (``csv_ingest.loaded_keys``);
+    without it they are keyed by their files (``frame_key``).  A staged table's
+    key is that of its inputs and of the arguments it depends on."""
     staged = staged or Staged(spark)
+    known: dict[str, str | None] = dict(keys or {})
+
+    def key_of(name: str) -> str | None:
+        if name not in known:
+            parts = [key_of(n) for n in MADE_FROM[name]] if name in MADE_FROM else None
+            if parts is None:
+                known[name] = frame_key(raw[name])
+            else:
+                args = [numeric_payment_order] if name == "orders_enriched" else []
+                known[name] = None if None in parts else _digest([STAGE_FORMAT, name, *parts, *args])
+        return known[name]
+
     wanted = set(NEEDS if wanted is None else wanted)
     needed = {n for model in wanted for n in NEEDS.get(model, ())}
     s = staging.staging(raw)
@@ -116,13 +189,14 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date
     def stage(makers):
         names = [n for n in makers if n in needed]
         if names:
-            out.update(zip(names, concurrently(*[lambda n=n: staged.get(n, makers[n]) for n in names])))
+            cut = [key_of(n) for n in names]
+            out.update(zip(names, concurrently(*[lambda n=n, k=k: staged.get(n, makers[n], k) for n, k in zip(names, cut)])))
 
     stage(first)
     m9, geo = out.get("orders_enriched"), out["stg_geolocation"]
     stage({
         "customer_rollup": lambda: rollups.customer_rollup(m9, s["stg_customers"]),
-        "seller_rollup": lambda: rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"]),
+        "seller_rollup": lambda: rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"], rollups.hot_orders(m9)),
     })
     final = {
         "fct_orders": lambda: marts.fct_orders(m9, s["stg_customers"]),
@@ -137,10 +211,14 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date
 def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str = "dev",
           as_of: dt.date | str | None = None, run_checks: bool = True, register_views: bool = False,
           numeric_payment_order: bool = False, marts: tuple[str, ...] = MARTS,
-          staged: Staged | None = None) -> BuildResult:
+          staged: Staged | None = None, keys: Mapping[str, str] | None = None) -> BuildResult:
     """Write the four marts (or the selected ``marts``) under
-    ``<root>/<env>_marts`` and return them (read back from storage) with the
-    check summary over the built tables.
+    ``<root>/<env>_marts``, make them current together, and return them (read
+    back from storage) with the check summary over the built tables.
+
+    Readers see the marts of the build before until the commit, which is one
+    small file (``sources.snapshots``); a build that fails or is killed leaves
+    them.  Marts that were not selected stay as they are.
 
     ``register_views`` also exposes every model as a temp view (SINK1).  The
     staged intermediates are deleted at the end unless the caller passes a
@@ -151,19 +229,22 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
     keep = staged is not None or register_views or run_checks
     staged = staged or Staged(spark)
     wanted = NEEDS if register_views or run_checks else marts
-    tables = staged_models(spark, raw, as_of, numeric_payment_order, wanted, staged)
+    tables = staged_models(spark, raw, as_of, numeric_payment_order, wanted, staged, keys)
+    stored_in = layer(spark, root, env, "marts")
 
-    def write_mart(name: str):
+    def write_mart(new: Publication, name: str):
         def job():
             df = tables[name]
-            path = layer_path(root, env, "marts", name)
             if name == "fct_orders":
                 df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
-            write_table(df, path, **mart_layout(name))
-            return read_mart(spark, root, env, name)
+            new.write(df, name, **mart_layout(name))
         return job
 
-    stored = dict(zip(marts, concurrently(*[write_mart(n) for n in marts])))
+    with stored_in.begin() as new:
+        concurrently(*[write_mart(new, n) for n in marts])
+        done = new.commit(notes={"as_of": str(as_of), "numeric_payment_order": numeric_payment_order, "built": list(marts)})
+    stored_in.expire()
+    stored = {name: read_mart(spark, root, env, name, version=done.version) for name in marts}
     tables.update(stored)
     if register_views:
         for name, df in tables.items():
@@ -171,14 +252,22 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
     checks = run_suite(tables, model_suite().checks) if run_checks else None
     if not keep:
         staged.delete()
-    return BuildResult(stored, checks)
+    return BuildResult(stored, checks, done.version)
 
 
-def read_mart(spark: SparkSession, root: str, env: str, name: str, months: Collection[str] | None = None) -> DataFrame:
-    """A stored mart.  ``months`` ('yyyy-MM') reads only those partitions of ``fct_orders``."""
-    t = read_table(spark, layer_path(root, env, "marts", name))
+def read_mart(spark: SparkSession, root: str, env: str, name: str, months: Collection[str] | None = None,
+              version: int | None = None) -> DataFrame:
+    """A stored mart, of the newest build or of the commit ``version``.
+    ``months`` ('yyyy-MM') reads only those partitions of ``fct_orders``."""
+    t = layer(spark, root, env, "marts").read(name, version)
     if "purchase_month_key" not in t.columns:
         return t
     if months is not None:
         t = t.filter(F.col("purchase_month_key").isin(list(months)))
     return t.drop("purchase_month_key")
+
+
+def read_marts(spark: SparkSession, root: str, env: str) -> dict[str, DataFrame]:
+    """All stored marts of one and the same commit, whatever is published meanwhile."""
+    now = layer(spark, root, env, "marts").current()
+    return {name: read_mart(spark, root, env, name, version=now.version) for name in now.tables} if now else {}

@@ -44,8 +44,8 @@ def default_path(base_dir: str, table: str) -> str:
     return f"{base_dir.rstrip('/')}/{table}.csv"
 
 
-# Tables with free text that may hold quoted newlines; only these are read
-# with multiLine (which makes a file one split).
+# Tables with free text that may hold quoted newlines; their records are found
+# by ``quoted_csv``, the others' end at every newline.
 MULTILINE_TABLES = {"order_reviews"}
 
 

@@ -84,7 +84,8 @@ def test_load_raw_writes_once_and_reports(spark, tmp_dir):
     rep = {r.table_name: (r.rows_loaded, r.rows_rejected) for r in report.collect()}
     assert rep["sellers"] == (4, 2) and rep["orders"] == (0, 0)
     assert len(tables["sellers"].collect()) == 4
-    assert os.path.isdir(f"{tmp_dir}/raw/sellers/_status=rejected")
+    (load,) = os.listdir(f"{tmp_dir}/raw/sellers")
+    assert os.path.isdir(f"{tmp_dir}/raw/sellers/{load}/_status=rejected")
 
 
 def test_windows_line_endings(spark, tmp_dir):
