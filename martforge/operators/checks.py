@@ -14,8 +14,8 @@ and ``failures`` counts what the check reports:
 Every check aggregates before it shuffles: unique and accepted values group by
 value with map-side combining; relationships pre-aggregates child keys to
 (key, rows) and anti-joins them against the distinct parent keys, so a hot
-child key is one row in the join.  ``run_suite`` reads a table at most twice
-and returns one summary row per check; nothing is collected on the way.
+child key is one row in the join.  ``run_suite`` returns one summary
+row per check; nothing is collected on the way.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martforge.operators import key_filter, key_scan
+
 
 @dataclass(frozen=True)
 class Check:
@@ -98,28 +100,45 @@ SUMMARY_SCHEMA = "model string, column_name string, test string, check_name stri
 
 
 UNIQUE, CHILD, PARENT = 0, 1, 2
+#: bits of the filter of suspect keys: 2 MB whatever the data; more suspects than it holds let more keys into the exact count
+SUSPECT_BITS = 1 << 24
 
 
-def _keyed(df: DataFrame, roles: Sequence[tuple[int, int, str]]) -> DataFrame:
-    """``(check_id, role, value)``: one row per row and (check, role) pair,
+def _keyed(df: DataFrame, roles: Sequence[tuple[int, int, int, str]]) -> DataFrame:
+    """``(check_id, role, value, print)``: one row per row and (check, role) pair,
     non-NULL values only, values as text so keys of different checks share one
     column.  The check travels the shuffle as a small int, not as its name."""
-    kv = F.explode(F.array(*[F.struct(F.lit(i).alias("check_id"), F.lit(role).alias("role"), F.col(c).cast("string").alias("value"))
-                             for i, role, c in roles]))
+    kv = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("check_id"), F.lit(role).alias("role"), F.col(c).cast("string").alias("value"),
+                 key_scan.fingerprint(F.lit(domain), F.lit(role == UNIQUE), key_scan.key_hash(c)).alias("print"))
+        for i, role, domain, c in roles]))
     return df.select(kv.alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
 
 
-def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def _suspect_keys(tables: Mapping[str, DataFrame], roles: Mapping[str, Sequence[tuple[int, int, int, str]]]) -> DataFrame:
+    """A bitmap (``key_filter``) of the keys that can fail their check."""
+    kinds = {UNIQUE: "unique", CHILD: "child", PARENT: "parent"}
+    scans = []
+    for model, listed in roles.items():
+        parts = {key_scan.KeyRole(domain, c, kinds[role]): None for _, role, domain, c in listed}  # a parent of several checks goes once
+        scans.append((tables[model], list(parts)))
+    found = key_scan.suspects(scans)
+    return key_filter.build(found.select(F.xxhash64("domain", "print").alias("print")), "print", SUSPECT_BITS)
+
+
+def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], prepass: bool = True) -> DataFrame:
     """DQ5: one row per check — ``model, column_name, test, check_name,
     failures, passed`` — as a single DataFrame.
 
     * not-null and accepted-values checks of a model: one aggregation pass;
-    * unique checks and both sides of every relationship: each model is read
-      once for all its keys, and all keys meet in one shuffle on
-      ``(check, value)`` that counts a value's rows and notes whether it is a
-      parent (counted map-side first, so a hot key is one row a task).
-    So a table is read at most twice.  Checks without failures get 0 from the
-    (bounded) list of checks."""
+    * unique checks and both sides of every relationship: a first pass sends a
+      few bytes a key (``key_scan``) and finds the keys that can fail; the
+      second counts those exactly, by their text, in one shuffle on
+      ``(check, value)`` (counted map-side first, so a hot key is one row a
+      task).  Keys that the first pass clears are not shuffled as text.
+    So a table is read at most three times, twice of them for its key columns
+    only.  ``prepass=False`` sends every key to the exact count.  Checks without
+    failures get 0 from the (bounded) list of checks."""
     spark = next(iter(tables.values())).sparkSession
     index = {c.name: i for i, c in enumerate(checks)}
     by_model: dict[str, list[Check]] = {}
@@ -145,16 +164,21 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
         failures.append(wide.select(stack.alias("r"))
                         .select("r.check_id", F.col("r.failures").cast("long").alias("failures")))
 
-    roles: dict[str, list[tuple[int, int, str]]] = {}
+    roles: dict[str, list[tuple[int, int, int, str]]] = {}
+    parents: dict[tuple[str, str], int] = {}
     for c in checks:
+        i = index[c.name]
         if c.test == "unique":
-            roles.setdefault(c.model, []).append((index[c.name], UNIQUE, c.column))
+            roles.setdefault(c.model, []).append((i, UNIQUE, i, c.column))
         elif c.test == "relationships":
-            roles.setdefault(c.model, []).append((index[c.name], CHILD, c.column))
-            roles.setdefault(c.to_model, []).append((index[c.name], PARENT, c.to_field))
+            domain = parents.setdefault((c.to_model, c.to_field), len(checks) + len(parents))
+            roles.setdefault(c.model, []).append((i, CHILD, domain, c.column))
+            roles.setdefault(c.to_model, []).append((i, PARENT, domain, c.to_field))
     if roles:
-        keys = reduce(DataFrame.unionByName, [_keyed(tables[m], r) for m, r in roles.items()]).groupBy("check_id", "value").agg(
-            F.count_if(F.col("role") != PARENT).alias("n"), F.max("role").alias("role"))
+        rows = reduce(DataFrame.unionByName, [_keyed(tables[m], r) for m, r in roles.items()])
+        if prepass:
+            rows = key_filter.keep_possible(rows, "print", _suspect_keys(tables, roles), SUSPECT_BITS)
+        keys = rows.groupBy("check_id", "value").agg(F.count_if(F.col("role") != PARENT).alias("n"), F.max("role").alias("role"))
         bad = keys.filter(((F.col("role") == UNIQUE) & (F.col("n") > 1)) | (F.col("role") == CHILD))
         failures.append(bad.groupBy("check_id").agg(
             F.sum(F.when(F.col("role") == CHILD, F.col("n")).otherwise(1)).cast("long").alias("failures")))
