@@ -11,12 +11,13 @@ partition at runtime.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martforge.functions import avg_exact, avg_money, day_diff, round_half_up, safe_ratio_pct, sum_money
+from martforge.functions.numeric import EXACT
 from martforge.operators.aggregates import arg_max
 from martforge.operators.latest import latest_per_key
 
@@ -144,34 +145,72 @@ def seller_score(avg_review, on_time_rate_pct, distinct_orders):
     return round_half_up(rating + on_time_rate_pct * 0.40 + volume, 2)
 
 
-def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame) -> DataFrame:
+#: an order is hot if it holds more than 1 / HOT_ORDERS of all items, so there are fewer than HOT_ORDERS of them
+HOT_ORDERS = 1000
+
+
+def hot_orders(enriched: DataFrame) -> DataFrame | None:
+    """``order_id`` of the hot orders, fewer than ``HOT_ORDERS``; None if there is none.  Counts the stored order table."""
+    total = enriched.agg(F.sum("item_count")).first()[0] or 0
+    hot = enriched.filter(F.col("item_count") * HOT_ORDERS > total).select("order_id")
+    return None if hot.isEmpty() else hot
+
+
+#: M11's measures: name -> (over item rows, over the partial results)
+def _seller_measures() -> dict[str, tuple[Column, Callable[[str], Column]]]:
+    on_time = F.when(F.col("delivery_delay_days") <= 0, 1).otherwise(0)
+    exact = lambda c: F.sum(F.col(c).cast(EXACT))
+    total, least, most = F.sum, F.min, F.max
+    return {
+        "orders": (F.sum("new_order"), total),
+        "items": (F.sum("is_item"), total),
+        "revenue": (exact("total_item_revenue"), total),
+        "price": (exact("item_price"), total), "n_price": (F.count("item_price"), total),
+        "freight": (exact("freight_value"), total),
+        "delivered": (F.count_if(F.col("is_delivered")), total),
+        "on_time": (F.sum(on_time * F.col("is_item")), total),
+        "delay": (F.sum(F.col("delivery_delay_days").cast("long")), total), "n_delay": (F.count("delivery_delay_days"), total),
+        "score": (F.sum(F.col("review_score").cast("long")), total), "n_score": (F.count("review_score"), total),
+        "first_at": (F.min("purchased_at"), least), "last_at": (F.max("purchased_at"), most),
+    }
+
+
+def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """M11: per seller, over item rows joined to their order.  Delivery and review
     figures are item-weighted while the rate divides by distinct orders (Q3),
     so the rate can pass 100.  Sellers without sales stay, with NULL metrics.
 
-    Two distinct counts (orders, products) are planned by Spark as an Expand
-    over (seller, value): a hot seller is spread over its orders/products in the
-    shuffle rather than landing in one task."""
-    so = items.select("seller_id", "order_id", "product_id", "item_price", "freight_value", "total_item_revenue").join(
-        enriched.select("order_id", "purchased_at", "is_delivered", "delivery_delay_days", "review_score"),
-        "order_id", "inner",
-    )
-    on_time = F.when(F.col("delivery_delay_days") <= 0, 1).otherwise(0)
-    m = so.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.count(F.lit(1)).alias("total_items_sold"),
-        F.countDistinct("product_id").alias("distinct_products"),
-        sum_money("total_item_revenue").alias("total_revenue"),
-        avg_money("item_price").alias("avg_item_price"),
-        sum_money("freight_value").alias("total_freight_revenue"),
-        F.count_if(F.col("is_delivered")).alias("delivered_orders"),
-        F.sum(on_time).cast("long").alias("on_time_deliveries"),
-        avg_exact("delivery_delay_days").alias("avg_delay_days"),
-        avg_exact("review_score").alias("avg_review_score"),
-        F.count("review_score").alias("review_count"),
-        F.min("purchased_at").alias("first_sale_at"),
-        F.max("purchased_at").alias("most_recent_sale_at"),
-    )
+    The two distinct counts need no copies of the item rows.  The join leaves
+    an order's rows together, so the first row of each (order, seller) is marked
+    there and distinct orders become a sum.  Everything is then added up by
+    (seller, product), which spreads a hot seller, and once more by seller,
+    where distinct products are the rows counted.  The items of ``hot`` orders
+    (``hot_orders``, a bounded list) are not gathered by order: they meet their
+    order in a broadcast, and their (order, seller) pairs are made distinct."""
+    item_columns = ["seller_id", "order_id", "product_id", "item_price", "freight_value", "total_item_revenue"]
+    i = items.select(*item_columns)
+    e = enriched.select("order_id", "purchased_at", "is_delivered", "delivery_delay_days", "review_score")
+    cold_items = i if hot is None else i.join(F.broadcast(hot), "order_id", "left_anti")
+    pair = Window.partitionBy("order_id", "seller_id").orderBy(F.lit(0))
+    so = cold_items.join(e, "order_id", "inner").withColumns({
+        "new_order": (F.row_number().over(pair) == 1).cast("int"), "is_item": F.lit(1)})
+    if hot is not None:
+        hot_rows = i.join(F.broadcast(e.join(F.broadcast(hot), "order_id", "left_semi")), "order_id", "inner")
+        pairs = hot_rows.select("seller_id", "order_id").distinct().withColumns({"new_order": F.lit(1), "is_item": F.lit(0)})
+        so = so.unionByName(hot_rows.withColumns({"new_order": F.lit(0), "is_item": F.lit(1)}))
+        so = so.unionByName(pairs, allowMissingColumns=True)
+    measures = _seller_measures()
+    by_product = so.groupBy("seller_id", "product_id").agg(*[first.alias(name) for name, (first, _) in measures.items()])
+    m = by_product.groupBy("seller_id").agg(F.count("product_id").alias("products"), *[again(name).alias(name) for name, (_, again) in measures.items()])
+    share = lambda a, n: F.col(a).cast("double") / F.nullif(F.col(n), F.lit(0))
+    whole = lambda c: F.col(c).cast("long")
+    m = m.select(
+        "seller_id", whole("orders").alias("total_orders"), whole("items").alias("total_items_sold"), F.col("products").alias("distinct_products"),
+        F.col("revenue").cast("double").alias("total_revenue"), share("price", "n_price").alias("avg_item_price"),
+        F.col("freight").cast("double").alias("total_freight_revenue"), whole("delivered").alias("delivered_orders"),
+        whole("on_time").alias("on_time_deliveries"), share("delay", "n_delay").alias("avg_delay_days"),
+        share("score", "n_score").alias("avg_review_score"), whole("n_score").alias("review_count"),
+        F.col("first_at").alias("first_sale_at"), F.col("last_at").alias("most_recent_sale_at"))
     rate = safe_ratio_pct(F.col("on_time_deliveries"), F.col("total_orders"))
     m = m.withColumn("on_time_rate_pct", rate).withColumn(
         "seller_score", seller_score(F.col("avg_review_score"), F.col("on_time_rate_pct"), F.col("total_orders"))

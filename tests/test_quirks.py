@@ -108,3 +108,25 @@ def test_customers_are_active_as_of_today_by_default(spark):
     by_default = pick(None)
     assert by_default == pick(today) and len(set(by_default.values())) == 2
     assert isinstance(today, dt.date)
+
+
+def test_seller_rollup_has_no_expand_and_hot_orders_change_nothing(spark):
+    """M11's two distinct counts without copies of the item rows; a hot order is counted apart with the same result."""
+    from martforge.plans import rollups, staging
+    from martforge.sources.testdata import raw_tables
+    from tests.conftest import SF_SMALL
+    from tools.plan_text import plan_text
+
+    raw = raw_tables(spark, SF_SMALL)
+    s = staging.staging(raw)
+    m9 = rollups.orders_enriched(s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"], review_text=False).cache()
+    items = s["stg_order_items"].cache()
+    plain = rollups.seller_rollup(items, m9, s["stg_sellers"])
+    assert "Expand" not in plan_text(plain)
+    some = m9.filter("item_count > 0").orderBy("order_id").select("order_id").limit(20)
+    hot = spark.createDataFrame(some.collect(), some.schema)
+    split = rollups.seller_rollup(items, m9, s["stg_sellers"], hot)
+    assert "Expand" not in plan_text(split)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    assert rollups.hot_orders(m9.filter("item_count = 0")) is None
+    assert rollups.hot_orders(m9.filter("item_count > 0").limit(3)).count() == 3
