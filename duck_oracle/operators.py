@@ -136,6 +136,15 @@ WHERE rn = 1""",
 SELECT day, revenue,
   {_round(_exact('sum(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,10))) OVER w') + ' / count(revenue) OVER w', 2)} AS revenue_7_rows
 FROM {DAILY} WINDOW w AS (ORDER BY day ASC NULLS LAST ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+    "text_timestamps": "SELECT event_id, date_trunc('second', ts) AS parsed_at FROM events",
+    "rolling_7_lines": f"""
+SELECT l_shipdate, l_orderkey, l_linenumber, l_extendedprice,
+  {_round(_exact('sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,10))) OVER w') + ' / count(l_extendedprice) OVER w', 2)} AS price_7_rows
+FROM lineitem WINDOW w AS (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+    "running_total_lines": f"""
+SELECT l_shipdate, l_orderkey, l_linenumber, l_extendedprice,
+  {_exact('sum(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,10))) OVER (ORDER BY l_shipdate)')} AS price_cumulative
+FROM lineitem""",
     "month_to_date": f"""
 SELECT day, {_exact("""sum(CAST(CAST(revenue AS VARCHAR) AS DECIMAL(38,10))) OVER (PARTITION BY date_trunc('month', day)
   ORDER BY day ASC NULLS LAST)""")} AS revenue_mtd

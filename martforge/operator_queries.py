@@ -13,7 +13,7 @@ from martforge.functions import (
 )
 from martforge.operators.aggregates import arg_max, conditional_counts, mode_per_key
 from martforge.operators.latest import latest_per_key
-from martforge.operators.windows import period_to_date_sum, rolling_rows_avg, running_total
+from martforge.operators.windows import period_to_date_sum, rolling_rows_avg, running_total, with_rolling_rows_avg, with_running_total
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -280,6 +280,28 @@ def running_total_q(spark, sf_dir):
     return d.select("day", running_total("revenue", "day").alias("revenue_cumulative")).orderBy("day")
 
 
+def text_timestamps(spark, sf_dir):
+    """SC7: event times written in six documented forms, and read back."""
+    ts = F.col("ts")
+    form = lambda f: F.date_format(ts, f)
+    written = [form("yyyy-MM-dd HH:mm:ss"), F.concat(form("EEE MMM dd HH:mm:ss"), F.lit(" +0000 "), form("yyyy")), form("MM/dd/yyyy h:mm:ss a"),
+               form("M/d/yyyy H:mm:ss"), F.concat(form("EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0200")), F.concat(form("EEE, dd MMM yyyy hh:mm:ss a"), F.lit(" GMT"))]
+    e = _t(spark, sf_dir, "events").select("event_id", F.element_at(F.array(*written), (F.col("event_id") % 6 + 1).cast("int")).alias("txt"))
+    return e.select("event_id", to_timestamp("txt").alias("parsed_at"))
+
+
+def rolling_7_lines(spark, sf_dir):
+    """WN2 at line grain: 7-row rolling average of the price over all lines in ship order."""
+    li = _t(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return with_rolling_rows_avg(li, "l_extendedprice", ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"], 7, "price_7_rows", ranges=16)
+
+
+def running_total_lines(spark, sf_dir):
+    """WN4 at line grain: the price shipped up to and with each line's day."""
+    li = _t(spark, sf_dir, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return with_running_total(li, "l_extendedprice", "l_shipdate", "price_cumulative", ranges=16)
+
+
 def subcent_sums(spark, sf_dir):
     """AG5/AG6/WN2-WN4 on amounts with fractions of a cent: tax of each line, by ship day."""
     li = _t(spark, sf_dir, "lineitem")
@@ -320,6 +342,9 @@ QUERIES = {
     "segment_buckets": segment_buckets,
     "latest_per_key": latest_per_key_q,
     "rolling_7_rows": rolling_7_rows,
+    "text_timestamps": text_timestamps,
+    "rolling_7_lines": rolling_7_lines,
+    "running_total_lines": running_total_lines,
     "month_to_date": month_to_date,
     "running_total": running_total_q,
 }
