@@ -36,8 +36,10 @@ def to_timestamp(col) -> Column:
     part — no daylight-saving shift; integer text is epoch time (see
     ``EPOCH_UNIT_LIMITS``), computed on the zone-less epoch.  Of the other
     documented automatic formats these parse too: ``MM/DD/YYYY`` with or
-    without a time, ``DD-MON-YYYY`` and mail dates (``Thu, 21 Dec 2000
-    16:01:07 +0200``).  A year and month alone is no documented format: NULL."""
+    without a time (24 hours, or 12 with AM/PM), ``DD-MON-YYYY``, mail dates
+    (``Thu, 21 Dec 2000 16:01:07 +0200``, with AM/PM or fractions of a second
+    too) and ``Mon Jul 08 18:09:51 +0000 2013``.  A year and month alone is no
+    documented format: NULL."""
     c = _c(col)
     t = F.trim(c)
     n = F.when(t.rlike(r"^[+-]?[0-9]{1,30}$"), t.cast("decimal(38,0)"))
@@ -47,9 +49,14 @@ def to_timestamp(col) -> Column:
     in_range = micros.between(_MIN_MICROS, _MAX_MICROS)
     epoch = F.timestamp_add("MICROSECOND", F.when(in_range, micros).cast("long"),
                             F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    mail = F.regexp_replace(F.regexp_replace(t, r"^[A-Za-z]{3},? +", ""), r" +([+-][0-9]{4}|[A-Z]{3})$", "")
-    other = F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for text, form in (
-        (t, "M/d/yyyy H:m:s"), (t, "M/d/yyyy"), (t, "d-MMM-yyyy"), (mail, "d MMM yyyy H:m:s"))]).cast("timestamp_ntz")
+    # the year moves to the front of the time, as in a mail date
+    unix = F.regexp_replace(t, r"^[A-Za-z]{3} ([A-Za-z]{3}) +([0-9]{1,2}) ([0-9:.]+) ([+-][0-9]{4}|[A-Z]{3}) ([0-9]{4})$", "$2 $1 $5 $3")
+    mail = F.regexp_replace(F.regexp_replace(unix, r"^[A-Za-z]{3},? +", ""), r" +([+-][0-9]{4}|[A-Z]{3})$", "")
+    # fixed values: day-first and month-first forms, each with its times
+    forms = [(t, "M/d/yyyy"), (t, "d-MMM-yyyy")]
+    forms += [(t, f"M/d/yyyy {time}") for time in ("H:m:s", "H:m", "h:m:s a", "h:m a")]
+    forms += [(mail, f"d MMM yyyy {time}") for time in ("H:m:s", "H:m:s.SSSSSS", "h:m:s a", "h:m:s.SSSSSS a")]
+    other = F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for text, form in forms]).cast("timestamp_ntz")
     return (F.when(n.isNotNull(), epoch)
             .when(t.rlike(r"^[0-9]{4}-[0-9]{1,2}$"), F.lit(None).cast("timestamp_ntz"))
             .when(t.rlike(r"^[0-9]{4}-"), c.try_cast("timestamp_ntz"))

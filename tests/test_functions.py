@@ -127,6 +127,10 @@ def test_timestamp_formats_beside_the_iso_ones(spark):
     cases = {
         "01/02/2018 10:00:00": dt.datetime(2018, 1, 2, 10), "12/31/2017": dt.datetime(2017, 12, 31), "17-DEC-1980": None,
         "17-Dec-1980": dt.datetime(1980, 12, 17), "Thu, 21 Dec 2000 16:01:07 +0200": dt.datetime(2000, 12, 21, 16, 1, 7),
+        "Mon Jul 08 18:09:51 +0000 2013": dt.datetime(2013, 7, 8, 18, 9, 51), "04/28/2013 8:57 PM": dt.datetime(2013, 4, 28, 20, 57),
+        "4/28/2013 12:00:05 AM": dt.datetime(2013, 4, 28, 0, 0, 5), "2/18/2008 02:36": dt.datetime(2008, 2, 18, 2, 36),
+        "Thu, 21 Dec 2000 04:01:07 PM +0200": dt.datetime(2000, 12, 21, 16, 1, 7), "Mon Jul 08 18:09:51 2013": None,
+        "Thu, 21 Dec 2000 16:01:07.250000 +0200": dt.datetime(2000, 12, 21, 16, 1, 7, 250000), "04/28/2013 25:57": None,
         "2018-01": None, "13/40/2018": None, "hello": None, "": None, "2018-01-02T03:04:05Z": dt.datetime(2018, 1, 2, 3, 4, 5),
     }
     df = spark.createDataFrame([(k,) for k in cases], "x string").select("x", to_timestamp("x").alias("t"))
