@@ -63,13 +63,24 @@ def test_search_equals_brute_force(spark, corpus):
     assert got(ball_tree.search(*_frames(spark, corpus))) == brute(*corpus)
 
 
-def test_small_blocks_chunks_and_long_texts(spark, corpus, monkeypatch):
+def test_small_blocks(spark, corpus, monkeypatch):
     want = brute(*corpus, top=3)
-    for name, value in (("BLOCK_TERMS", 60), ("CHUNK_DOCS", 40), ("LEAF", 4), ("LONG_TEXT", 50)):
-        monkeypatch.setattr(ball_tree, name, value)
+    monkeypatch.setattr(ball_tree, "BLOCK_TERMS", 60)
     assert got(ball_tree.search(*_frames(spark, corpus), top=3)) == want
 
 
+def test_long_texts_are_counted_alike(monkeypatch):
+    raw = "The the É é\x00é 1a_b ".encode() * 50
+    want = ball_tree._count(raw)
+    monkeypatch.setattr(ball_tree, "LONG_TEXT", 10)
+    assert ball_tree._count(raw) == want and want[b"the"] == 100 and want["é".encode()] == 100 and want["É".encode()] == 50
+
+
+def test_chunks_follow_the_vocabulary():
+    assert ball_tree.chunk_docs(100) == ball_tree.CHUNK_DOCS
+    assert ball_tree.chunk_docs(10**9) == ball_tree.LEAF
+
+
 def test_rows_of_the_edge_table(docs, rows, benchmark, none):
     items = [tuple(r) for r in benchmark.collect()]
     assert got(ball_tree.search(docs, benchmark)) == brute([(r[0], r[1]) for r in rows], items)
