@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.operators import key_filter, key_scan
+from martforge.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -115,15 +116,20 @@ def _keyed(df: DataFrame, roles: Sequence[tuple[int, int, int, str]]) -> DataFra
     return df.select(kv.alias("kv")).select("kv.*").filter(F.col("value").isNotNull())
 
 
-def _suspect_keys(tables: Mapping[str, DataFrame], roles: Mapping[str, Sequence[tuple[int, int, int, str]]]) -> DataFrame:
-    """A bitmap (``key_filter``) of the keys that can fail their check."""
+def _suspect_keys(tables: Mapping[str, DataFrame], roles: Mapping[str, Sequence[tuple[int, int, int, str]]]) -> tuple[set[int], DataFrame]:
+    """The domains with keys that can fail their check, and a bitmap (``key_filter``) of those keys.
+
+    The suspects are written once (``checkpoint``), so the scan runs once; one
+    number a domain comes to the driver."""
     kinds = {UNIQUE: "unique", CHILD: "child", PARENT: "parent"}
     scans = []
     for model, listed in roles.items():
         parts = {key_scan.KeyRole(domain, c, kinds[role]): None for _, role, domain, c in listed}  # a parent of several checks goes once
         scans.append((tables[model], list(parts)))
-    found = key_scan.suspects(scans)
-    return key_filter.build(found.select(F.xxhash64("domain", "print").alias("print")), "print", SUSPECT_BITS)
+    checkpoint_dir(scans[0][0].sparkSession)
+    found = key_scan.suspects(scans).checkpoint()
+    domains = {r["domain"] for r in found.select("domain").distinct().collect()}
+    return domains, key_filter.build(found.select(F.xxhash64("domain", "print").alias("print")), "print", SUSPECT_BITS)
 
 
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], prepass: bool = True) -> DataFrame:
@@ -132,10 +138,11 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], prepass:
 
     * not-null and accepted-values checks of a model: one aggregation pass;
     * unique checks and both sides of every relationship: a first pass sends a
-      few bytes a key (``key_scan``) and finds the keys that can fail; the
-      second counts those exactly, by their text, in one shuffle on
-      ``(check, value)`` (counted map-side first, so a hot key is one row a
-      task).  Keys that the first pass clears are not shuffled as text.
+      few bytes a key (``key_scan``) and finds the keys that can fail; it runs
+      at once.  The second counts those exactly, by their text, in one shuffle
+      on ``(check, value)`` (counted map-side first, so a hot key is one row a
+      task).  Keys that the first pass clears are not shuffled as text, and
+      tables without suspects are not read again.
     So a table is read at most three times, twice of them for its key columns
     only.  ``prepass=False`` sends every key to the exact count.  Checks without
     failures get 0 from the (bounded) list of checks."""
@@ -174,10 +181,14 @@ def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check], prepass:
             domain = parents.setdefault((c.to_model, c.to_field), len(checks) + len(parents))
             roles.setdefault(c.model, []).append((i, CHILD, domain, c.column))
             roles.setdefault(c.to_model, []).append((i, PARENT, domain, c.to_field))
+    suspect = None
+    if roles and prepass:
+        domains, suspect = _suspect_keys(tables, roles)
+        roles = {m: left for m, r in roles.items() if (left := [x for x in r if x[2] in domains])}
     if roles:
         rows = reduce(DataFrame.unionByName, [_keyed(tables[m], r) for m, r in roles.items()])
-        if prepass:
-            rows = key_filter.keep_possible(rows, "print", _suspect_keys(tables, roles), SUSPECT_BITS)
+        if suspect is not None:
+            rows = key_filter.keep_possible(rows, "print", suspect, SUSPECT_BITS)
         keys = rows.groupBy("check_id", "value").agg(F.count_if(F.col("role") != PARENT).alias("n"), F.max("role").alias("role"))
         bad = keys.filter(((F.col("role") == UNIQUE) & (F.col("n") > 1)) | (F.col("role") == CHILD))
         failures.append(bad.groupBy("check_id").agg(

@@ -11,8 +11,8 @@ shuffle.  Here a fingerprint of a few bytes travels instead of the key's text:
   belongs to an orphan.  What is left over, the *suspects*, is returned.
 
 Equal keys have equal fingerprints, so no repeated key and no orphan is missed
-but one: an orphan whose 96-bit fingerprint is some parent's (one in 10^12 for
-10^8 orphans and 10^10 parents).  Unequal keys may share a fingerprint of 40
+but one: an orphan whose 72-bit fingerprint is some parent's (a chance of one in
+500,000 for 10^6 orphans and 10^10 parents).  Unequal keys may share a fingerprint of 40
 bits; they become suspects and are cleared by an exact count.  A task holds at
 most ``HELD`` keys of a column, and a key that fills a table is one entry a task.
 """
@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: bits of a fingerprint: of a key that must be unique, of a key that must have a parent (without its 32-bit tag)
-UNIQUE_BITS, LINK_BITS = 40, 64
+#: bits of a fingerprint: of a key that must be unique, of a key that must have a parent (without its 16-bit tag)
+UNIQUE_BITS, LINK_BITS = 40, 56
 HELD = 2_000_000
 SENT = "domain int, role int, bucket int, first long, width int, steps binary, tags binary, twice binary"
 
@@ -53,7 +53,7 @@ def key_hash(column: str | Column) -> Column:
 
 def _tag(column: str) -> Column:
     c = F.col(column).cast("string")
-    return F.when(c.isNotNull(), F.hash(c, F.lit(1)))
+    return F.when(c.isNotNull(), F.hash(c, F.lit(1)).cast("long").bitwiseAND(F.lit(0xFFFF)).cast("int"))
 
 
 def _pack(values: np.ndarray) -> tuple[int, int, bytes]:
@@ -83,14 +83,14 @@ def _send(roles: Sequence[KeyRole], buckets: int, limit: int = HELD) -> Callable
     def rows(i: int, hashes: list[np.ndarray], tags: list[np.ndarray]) -> pa.RecordBatch:
         role = roles[i]
         bits = UNIQUE_BITS if role.kind == "unique" else LINK_BITS
-        all_ = np.concatenate(hashes).view(np.uint64)
+        all_ = np.concatenate(hashes).view(np.uint64) >> np.uint64(64 - bits)
         if role.kind == "unique":
-            values, times = np.unique(all_ >> np.uint64(64 - bits), return_counts=True)
+            values, times = np.unique(all_, return_counts=True)
             tag = None
         else:
             # copies of a key share both hash and tag; different keys of one hash keep a row each
-            pair = np.empty(len(all_), [("h", np.uint64), ("t", np.uint32)])
-            pair["h"], pair["t"] = all_, np.concatenate(tags).view(np.uint32)
+            pair = np.empty(len(all_), [("h", np.uint64), ("t", np.uint16)])
+            pair["h"], pair["t"] = all_, np.concatenate(tags)
             pair = pair[np.lexsort((pair["t"], pair["h"]))]
             pair = pair[np.append(True, pair[1:] != pair[:-1])] if len(pair) else pair
             values, tag, times = pair["h"].copy(), pair["t"].copy(), None
@@ -136,7 +136,7 @@ def _suspects(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         for r in batch.to_pylist():
             seen[r["role"]].append(_unpack(r["first"], r["width"], r["steps"]))
             if r["role"]:
-                tags[r["role"]].append(np.frombuffer(r["tags"], np.uint32))
+                tags[r["role"]].append(np.frombuffer(r["tags"], np.uint16))
             again.append(np.frombuffer(r["twice"], np.uint64))
     out = [np.concatenate(again)] if again else []
     if seen[0]:
@@ -177,4 +177,5 @@ def suspects(models: Sequence[tuple[DataFrame, Sequence[KeyRole]]]) -> DataFrame
 
 def fingerprint(domain: Column, kind_is_unique: Column, hashed: Column) -> Column:
     """The ``print`` of a key as in ``suspects``, mixed with its domain, for one filter over all domains."""
-    return F.xxhash64(domain, F.when(kind_is_unique, F.shiftrightunsigned(hashed, 64 - UNIQUE_BITS)).otherwise(hashed))
+    return F.xxhash64(domain, F.when(kind_is_unique, F.shiftrightunsigned(hashed, 64 - UNIQUE_BITS))
+                      .otherwise(F.shiftrightunsigned(hashed, 64 - LINK_BITS)))

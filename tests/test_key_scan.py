@@ -29,8 +29,9 @@ def test_colliding_hashes_need_equal_tags():
     """Children of a parent's hash but another tag are suspects; equal pairs are cleared."""
     send = key_scan._send([key_scan.KeyRole(9, "c", "child")], 1)
     batch = lambda h, t: pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(t, pa.int32())], names=["h0", "t0"])
-    child = list(send(iter([batch([5, 5, 7, None, -3], [1, 2, 1, None, 4])])))
-    parent = list(key_scan._send([key_scan.KeyRole(9, "p", "parent")], 1)(iter([batch([5, 7, 7, -3], [1, 3, 2, 4]), batch([7, 5], [1, 1])])))
+    up = lambda values: [v and v << 8 for v in values]  # noqa: E731  a fingerprint is the hash's high bits
+    child = list(send(iter([batch(up([5, 5, 7, None, -3]), [1, 2, 1, None, 4])])))
+    parent = list(key_scan._send([key_scan.KeyRole(9, "p", "parent")], 1)(iter([batch(up([5, 7, 7, -3]), [1, 3, 2, 4]), batch(up([7, 5]), [1, 1])])))
     (out,) = key_scan._suspects((pa.scalar(9), pa.scalar(0)), iter(child + parent))
     assert out.column("print").to_pylist() == [5]
 
@@ -71,7 +72,7 @@ def test_only_suspects_are_left(spark):
     keys = _rows(spark, [(f"k{n}", f"k{n % 900}") for n in range(20_000)] + [("k3", "x"), ("k4", None)], "a string, b string")
     roles = [key_scan.KeyRole(0, "a", "unique"), key_scan.KeyRole(1, "b", "child"), key_scan.KeyRole(1, "a", "parent")]
     found = key_scan.suspects([(keys, roles)]).collect()
-    marks = {r[0]: r[1:] for r in spark.createDataFrame([("k3",), ("k4",), ("x",)], "v string").select("v", F.shiftrightunsigned(F.xxhash64("v"), 24), F.xxhash64("v")).collect()}
+    marks = {r[0]: r[1:] for r in spark.createDataFrame([("k3",), ("k4",), ("x",)], "v string").select("v", F.shiftrightunsigned(F.xxhash64("v"), 24), F.shiftrightunsigned(F.xxhash64("v"), 8)).collect()}
     assert {(r.domain, r["print"]) for r in found} == {(0, marks["k3"][0]), (0, marks["k4"][0]), (1, marks["x"][1])}
 
 
