@@ -80,6 +80,13 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
+def lean_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of at most ``rows`` rows for what the session runs next: a worker and its JVM hold some MB of text each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """Marked for a broadcast if its counted rows (of some 50 bytes) allow it; the frame must be cheap to count."""
     return F.broadcast(df) if df.count() <= rows else df

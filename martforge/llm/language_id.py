@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from martforge.llm.common import pieces, read, text_buffers, with_fields
+from martforge.llm.common import lean_batches, pieces, read, text_buffers, with_fields
 
 PROFILE = 300
 ORDERS = 3
@@ -198,6 +198,7 @@ def keep_known(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
 
     If no language could be learnt (no training document has a lang), every
     document that holds a letter stays."""
+    lean_batches(docs.sparkSession)
     profiles = learn(docs, ~split_of())
     if not profiles.langs:
         return _with_letters(docs)

@@ -237,8 +237,7 @@ def _emit_tokens(n_buckets: int):
 
 def _postings(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, n_buckets = sent.value
-        bloom = Filter(segments, n_buckets)
+        bloom, n_buckets = sent.value
         for batch in batches:
             size = np.array([len(p) // 8 for p in batch["pre"].to_pylist()], np.int64)
             tokens = np.frombuffer(b"".join(batch["pre"].to_pylist()), np.uint64)
@@ -250,22 +249,33 @@ def _postings(sent):
 
 
 def _wanted_sets(sent):
-    """(fp, tokens) of the texts whose set is wanted, once a batch."""
+    """(fp, tokens) of the texts whose set is wanted, once a task, in pieces of ``PIECE_BYTES``: what a task holds of them is bounded by bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, n_buckets = sent.value
-        bloom = Filter(segments, n_buckets)
+        bloom, n_buckets = sent.value
+        gone: set[bytes] = set()  # marks of this task's split
         for batch in batches:
             found: dict[bytes, bytes] = {}
+            held = 0
             for _, tokens in _sets(batch):
                 mark = print_of(tokens)
-                if mark not in found:
+                if mark not in gone:
+                    gone.add(mark)
                     key = np.frombuffer(mark[:8], np.uint64)
                     if bloom.level(key, bucket_of(key, n_buckets), 1)[0]:
                         found[mark] = tokens.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], names=["fp", "tokens"])
+                        held += len(found[mark])
+                if held > PIECE_BYTES:
+                    yield _set_batch(found)
+                    found, held = {}, 0
+            if found:
+                yield _set_batch(found)
     return run
 
 
+def _set_batch(found: dict[bytes, bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], names=["fp", "tokens"])
+
+
 def _print_keys(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,7 +333,7 @@ def _verify(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, scratch
 
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = spread.select("fp", bucket(F.least("block", "other"), F.greatest("block", "other"))).distinct()
-    sent = spark.sparkContext.broadcast((wanted, n_buckets))
+    sent = spark.sparkContext.broadcast((Filter(wanted, n_buckets), n_buckets))
     sets = rows.select("text").mapInArrow(_wanted_sets(sent), "fp binary, tokens binary").join(C.small(scratch.save(dealt, "dealt"), BROADCAST_ROWS), "fp")
     end = lambda e, block: placed.select(F.col("fp").alias(e), F.col("block").alias(block), *(["component"] if e == "u" else []))
     aimed = pairs.join(end("u", "bu"), "u").join(end("v", "bv"), "v").select("u", "v", bucket(F.least("bu", "bv"), F.greatest("bu", "bv")))
@@ -392,6 +402,7 @@ def _cells(postings: DataFrame, classes: DataFrame, joined: DataFrame, n_buckets
 def classes_of(docs: DataFrame) -> DataFrame:
     """Per document row: (doc_id, th, n, component); component: a fingerprint that linked rows share, th: xxhash64 of the text."""
     spark = docs.sparkSession
+    C.lean_batches(spark)
     scratch = C.Scratch(spark, "jaccard")
     n_buckets = C.buckets(spark)
     rows = C.texts(docs).withColumn("th", F.xxhash64("text"))
@@ -412,7 +423,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
         classes = scratch.save(classes, "classes")
     repeated = repeated_filter(classes.select("pre").mapInArrow(_emit_tokens(n_buckets), KEYED), scratch, n_buckets, FILTER_BYTES)
     postings = scratch.save(classes.select("fp", "n", "pre").mapInArrow(
-        _postings(spark.sparkContext.broadcast((repeated, n_buckets))), "token long, fp binary, n long"), "postings")
+        _postings(spark.sparkContext.broadcast((Filter(repeated, n_buckets), n_buckets))), "token long, fp binary, n long"), "postings")
     links = _verify(scratch.save(_fits(_chains(postings), classes), "chains"), None, rows, scratch, n_buckets)
     joined = scratch.save(components(links, scratch), "joined")
     cells = _cells(postings, classes, joined, n_buckets)
