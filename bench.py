@@ -76,7 +76,7 @@ def main() -> None:
     from martforge.sources.csv_ingest import load_raw
     concurrently(*[lambda n=n, df=df: write_csv(df.repartition(cpus), f"{scratch}/csv/{n}.csv")
                    for n, df in raw_tables(spark, sf_dir).items()])
-    timed("load_csv", lambda: load_raw(spark, f"{scratch}/csv", f"{scratch}/loaded")[1].collect())
+    timed("load_csv", lambda: load_raw(spark, f"{scratch}/csv", f"{scratch}/loaded", refresh=True)[1].collect())
     raw = {name: spark.read.parquet(f"{scratch}/raw/{name}") for name in raw_tables(spark, sf_dir)}
 
     m = models(raw, as_of=registry.AS_OF)
