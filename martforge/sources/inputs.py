@@ -31,19 +31,21 @@ class InputFile:
 
 
 def list_files(spark: SparkSession, path: str) -> list[InputFile]:
-    """The data files of a path (a file, a folder or a glob), in name order; hidden ones (``_``, ``.``) are none."""
+    """The data files of a path (a file, a folder with its subfolders, or a glob), in name order; hidden ones (``_``, ``.``) are none."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     found = []
     for top in fs.globStatus(p) or []:
+        base = top.getPath().toString()
         if top.isDirectory():
-            entries = fs.listFiles(top.getPath(), False)
+            entries = fs.listFiles(top.getPath(), True)
             while entries.hasNext():
-                found.append(entries.next())
+                status = entries.next()
+                found.append((status, status.getPath().toString()[len(base):].split("/")))
         else:
-            found.append(top)
-    files = [InputFile(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found
-             if not s.getPath().getName().startswith(("_", "."))]
+            found.append((top, [top.getPath().getName()]))
+    files = [InputFile(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s, below in found
+             if not any(part.startswith(("_", ".")) for part in below)]
     return sorted(files, key=lambda f: f.path)
 
 

@@ -138,7 +138,8 @@ def test_part_files_with_their_own_headers(spark, tmp_dir):
     parts = {"sellers.csv/part-1.csv": ",".join(cols) + "\ns1,01037,a,SP\n",
              "sellers.csv/part-2.csv": ",".join(reversed(cols)) + "\nRJ,b,02000,s2\nRJ,b\n",
              "sellers.csv/part-3.csv": "seller_id,other\ns3,x\n", "sellers.csv/part-4.csv": "",
-             "sellers.csv/_SUCCESS": "",
+             "sellers.csv/_SUCCESS": "", "sellers.csv/_temporary/part-9.csv": "x\n",
+             "sellers.csv/more/part-5.csv": ",".join(cols) + "\ns5,05000,e,MG\n",
              "order_reviews.csv/part-1.csv": ",".join(RAW_COLUMNS["order_reviews"]) + '\nr1,o1,5,t,"a\nb",2018-01-01,\n',
              "order_reviews.csv/part-2.csv": ",".join(reversed(RAW_COLUMNS["order_reviews"])) + '\n,2018-01-01,"c\nd",t,5,o2,r2\n',
              "order_reviews.csv/part-3.csv": "review\nr3\n"}
@@ -146,10 +147,11 @@ def test_part_files_with_their_own_headers(spark, tmp_dir):
         os.makedirs(os.path.dirname(f"{base}/{name}"), exist_ok=True)
         open(f"{base}/{name}", "w").write(text)
     tables, report = ci.load_raw(spark, base, f"{tmp_dir}/raw")
-    assert sorted(tuple(r) for r in tables["sellers"].collect()) == [("s1", "01037", "a", "SP"), ("s2", "02000", "b", "RJ")]
+    assert sorted(tuple(r) for r in tables["sellers"].collect()) == [
+        ("s1", "01037", "a", "SP"), ("s2", "02000", "b", "RJ"), ("s5", "05000", "e", "MG")]
     assert sorted((r.review_id, r.review_comment_message) for r in tables["order_reviews"].collect()) == [("r1", "a\nb"), ("r2", "c\nd")]
     rep = {r.table_name: (r.rows_loaded, r.rows_rejected) for r in report.collect()}
-    assert rep["sellers"] == (2, 1) and rep["order_reviews"] == (2, 0)
+    assert rep["sellers"] == (3, 1) and rep["order_reviews"] == (2, 0)
     out = [(r.table_name, os.path.basename(r.file), r.header) for r in ci.left_out(spark, f"{tmp_dir}/raw").collect()]
     assert out == [("order_reviews", "part-3.csv", "review"), ("sellers", "part-3.csv", "seller_id,other")]
     with pytest.raises(ci.ContractError):
