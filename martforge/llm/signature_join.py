@@ -287,9 +287,19 @@ def _print_keys(n_buckets: int):
     return run
 
 
+def _views(sets: pa.Table) -> dict[bytes, np.ndarray]:
+    """Each set by its mark, as a view of the table's own buffers: the sets are not copied."""
+    found: dict[bytes, np.ndarray] = {}
+    for chunk in sets.to_batches():
+        offsets, data = C.text_buffers(chunk.column("tokens"))
+        for i, mark in enumerate(chunk.column("fp").to_pylist()):
+            found[mark] = data[offsets[i] : offsets[i + 1]].view(np.uint64)
+    return found
+
+
 def _linked(key: tuple, sets: pa.Table, pairs: pa.Table) -> pa.Table:
     """Links of one bucket's pairs.  A pair that earlier links connect already is not looked at."""
-    tokens = dict(zip(sets["fp"].to_pylist(), sets["tokens"].to_pylist()))
+    tokens = _views(sets)
     root: dict[bytes, bytes] = {}
 
     def find(x: bytes) -> bytes:
@@ -302,7 +312,7 @@ def _linked(key: tuple, sets: pa.Table, pairs: pa.Table) -> pa.Table:
     for u, v, cu, cv in sorted(zip(*(pairs[c].to_pylist() for c in ("u", "v", "cu", "cv")))):
         if find(cu) == find(cv):
             continue
-        x, y = np.frombuffer(tokens[u], np.uint64), np.frombuffer(tokens[v], np.uint64)
+        x, y = tokens[u], tokens[v]
         both = len(np.intersect1d(x, y, assume_unique=True))
         if 100 * both >= PERCENT * (len(x) + len(y) - both):
             root[find(cu)] = find(cv)
