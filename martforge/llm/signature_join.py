@@ -8,15 +8,17 @@ Documents with equal sets are one class from the start.  Two classes link when
    of each, in any order that is the same for all.  Tokens that many documents
    hold come last in it, so a passage shared by a third of all documents makes
    no large group unless the documents hold little else.  Tokens of a single
-   class are dropped.
+   class are dropped, and of tokens with the same classes one stays: a passage
+   that two texts share is one group, not one a token.
 2. Chains: within a token's group, neighbours by size are tried first, one
    best partner a document, and verified on the whole sets.  Copies of one
    text are thus connected in linear work.
 3. Signature trees: in every group that still holds several components, a tree
    of nodes with OR-combined token bitmaps, size ranges and the component (if
    it is one) is built.  A dual traversal from (root, root) drops a pair of
-   nodes whose sizes cannot match, whose bitmaps allow too small an overlap,
-   or whose members are connected already.  What is left is verified.
+   nodes whose sizes cannot match, whose bitmaps allow too small an overlap
+   (of the sets, or of the prefix tokens: ``prefix_needed``), or whose members
+   are connected already.  What is left is verified.
 4. Components of the verified links.
 
 Groups beyond ``BLOCK`` members are dealt out as pairs of blocks, so no task
@@ -111,6 +113,19 @@ def overlap_needed(n, m):
     return -(-PERCENT * (n + m) // (100 + PERCENT))
 
 
+def prefix_needed(n, m, most):
+    """Fewest tokens that linked sets of sizes n and m or larger, but at most ``most``, share inside both prefixes.
+
+    Of i shared tokens after which k - i more follow, the i-th stands among the
+    first n - (k - i) of a set, so k - ceil(0.8 most) + 1 of them are in both."""
+    return overlap_needed(n, m) - (PERCENT * most + 99) // 100 + 1
+
+
+def bits_shared(count, bits, other):
+    """Most tokens that ``count`` ones with the bitmap ``bits`` can share with those of ``other``: a bit outside is a token of one side only."""
+    return count - np.bitwise_count(bits & ~other).sum(axis=1).astype(np.int64)
+
+
 # --- signature tree ----------------------------------------------------------
 
 class Forest:
@@ -119,9 +134,11 @@ class Forest:
     Members are sorted by group and size; FANOUT neighbours of a group share a
     node, level by level, until every group has one root."""
 
-    def __init__(self, group: np.ndarray, size: np.ndarray, bits: np.ndarray, component: np.ndarray):
-        ones = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    def __init__(self, group: np.ndarray, size: np.ndarray, bits: np.ndarray, component: np.ndarray, shared: np.ndarray, marks: np.ndarray):
+        """``bits``: bitmap of the set; ``shared`` and ``marks``: number and bitmap of its prefix tokens that others hold."""
+        ones, marked = (np.bitwise_count(b).sum(axis=1).astype(np.int64) for b in (bits, marks))
         level = {"group": group, "bits": bits, "low": size, "high": size, "ones": ones, "component": component,
+                 "shared": shared, "marks": marks, "marked": marked,
                  "first": np.arange(len(group)), "last": np.arange(1, len(group) + 1)}
         self.levels = [level]
         while len(level["group"]) > len(np.unique(level["group"])):
@@ -134,6 +151,8 @@ class Forest:
             level = {
                 "group": g[cut], "bits": np.bitwise_or.reduceat(level["bits"], cut, axis=0), "low": np.minimum.reduceat(level["low"], cut),
                 "high": np.maximum.reduceat(level["high"], cut), "ones": np.minimum.reduceat(level["ones"], cut),
+                "shared": np.maximum.reduceat(level["shared"], cut), "marks": np.bitwise_or.reduceat(level["marks"], cut, axis=0),
+                "marked": np.minimum.reduceat(level["marked"], cut),
                 "component": np.where((low == np.maximum.reduceat(level["component"], cut)) & (low >= 0), low, -1),
                 "first": cut, "last": ends}
             self.levels.append(level)
@@ -146,12 +165,17 @@ class Forest:
         at = np.flatnonzero(fine)
         for part in np.array_split(at, max(1, len(at) // 100_000)):
             i, j = a[part], b[part]
-            common = np.bitwise_count(x["bits"][i] & x["bits"][j]).sum(axis=1).astype(np.int64)
-            # every bit of a member outside the other node's bitmap is a token that the two cannot share
-            most = np.minimum(x["high"][i] - np.maximum(0, x["ones"][i] - common), x["high"][j] - np.maximum(0, x["ones"][j] - common))
-            fine[part] = most >= overlap_needed(x["low"][i], x["low"][j])
+            least = prefix_needed(x["low"][i], x["low"][j], np.maximum(x["high"][i], x["high"][j]))
+            fine[part] = (self._most("bits", "ones", "high", depth, i, j) >= overlap_needed(x["low"][i], x["low"][j])) & (
+                self._most("marks", "marked", "shared", depth, i, j) >= least)
         return fine
 
+    def _most(self, bits: str, ones: str, count: str, depth: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Most tokens that members of the nodes can share: every bit of a member outside the other node's bitmap is a token that they cannot."""
+        x = self.levels[depth]
+        common = np.bitwise_count(x[bits][i] & x[bits][j]).sum(axis=1).astype(np.int64)
+        return np.minimum(x[count][i] - np.maximum(0, x[ones][i] - common), x[count][j] - np.maximum(0, x[ones][j] - common))
+
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of members that survive the dual traversal."""
         roots = np.arange(len(self.levels[-1]["group"]))
@@ -180,16 +204,16 @@ class Forest:
 
 
 def _tree_pairs(table: pa.Table) -> pa.Table:
-    """Candidate pairs of one bucket of (cell, side, fp, n, sig, component)."""
+    """Candidate pairs of one bucket of (cell, side, fp, n, sig, shared, mark, component)."""
     cell = np.unique(np.array(table["cell"].to_pylist(), object).astype(str), return_inverse=True)[1]
     prints = np.array(table["fp"].to_pylist(), object)
     size = table["n"].to_numpy().astype(np.int64)
     component = np.unique(np.array([bytes(c) for c in table["component"].to_pylist()], object), return_inverse=True)[1]
     order = np.lexsort((component, size, cell))
-    bits = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint64).reshape(-1, BITMAP // 8)[order]
+    bits, marks = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint64).reshape(-1, BITMAP // 8)[order] for c in ("sig", "mark"))
     side = table["side"].to_numpy()[order]
     prints = prints[order]
-    forest = Forest(cell[order], size[order], bits, component[order])
+    forest = Forest(cell[order], size[order], bits, component[order], table["shared"].to_numpy().astype(np.int64)[order], marks)
     found = set()
     for a, b in forest.pairs():
         other = (side[a] == 0) | (side[b] == 0) | (side[a] != side[b])  # two blocks: only pairs across
@@ -235,16 +259,35 @@ def _emit_tokens(n_buckets: int):
     return run
 
 
+def _held_by_others(batch: pa.RecordBatch, sent) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix tokens that several classes hold, and the row of each."""
+    bloom, n_buckets = sent.value
+    size = np.array([len(p) // 8 for p in batch["pre"].to_pylist()], np.int64)
+    tokens = np.frombuffer(b"".join(batch["pre"].to_pylist()), np.uint64)
+    fine = bloom.level(tokens, bucket_of(tokens, n_buckets), 1) > 0
+    return tokens[fine], np.repeat(np.arange(len(size)), size)[fine]
+
+
 def _postings(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, n_buckets = sent.value
         for batch in batches:
-            size = np.array([len(p) // 8 for p in batch["pre"].to_pylist()], np.int64)
-            tokens = np.frombuffer(b"".join(batch["pre"].to_pylist()), np.uint64)
-            owner = np.repeat(np.arange(len(size)), size)
-            fine = bloom.level(tokens, bucket_of(tokens, n_buckets), 1) > 0
-            at = pa.array(owner[fine])
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[fine].view(np.int64)), batch["fp"].take(at), batch["n"].take(at)], names=["token", "fp", "n"])
+            tokens, owner = _held_by_others(batch, sent)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), batch["fp"].take(at), batch["n"].take(at)], names=["token", "fp", "n"])
+    return run
+
+
+def _marks(sent):
+    """Of each class: number and bitmap of its prefix tokens that others hold; classes without one are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, owner = _held_by_others(batch, sent)
+            rows, cuts = np.unique(owner, return_index=True)
+            mark = [bitmap(t) for t in np.split(tokens, cuts[1:])] if len(rows) else []
+            at = pa.array(rows)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c].take(at) for c in ("fp", "n", "sig")), pa.array(np.diff(np.append(cuts, len(tokens))), pa.int64()), pa.array(mark, pa.binary())],
+                names=["fp", "n", "sig", "shared", "mark"])
     return run
 
 
@@ -359,20 +402,30 @@ def _verify(pairs: DataFrame, labels: DataFrame | None, rows: DataFrame, scratch
     return out
 
 
-def _chains(postings: DataFrame) -> DataFrame:
+def _one_of_equal_groups(postings: DataFrame) -> DataFrame:
+    """(token, fp, n, df, weight): of the groups with the same members one, the smallest token's; weight: their number.
+
+    Members are compared by their number and a 128-bit sum of their hashes."""
+    half = lambda h: [F.sum(F.shiftrightunsigned(h, 32)), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sums = [s.alias(f"s{i}") for i, s in enumerate([*half(F.xxhash64("fp")), *half(F.xxhash64("fp", F.lit(1)))])]
+    groups = postings.groupBy("token").agg(F.count("*").alias("df"), *sums).filter("df > 1")
+    kept = groups.groupBy("df", "s0", "s1", "s2", "s3").agg(F.min("token").alias("token"), F.count("*").alias("weight"))
+    return postings.join(kept.select("token", "df", "weight"), "token")
+
+
+def _chains(postings: DataFrame, classes: DataFrame) -> DataFrame:
     """For each class its best partners over its groups (large groups in salted parts): the neighbour before and the one
     after it in order of size, and the pivot, the member whose tokens are shared most (the text that others are copies of)."""
-    shared = postings.groupBy("fp").agg((F.count("*") / F.first("n")).alias("shared"))
-    df = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = classes.select("fp", (F.col("shared") / F.col("n")).alias("shared"))
     salt = F.pmod(F.xxhash64("fp", "token"), F.ceil(F.col("df") / BLOCK))
     order = Window.partitionBy("token", "salt").orderBy("n", "fp")
-    members = postings.join(df, "token").join(shared, "fp").withColumn("salt", salt)
+    members = postings.join(shared, "fp").withColumn("salt", salt)
     pivot = Window.partitionBy("token", "salt").orderBy(F.desc("shared"), "fp")
     beside = (members.withColumn("u", F.lag("fp").over(order)).withColumn("m", F.lag("n").over(order))
               .filter(F.col("u").isNotNull() & (100 * F.col("m") >= PERCENT * F.col("n"))))
     under = (members.withColumn("u", F.first("fp").over(pivot)).withColumn("m", F.first("n").over(pivot))
              .filter((F.col("u") != F.col("fp")) & (100 * F.least("m", "n") >= PERCENT * F.greatest("m", "n"))))
-    count = lambda found: found.groupBy("u", F.col("fp").alias("v")).agg(F.count("*").alias("votes"))
+    count = lambda found: found.groupBy("u", F.col("fp").alias("v")).agg(F.sum("weight").alias("votes"))
     best = lambda counted, own, other: counted.groupBy(own).agg(F.max(F.struct("votes", other)).alias("b")).select(
         F.col(own).alias("x"), F.col(f"b.{other}").alias("y"))
     beside, under = count(beside), count(under)
@@ -381,24 +434,26 @@ def _chains(postings: DataFrame) -> DataFrame:
 
 def _fits(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose sizes and bitmaps allow a link."""
-    side = lambda end, n, s: classes.select(F.col("fp").alias(end), F.col("n").alias(n), F.col("sig").alias(s))
+    own = {"n": "n", "sig": "s", "shared": "h", "mark": "k"}
+    side = lambda end, e: classes.select(F.col("fp").alias(end), *[F.col(c).alias(short + e) for c, short in own.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch[s].to_pylist()), np.uint64).reshape(-1, BITMAP // 8) for s in ("sa", "sb"))
-            n, m = batch["na"].to_numpy(), batch["nb"].to_numpy()
-            most = np.minimum(n - np.bitwise_count(a & ~b).sum(axis=1).astype(np.int64), m - np.bitwise_count(b & ~a).sum(axis=1).astype(np.int64))
-            yield batch.select(["u", "v"]).filter(pa.array(most >= overlap_needed(n, m)))
+            a, b, k, l = (np.frombuffer(b"".join(batch[s].to_pylist()), np.uint64).reshape(-1, BITMAP // 8) for s in ("sa", "sb", "ka", "kb"))
+            n, m, h, g = (batch[c].to_numpy() for c in ("na", "nb", "ha", "hb"))
+            fine = np.minimum(bits_shared(n, a, b), bits_shared(m, b, a)) >= overlap_needed(n, m)
+            fine &= np.minimum(bits_shared(h, k, l), bits_shared(g, l, k)) >= prefix_needed(n, m, np.maximum(n, m))
+            yield batch.select(["u", "v"]).filter(pa.array(fine))
 
-    return pairs.join(side("u", "na", "sa"), "u").join(side("v", "nb", "sb"), "v").select("u", "v", "na", "sa", "nb", "sb").mapInArrow(
-        run, "u binary, v binary")
+    both = pairs.join(side("u", "a"), "u").join(side("v", "b"), "v")
+    return both.select("u", "v", *[short + e for e in "ab" for short in own.values()]).mapInArrow(run, "u binary, v binary")
 
 
 def _cells(postings: DataFrame, classes: DataFrame, joined: DataFrame, n_buckets: int) -> DataFrame:
     """Members of the groups with several components, by cell: a group, or a pair of blocks of a large one."""
     labelled = postings.join(joined.withColumnsRenamed({"node": "fp"}), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    mixed = labelled.groupBy("token").agg(F.count("*").alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    members = labelled.join(mixed.select("token", "df"), "token").join(classes.select("fp", "sig"), "fp")
+    mixed = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    members = labelled.join(mixed.select("token"), "token").join(classes.select("fp", "sig", "shared", "mark"), "fp")
     blocks = F.ceil(F.col("df") / BLOCK)
     block = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     dealt = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)))
@@ -406,7 +461,7 @@ def _cells(postings: DataFrame, classes: DataFrame, joined: DataFrame, n_buckets
     cell = F.concat_ws(":", "token", low, high)
     return dealt.select(
         F.pmod(F.xxhash64(cell), F.lit(n_buckets)).cast("int").alias("bucket"), cell.alias("cell"),
-        F.when(low == high, 0).when(F.col("block") == low, 1).otherwise(2).alias("side"), "fp", "n", "sig", "component")
+        F.when(low == high, 0).when(F.col("block") == low, 1).otherwise(2).alias("side"), "fp", "n", "sig", "shared", "mark", "component")
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
@@ -432,9 +487,12 @@ def classes_of(docs: DataFrame) -> DataFrame:
     if not small:  # a shuffle join, so done once
         classes = scratch.save(classes, "classes")
     repeated = repeated_filter(classes.select("pre").mapInArrow(_emit_tokens(n_buckets), KEYED), scratch, n_buckets, FILTER_BYTES)
-    postings = scratch.save(classes.select("fp", "n", "pre").mapInArrow(
-        _postings(spark.sparkContext.broadcast((Filter(repeated, n_buckets), n_buckets))), "token long, fp binary, n long"), "postings")
-    links = _verify(scratch.save(_fits(_chains(postings), classes), "chains"), None, rows, scratch, n_buckets)
+    sent = spark.sparkContext.broadcast((Filter(repeated, n_buckets), n_buckets))
+    classes, whole = (scratch.save(classes.select("fp", "n", "sig", "pre").mapInArrow(_marks(sent), "fp binary, n long, sig binary, shared long, mark binary"), "marks"),
+                      scratch.save(classes.select("fp", "n", "pre").mapInArrow(_postings(sent), "token long, fp binary, n long"), "postings"))
+    postings = scratch.save(_one_of_equal_groups(whole), "groups")
+    scratch.drop(whole)
+    links = _verify(scratch.save(_fits(_chains(postings, classes), classes), "chains"), None, rows, scratch, n_buckets)
     joined = scratch.save(components(links, scratch), "joined")
     cells = _cells(postings, classes, joined, n_buckets)
     candidates = scratch.save(cells.groupBy("bucket").applyInArrow(_tree_pairs, "u binary, v binary").distinct(), "candidates")

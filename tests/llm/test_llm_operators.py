@@ -215,6 +215,38 @@ def test_jaccard_join_with_small_blocks_hot_tokens_and_trees(spark, monkeypatch)
     assert got(signature_join.link_components(docs)) == want
 
 
+def test_jaccard_join_looks_at_no_pairs_of_long_texts_with_one_passage(spark, monkeypatch):
+    """Long texts fill their bitmaps; a passage of 40 words in all of them must not make every two of them a candidate."""
+    passage = [f"p{k}" for k in range(40)]
+    rows = [(i, " ".join([*(f"a{i}_{k}" for k in range(3500)), *passage])) for i in range(30)]
+    rows.append((30, rows[4][1].replace("a4_7 ", "b ")))
+    seen = []
+    verify = signature_join._verify
+    monkeypatch.setattr(signature_join, "_verify", lambda pairs, *more: (seen.append(pairs.count()), verify(pairs, *more))[1])
+    found = got(signature_join.link_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert [r[2] for r in found] == [*range(30), 4]
+    assert sum(seen) == 1  # the near copies
+
+
+def test_prefix_needed_is_a_lower_bound():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n = int(rng.integers(1, 120))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((rng.permutation(a)[int(rng.integers(0, 1 + n // 6)):], rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 6))).astype(np.uint64))))
+        hot = np.sort(rng.permutation(a)[: n // 3])
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            p, q = (signature_join.prefix(x, hot, np.arange(len(hot))) for x in (a, b))
+            assert len(np.intersect1d(p, q)) >= signature_join.prefix_needed(len(a), len(b), max(len(a), len(b))) >= 1
+
+
+def test_of_groups_with_equal_members_one_stays(spark):
+    rows = [(t, m, 9) for t, g in ((1, b"AAB"), (2, b"CCB"), (3, b"AB"), (4, b"AB"), (5, b"BA"), (6, b"A"), (7, b"AAB")) for m in (bytes([x]) for x in g)]
+    kept = signature_join._one_of_equal_groups(spark.createDataFrame(rows, "token long, fp binary, n long"))
+    assert {(r["token"], r["df"], r["weight"]) for r in kept.collect()} == {(1, 3, 2), (2, 3, 1), (3, 2, 3)}
+
+
 def test_keep_one_of_each_component(docs, rows):
     sets, groups = _components(rows)
     kept = signature_join.keep_one(docs)
