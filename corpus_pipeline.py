@@ -36,9 +36,8 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, lossless): token ids, and whether they decode to the text."""
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")))
-    back = bpe.decode(ids.withColumn("tokens", F.col("ids")))
-    return back.select("doc_id", "lang", "source", F.size("tokens").cast("long").alias("n_tokens"), F.col("tokens").alias("ids"),
+    back = bpe.round_trip(docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text")))
+    return back.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.col("decoded") == F.col("text")).alias("lossless"))
 
 

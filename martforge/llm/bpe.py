@@ -271,8 +271,10 @@ def encode(docs: DataFrame, path: str = TOKENIZER, text: str = "text") -> DataFr
     a text is that token.  A column already named ids is replaced."""
     model = docs.sparkSession.sparkContext.broadcast(Model.load(path))
     kept = docs.drop("ids")
-    schema = with_fields(kept.schema, ("ids", T.ArrayType(T.IntegerType())))
+    return kept.mapInArrow(_encoder(model, text), with_fields(kept.schema, ("ids", T.ArrayType(T.IntegerType()))))
 
+
+def _encoder(model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model.value)
         for batch in batches:
@@ -282,8 +284,7 @@ def encode(docs: DataFrame, path: str = TOKENIZER, text: str = "text") -> DataFr
                 lists = pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "ids"])
-
-    return kept.mapInArrow(run, schema)
+    return run
 
 
 def decode(rows: DataFrame, path: str = TOKENIZER, ids: str = "ids") -> DataFrame:
@@ -293,7 +294,10 @@ def decode(rows: DataFrame, path: str = TOKENIZER, ids: str = "ids") -> DataFram
     that the tokenizer lacks is an error."""
     model = rows.sparkSession.sparkContext.broadcast(Model.load(path))
     schema = with_fields(rows.drop(ids, "decoded").schema, ("decoded", T.StringType()))
+    return rows.mapInArrow(_decoder(model, ids, schema.names), schema)
+
 
+def _decoder(model, ids: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.value.token_bytes
         for batch in batches:
@@ -302,10 +306,18 @@ def decode(rows: DataFrame, path: str = TOKENIZER, ids: str = "ids") -> DataFram
             for i in range(len(column)):
                 value = column[i].values
                 texts.append(b"".join(map(table.__getitem__, value.to_numpy().tolist())).decode("utf-8", "replace") if value is not None else "")
-            part = batch.select([f.name for f in schema.fields if f.name != "decoded"])
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+            part = batch.select([n for n in names if n != "decoded"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
+    return run
 
-    return rows.mapInArrow(run, schema)
+
+def round_trip(docs: DataFrame, path: str = TOKENIZER, text: str = "text") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one Python worker a task: the documents with ``ids`` and ``decoded`` added."""
+    model = docs.sparkSession.sparkContext.broadcast(Model.load(path))
+    kept = docs.drop("ids", "decoded")
+    schema = with_fields(kept.schema, ("ids", T.ArrayType(T.IntegerType())), ("decoded", T.StringType()))
+    encoded, decoded = _encoder(model, text), _decoder(model, "ids", schema.names)
+    return kept.mapInArrow(lambda batches: decoded(encoded(batches)), schema)
 
 
 def digests(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
