@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from martforge.plans.build import build
 from martforge.session import checkpoint_dir
 from martforge.sources import csv_ingest as ci
-from martforge.sources.contracts import RAW_COLUMNS
+from martforge.sources.contracts import MULTILINE_TABLES, RAW_COLUMNS
+from martforge.sources.sinks import delete
 from martforge.sources.testdata import BUILDERS, pad, raw_tables
 
 AS_OF = "2001-08-01"
@@ -26,10 +27,10 @@ def _scratch(spark: SparkSession, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/martforge-{what}-{uuid.uuid4().hex}"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write a raw text table as header CSV that the ingest reads back
     unchanged (spaces kept, quotes doubled, NULL as an empty field)."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("compression", compression)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -78,7 +79,8 @@ def csv_ingest_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO5/IO6: the load report of a delivery whose reviews are dirty."""
-    (_, report), _ = _load_all(spark, sf_dir, dirty=True)
+    (_, report), base = _load_all(spark, sf_dir, dirty=True)
+    delete(spark, base)
     return report
 
 
@@ -92,18 +94,23 @@ def input_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_all(spark: SparkSession, sf_dir: str, dirty: bool = False):
+    """All nine tables through CSV.  The CSV files are the largest copy of the data: they are
+    compressed (but for the table whose records are found in byte ranges), and deleted once loaded."""
     base = _scratch(spark, "load")
     for name, df in raw_tables(spark, sf_dir).items():
         if dirty and name == "order_reviews":
             write_dirty_reviews(spark, sf_dir, f"{base}/csv/{name}.csv")
         else:
-            write_csv(df, f"{base}/csv/{name}.csv")
-    return ci.load_raw(spark, f"{base}/csv", f"{base}/raw"), base
+            write_csv(df, f"{base}/csv/{name}.csv", "none" if name in MULTILINE_TABLES else "lz4")
+    loaded = ci.load_raw(spark, f"{base}/csv", f"{base}/raw")
+    delete(spark, f"{base}/csv")
+    return loaded, base
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO5-IO7: rows loaded and rejected per table, from one pass per table."""
-    (_, report), _ = _load_all(spark, sf_dir)
+    (_, report), base = _load_all(spark, sf_dir)
+    delete(spark, base)
     return report
 
 
@@ -111,6 +118,8 @@ def build_revenue_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SINK3/SINK4: full build from CSV; the daily mart read back from storage."""
     (tables, _), base = _load_all(spark, sf_dir)
     res = build(spark, tables, f"{base}/out", as_of=AS_OF, run_checks=False)
+    for scratch in ("raw", "_commits"):  # the marts are stored under out; nothing reads the raw tables any more
+        delete(spark, f"{base}/{scratch}")
     return res.tables["fct_revenue_daily"]
 
 

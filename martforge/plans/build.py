@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from martforge.operators.checks import run_suite
 from martforge.plans import marts, rollups, staging
 from martforge.plans.rules import model_suite
-from martforge.session import checkpoint_dir
+from martforge.session import checkpoint_dir, shuffles_released
 from martforge.sources.sinks import as_view, delete, layer
 from martforge.sources.snapshots import Publication, TableSet
 
@@ -181,7 +181,7 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date
     first = {
         "orders_enriched": lambda: rollups.orders_enriched(
             s["stg_orders"], s["stg_order_items"], s["stg_order_payments"], s["stg_order_reviews"],
-            numeric_payment_order, review_text=False),
+            numeric_payment_order, review_text=False, hot=rollups.hot_keys(s["stg_order_items"], "order_id")),
         "stg_geolocation": lambda: s["stg_geolocation"],
     }
     out = dict(s)
@@ -196,7 +196,8 @@ def staged_models(spark: SparkSession, raw: dict[str, DataFrame], as_of: dt.date
     m9, geo = out.get("orders_enriched"), out["stg_geolocation"]
     stage({
         "customer_rollup": lambda: rollups.customer_rollup(m9, s["stg_customers"]),
-        "seller_rollup": lambda: rollups.seller_rollup(s["stg_order_items"], m9, s["stg_sellers"], rollups.hot_orders(m9)),
+        "seller_rollup": lambda: rollups.seller_rollup(
+            s["stg_order_items"], m9, s["stg_sellers"], rollups.hot_orders(m9), rollups.hot_keys(s["stg_order_items"], "seller_id")),
     })
     final = {
         "fct_orders": lambda: marts.fct_orders(m9, s["stg_customers"]),
@@ -229,20 +230,21 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], root: str, env: str =
     keep = staged is not None or register_views or run_checks
     staged = staged or Staged(spark)
     wanted = NEEDS if register_views or run_checks else marts
-    tables = staged_models(spark, raw, as_of, numeric_payment_order, wanted, staged, keys)
     stored_in = layer(spark, root, env, "marts")
-
-    def write_mart(new: Publication, name: str):
-        def job():
-            df = tables[name]
-            if name == "fct_orders":
-                df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
-            new.write(df, name, **mart_layout(name))
-        return job
-
-    with stored_in.begin() as new:
-        concurrently(*[write_mart(new, n) for n in marts])
-        done = new.commit(notes={"as_of": str(as_of), "numeric_payment_order": numeric_payment_order, "built": list(marts)})
+    with shuffles_released(spark):
+        tables = staged_models(spark, raw, as_of, numeric_payment_order, wanted, staged, keys)
+
+        def write_mart(new: Publication, name: str):
+            def job():
+                df = tables[name]
+                if name == "fct_orders":
+                    df = df.withColumn("purchase_month_key", F.date_format("purchase_month", "yyyy-MM"))
+                new.write(df, name, **mart_layout(name))
+            return job
+
+        with stored_in.begin() as new:
+            concurrently(*[write_mart(new, n) for n in marts])
+            done = new.commit(notes={"as_of": str(as_of), "numeric_payment_order": numeric_payment_order, "built": list(marts)})
     stored_in.expire()
     stored = {name: read_mart(spark, root, env, name, version=done.version) for name in marts}
     tables.update(stored)

@@ -11,7 +11,7 @@ partition at runtime.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,15 +22,44 @@ from martforge.operators.aggregates import arg_max
 from martforge.operators.latest import latest_per_key
 
 
-def items_per_order(items: DataFrame) -> DataFrame:
-    """AG2/AG4/AG5 per order: count, money sums, distinct sellers."""
-    return items.groupBy("order_id").agg(
+#: a key is hot if it holds more than 1 / HOT_KEYS of all rows, so there are fewer than HOT_KEYS of them
+HOT_KEYS = 1000
+
+
+def hot_keys(rows: DataFrame, column: str) -> list[str]:
+    """The hot values of a text column, fewer than ``HOT_KEYS``.  One pass over that column, without a shuffle of it.
+
+    A frequent-items sketch of ten times as many entries misses no value above
+    the bound; a value that is listed without being hot does no harm."""
+    top = F.call_function("approx_top_k", F.col(column), F.lit(HOT_KEYS), F.lit(10 * HOT_KEYS))
+    found = rows.filter(F.col(column).isNotNull()).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return sorted(t["item"] for t in found["top"] or () if t["count"] * HOT_KEYS > found["n"])
+
+
+def _apart(rows: DataFrame, key: str, hot: Collection[str] | None, roll: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``roll`` over rows that were sent to the task of their ``key``, so that no level of it shuffles again.
+
+    Where hardly any rows combine before a shuffle, partial results are larger
+    than the rows.  Rows of the ``hot`` keys (``hot_keys``) are combined first
+    instead, and so are all rows if ``hot`` is None (not known).  NULL keys are left out."""
+    rows = rows.filter(F.col(key).isNotNull())
+    if hot is None:
+        return roll(rows)
+    is_hot = F.col(key).isin(list(hot))
+    out = roll(rows.filter(~is_hot).repartition(key))
+    return out.unionByName(roll(rows.filter(is_hot))) if hot else out
+
+
+def items_per_order(items: DataFrame, hot: Collection[str] | None = None) -> DataFrame:
+    """AG2/AG4/AG5 per order: count, money sums, distinct sellers.  Items without an order id belong to no order."""
+    i = items.select("order_id", "seller_id", "item_price", "freight_value", "total_item_revenue")
+    return _apart(i, "order_id", hot, lambda rows: rows.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         sum_money("item_price").alias("items_subtotal"),
         sum_money("freight_value").alias("freight_total"),
         sum_money("total_item_revenue").alias("order_gross_revenue"),
         F.countDistinct("seller_id").alias("distinct_sellers"),
-    )
+    ))
 
 
 def payments_per_order(payments: DataFrame, numeric_order: bool = False) -> DataFrame:
@@ -63,13 +92,15 @@ def latest_review(reviews: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
-                    numeric_payment_order: bool = False, review_text: bool = True) -> DataFrame:
+                    numeric_payment_order: bool = False, review_text: bool = True,
+                    hot: Collection[str] | None = None) -> DataFrame:
     """M9: one row per order with item, payment and review roll-ups and flags.
     Item metrics are zero-filled for orders without items; payment and review
     columns stay NULL (Q5).  Without ``review_text`` the title and message,
     which no other model uses, are left out: free text as a sort key would
-    otherwise travel the whole shuffle."""
-    oi = items_per_order(items)
+    otherwise travel the whole shuffle.  ``hot``: the hot order ids of the items
+    (``hot_keys``), if known."""
+    oi = items_per_order(items, hot)
     op = payments_per_order(payments, numeric_payment_order)
     text = REVIEW_TEXT if review_text else ()
     r = latest_review(reviews, ["review_score", "response_time_hours", *text]).withColumnRenamed(
@@ -175,7 +206,8 @@ def _seller_measures() -> dict[str, tuple[Column, Callable[[str], Column]]]:
     }
 
 
-def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot: DataFrame | None = None,
+                  busy: Collection[str] | None = None) -> DataFrame:
     """M11: per seller, over item rows joined to their order.  Delivery and review
     figures are item-weighted while the rate divides by distinct orders (Q3),
     so the rate can pass 100.  Sellers without sales stay, with NULL metrics.
@@ -183,10 +215,12 @@ def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot
     The two distinct counts need no copies of the item rows.  The join leaves
     an order's rows together, so the first row of each (order, seller) is marked
     there and distinct orders become a sum.  Everything is then added up by
-    (seller, product), which spreads a hot seller, and once more by seller,
-    where distinct products are the rows counted.  The items of ``hot`` orders
-    (``hot_orders``, a bounded list) are not gathered by order: they meet their
-    order in a broadcast, and their (order, seller) pairs are made distinct."""
+    (seller, product) and once more by seller, where distinct products are the
+    rows counted: in the seller's task, but for the ``busy`` sellers (``hot_keys``
+    of the items; None: not known, so for all), whom the first level spreads.
+    The items of ``hot`` orders (``hot_orders``, a bounded list) are not gathered
+    by order: they meet their order in a broadcast, and their (order, seller)
+    pairs are made distinct."""
     item_columns = ["seller_id", "order_id", "product_id", "item_price", "freight_value", "total_item_revenue"]
     i = items.select(*item_columns)
     e = enriched.select("order_id", "purchased_at", "is_delivered", "delivery_delay_days", "review_score")
@@ -200,8 +234,12 @@ def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot
         so = so.unionByName(hot_rows.withColumns({"new_order": F.lit(0), "is_item": F.lit(1)}))
         so = so.unionByName(pairs, allowMissingColumns=True)
     measures = _seller_measures()
-    by_product = so.groupBy("seller_id", "product_id").agg(*[first.alias(name) for name, (first, _) in measures.items()])
-    m = by_product.groupBy("seller_id").agg(F.count("product_id").alias("products"), *[again(name).alias(name) for name, (_, again) in measures.items()])
+
+    def by_seller(rows: DataFrame) -> DataFrame:
+        by_product = rows.groupBy("seller_id", "product_id").agg(*[first.alias(name) for name, (first, _) in measures.items()])
+        return by_product.groupBy("seller_id").agg(F.count("product_id").alias("products"), *[again(name).alias(name) for name, (_, again) in measures.items()])
+
+    m = _apart(so.drop("order_id"), "seller_id", busy, by_seller)
     share = lambda a, n: F.col(a).cast("double") / F.nullif(F.col(n), F.lit(0))
     whole = lambda c: F.col(c).cast("long")
     m = m.select(

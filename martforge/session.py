@@ -9,6 +9,8 @@ skew-join splitting) and the UI off.  A cluster launcher normally sets these;
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -106,3 +108,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         value = tempfile.mkdtemp(prefix="martforge-ckpt-")
     sc.setCheckpointDir(value)
     return sc.getCheckpointDir()
+
+
+#: Spark deletes an action's shuffle files when the action ends, not when the driver collects garbage
+RELEASE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Steps that each write what the next one reads: within this, the shuffle files of a
+    finished step leave the disk at once, so a run holds those of one step at a time.
+    A launcher's own setting stays as it is."""
+    before = spark.conf.get(RELEASE_SHUFFLES, None)
+    if before is None:
+        spark.conf.set(RELEASE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE_SHUFFLES)
