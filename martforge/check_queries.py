@@ -8,6 +8,7 @@ from martforge.operators import checks
 from martforge.plans.build import Staged, staged_models
 from martforge.plans.graph import models
 from martforge.plans.rules import ORDER_STATUSES, model_suite
+from martforge.session import shuffles_released
 from martforge.sources.testdata import raw_orders, raw_tables
 
 AS_OF = "2001-08-01"
@@ -47,8 +48,9 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     has one row per check, so it is brought to the driver and the staged
     folder deleted."""
     staged = Staged(spark)
-    summary = checks.run_suite(staged_models(spark, raw_tables(spark, sf_dir), AS_OF, staged=staged), model_suite().checks)
-    rows = summary.collect()
+    with shuffles_released(spark):
+        summary = checks.run_suite(staged_models(spark, raw_tables(spark, sf_dir), AS_OF, staged=staged), model_suite().checks)
+        rows = summary.collect()
     staged.delete()
     return spark.createDataFrame(rows, summary.schema)
 

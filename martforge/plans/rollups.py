@@ -50,14 +50,26 @@ def _apart(rows: DataFrame, key: str, hot: Collection[str] | None, roll: Callabl
     return out.unionByName(roll(rows.filter(is_hot))) if hot else out
 
 
+def _light(items: DataFrame, *keys: str) -> DataFrame:
+    """The key and money columns of items as they are shuffled: the total travels only where it is not price plus freight."""
+    price, freight, total = F.col("item_price"), F.col("freight_value"), F.col("total_item_revenue")
+    other = F.when(~total.eqNullSafe(price + freight), F.struct(total.alias("is")))
+    return items.select(*keys, "item_price", "freight_value", other.alias("other_total"))
+
+
+def _total() -> Column:
+    """``total_item_revenue`` of ``_light`` rows."""
+    return F.when(F.col("other_total").isNull(), F.col("item_price") + F.col("freight_value")).otherwise(F.col("other_total").getField("is"))
+
+
 def items_per_order(items: DataFrame, hot: Collection[str] | None = None) -> DataFrame:
     """AG2/AG4/AG5 per order: count, money sums, distinct sellers.  Items without an order id belong to no order."""
-    i = items.select("order_id", "seller_id", "item_price", "freight_value", "total_item_revenue")
+    i = _light(items, "order_id", "seller_id")
     return _apart(i, "order_id", hot, lambda rows: rows.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("item_count"),
         sum_money("item_price").alias("items_subtotal"),
         sum_money("freight_value").alias("freight_total"),
-        sum_money("total_item_revenue").alias("order_gross_revenue"),
+        sum_money(_total()).alias("order_gross_revenue"),
         F.countDistinct("seller_id").alias("distinct_sellers"),
     ))
 
@@ -190,14 +202,14 @@ def hot_orders(enriched: DataFrame) -> DataFrame | None:
 #: M11's measures: name -> (over item rows, over the partial results)
 def _seller_measures() -> dict[str, tuple[Column, Callable[[str], Column]]]:
     on_time = F.when(F.col("delivery_delay_days") <= 0, 1).otherwise(0)
-    exact = lambda c: F.sum(F.col(c).cast(EXACT))
+    exact = lambda c: F.sum(c.cast(EXACT))
     total, least, most = F.sum, F.min, F.max
     return {
         "orders": (F.sum("new_order"), total),
         "items": (F.sum("is_item"), total),
-        "revenue": (exact("total_item_revenue"), total),
-        "price": (exact("item_price"), total), "n_price": (F.count("item_price"), total),
-        "freight": (exact("freight_value"), total),
+        "revenue": (exact(_total()), total),
+        "price": (exact(F.col("item_price")), total), "n_price": (F.count("item_price"), total),
+        "freight": (exact(F.col("freight_value")), total),
         "delivered": (F.count_if(F.col("is_delivered")), total),
         "on_time": (F.sum(on_time * F.col("is_item")), total),
         "delay": (F.sum(F.col("delivery_delay_days").cast("long")), total), "n_delay": (F.count("delivery_delay_days"), total),
@@ -221,8 +233,7 @@ def seller_rollup(items: DataFrame, enriched: DataFrame, sellers: DataFrame, hot
     The items of ``hot`` orders (``hot_orders``, a bounded list) are not gathered
     by order: they meet their order in a broadcast, and their (order, seller)
     pairs are made distinct."""
-    item_columns = ["seller_id", "order_id", "product_id", "item_price", "freight_value", "total_item_revenue"]
-    i = items.select(*item_columns)
+    i = _light(items, "seller_id", "order_id", "product_id")
     e = enriched.select("order_id", "purchased_at", "is_delivered", "delivery_delay_days", "review_score")
     cold_items = i if hot is None else i.join(F.broadcast(hot), "order_id", "left_anti")
     pair = Window.partitionBy("order_id", "seller_id").orderBy(F.lit(0))

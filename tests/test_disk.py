@@ -23,7 +23,8 @@ def items(spark):
         order = "o0" if k % 3 == 0 else None if k % 50 == 1 else f"o{k // 7}"
         seller = "s0" if k % 3 == 1 else None if k % 41 == 0 else f"s{k % 200}"
         price = None if k % 17 == 0 else k / 100
-        rows.append((order, seller, f"p{k % 13}", price, 0.1, None if price is None else price + 0.1))
+        total = None if price is None else price + 0.1
+        rows.append((order, seller, f"p{k % 13}", price, 0.1, (None, 7.25)[k % 2] if k % 19 == 0 else total))  # not always the sum
     return spark.createDataFrame(rows, ITEMS)
 
 
@@ -39,9 +40,9 @@ def test_items_of_an_order_are_shuffled_once(spark, items):
     plain = rollups.items_per_order(items)
     assert same(plain, rollups.items_per_order(items, []))
     assert same(plain, rollups.items_per_order(items, ["o0", "o3", "none"]))
-    expected = {r.order_id: (r.n, r.s) for r in items.filter("order_id IS NOT NULL").groupBy("order_id")
-                .agg(F.count("*").alias("n"), F.countDistinct("seller_id").alias("s")).collect()}
-    assert {r.order_id: (r.item_count, r.distinct_sellers) for r in rollups.items_per_order(items, ["o0"]).collect()} == expected
+    expected = {r.order_id: (r.n, r.s, r.t) for r in items.filter("order_id IS NOT NULL").groupBy("order_id").agg(
+        F.count("*").alias("n"), F.countDistinct("seller_id").alias("s"), F.sum(F.col("total_item_revenue").cast("decimal(28,10)")).cast("double").alias("t")).collect()}
+    assert {r.order_id: (r.item_count, r.distinct_sellers, r.order_gross_revenue) for r in rollups.items_per_order(items, ["o0"]).collect()} == expected
     assert hash_exchanges(plain) == 2 and hash_exchanges(rollups.items_per_order(items, [])) == 1
 
 
@@ -59,6 +60,8 @@ def test_items_of_a_seller_are_shuffled_once_after_their_order(spark, items):
         assert same(plain, rollups.seller_rollup(items, orders, sellers, hot_order, busy)), (hot_order, busy)
     assert plain.filter("seller_id = 's0'").first().total_items_sold == items.filter(
         "seller_id = 's0' AND order_id IS NOT NULL").count()
+    total = items.filter("order_id IS NOT NULL AND seller_id IS NOT NULL").selectExpr("cast(sum(cast(total_item_revenue AS decimal(28,10))) AS double)").first()[0]
+    assert plain.selectExpr("cast(sum(cast(total_revenue AS decimal(28,10))) AS double)").first()[0] == total
 
 
 def test_hot_keys(spark, items):
@@ -69,24 +72,30 @@ def test_hot_keys(spark, items):
     assert rollups.hot_keys(many, "k") == ["hot"]
 
 
-def test_shuffle_files_of_a_finished_step_are_deleted(spark, tmp_dir):
-    def files():
-        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
-        out = set()
-        while found.hasNext():
-            f = found.next()
-            if f.getName().startswith("shuffle_"):
-                out.add(f.getPath())
-        return out
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    out = set()
+    while found.hasNext():
+        f = found.next()
+        if f.getName().startswith("shuffle_"):
+            out.add(f.getPath())
+    return out
+
+
+def left_after(spark, before):
+    """New shuffle files, once executors had time to delete them in the background."""
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
 
+def test_shuffle_files_of_a_finished_step_are_deleted(spark, tmp_dir):
     step = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
-    before = files()
+    before = shuffle_files(spark)
     with shuffles_released(spark):
         step.write.parquet(f"{tmp_dir}/a")
-        until = time.time() + 20
-        while files() - before and time.time() < until:  # executors delete them in the background
-            time.sleep(0.1)
-        assert not files() - before
+        assert not left_after(spark, before)
     assert spark.conf.get(RELEASE_SHUFFLES, None) is None
     spark.conf.set(RELEASE_SHUFFLES, "false")
     with shuffles_released(spark):
@@ -96,6 +105,15 @@ def test_shuffle_files_of_a_finished_step_are_deleted(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/a").count() == step.count() == 100
 
 
+def test_the_check_suite_leaves_no_shuffle_files(spark):
+    from martforge.check_queries import check_suite
+
+    before = shuffle_files(spark)
+    summary = check_suite(spark, SF_SMALL)
+    assert not left_after(spark, before)
+    assert summary.count() == 81
+
+
 def _load_folders(spark):
     base = checkpoint_dir(spark).removeprefix("file:")
     return {f"{base}/{n}" for n in os.listdir(base) if n.startswith("martforge-load-")} if os.path.isdir(base) else set()
